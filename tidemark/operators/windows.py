@@ -132,45 +132,31 @@ def batches_by_length(df, n: int, *, keys=(), ts="ts", seq="seq", split=None) ->
     """Rows of complete ``n``-row batches with ``_batch``; the incomplete tail is left out."""
     numbered = positions(arrivals(df, ts, seq), keys, ARRIVAL_ORDER, "_rn", split=split)
     batch = numbered.withColumn("_batch", F.floor((F.col("_rn") - 1) / n).cast("bigint"))
-    sizes = batch.groupBy(*keys).agg(F.max("_rn").alias("_m"))
-    full = sizes.select(
-        *[F.col(k).alias(f"_fk{i}") for i, k in enumerate(keys)],
-        F.floor(F.col("_m") / n).cast("bigint").alias("_full"),
+    members = Window.partitionBy(*keys, "_batch")
+    sized = batch.withColumn("_size", F.count(F.lit(1)).over(members)).withColumn(
+        "_done", F.max(F.struct("_t", "_s")).over(members)
     )
-    if keys:
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_fk{i}"))
-        joined = batch.join(full, same)
-    else:
-        joined = batch.join(F.broadcast(full), F.col("_full") > F.lit(-1))
-    return joined.filter(F.col("_batch") < F.col("_full")).select(*df.columns, "_t", "_s", "_rn", "_batch")
+    return sized.filter(F.col("_size") == n).drop("_size")
 
 
 def length_batch(df, n: int, *, keys=(), ts="ts", seq="seq", split=None) -> DataFrame:
     """Change stream of ``lengthBatch``: a batch is emitted when it is complete and
     expires when the next one is."""
     rows = batches_by_length(df, n, keys=keys, ts=ts, seq=seq, split=split)
-    done = rows.filter(F.col("_rn") % n == 0).select(
+    following = rows.filter(F.col("_rn") % n == 0).select(
         *[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)],
-        F.col("_batch").alias("_db"),
-        F.col("_t").alias("_dt"),
-        F.col("_s").alias("_ds"),
+        (F.col("_batch") - 1).alias("_db"),
+        F.col("_done").alias("_gone"),
     )
-
-    def at(offset: int, prefix: str, base: DataFrame) -> DataFrame:
-        other = done.select(*[F.col(c).alias(prefix + c) for c in done.columns])
-        same = F.col("_batch") + F.lit(offset) == F.col(f"{prefix}_db")
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"{prefix}_dk{i}"))
-        return base.join(other, same, "left")
-
-    stamped = at(1, "y", at(0, "x", rows))
+    same = F.col("_batch") == F.col("_db")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_dk{i}"))
+    stamped = rows.join(following, same, "left")
     return _changes(
         stamped,
         [*df.columns, "_batch"],
-        (F.col("x_dt"), F.col("x_ds")),
-        (F.col("y_dt"), F.col("y_ds")),
+        (F.col("_done._t"), F.col("_done._s")),
+        (F.col("_gone._t"), F.col("_gone._s")),
     )
 
 
@@ -366,10 +352,10 @@ def frequent_items(df: DataFrame, k: int, attrs: Sequence[str]) -> DataFrame:
         .groupBy("_item")
         .agg(F.sum("_c").alias("n_rows"))
     )
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
     parsed = T.StructType([df.schema[c] for c in attrs])
     return (
-        exact.join(F.broadcast(total), F.col("n_rows") * (k + 1) > F.col("_total"))
+        exact.filter(F.col("n_rows") * (k + 1) > total)
         .withColumn("_v", F.from_json("_item", parsed))
         .select("_v.*", "n_rows")
     )
@@ -380,11 +366,9 @@ def lossy_frequent_items(
 ) -> DataFrame:
     """Values with at least ``(support - error) * rows`` rows; exact counts, one shuffle."""
     error = support / 10 if error is None else error
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
     counts = df.groupBy(*attrs).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.join(
-        F.broadcast(total), F.col("n_rows") >= F.lit(support - error) * F.col("_total")
-    ).select(*attrs, "n_rows")
+    return counts.filter(F.col("n_rows") >= F.lit(support - error) * total)
 
 
 def _trace_schema(df: DataFrame) -> T.StructType:
