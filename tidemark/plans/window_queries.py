@@ -146,10 +146,16 @@ def win_sort_keyed(t):
     return W.smallest_per_key(t.events, 3, [("value", True)], KEY).select("user_id", "event_id", "value")
 
 
-@query("win_sort_changes")
+@query(
+    "win_sort_changes",
+    f"""SELECT event_id, 'current' AS kind, us AS at FROM {CENTS} UNION ALL
+    SELECT a.event_id, 'expired', greatest(a.us, b.us) FROM {CENTS} a JOIN {CENTS} b
+    ON a.event_type = b.event_type AND (b.value < a.value OR (b.value = a.value AND b.us < a.us))
+    QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.us) = 10""",
+)
 def win_sort_changes(t):
     changes = W.sort_window(cents(t), 10, [("value", True)], keys=["event_type"])
-    return changes.select("event_id", "_kind", "_at")
+    return changes.select("event_id", F.col("_kind").alias("kind"), F.col("_at").alias("at"))
 
 
 @query(
