@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tidemark.plans import join_queries, selection, window_queries  # noqa: F401
+from tidemark.plans import join_queries, selection, telemetry_queries, window_queries  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
