@@ -1,6 +1,15 @@
 """All registered queries."""
 
-from tidemark.plans import join_queries, selection, telemetry_queries, window_queries  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    flagship,
+    join_queries,
+    pattern_queries,
+    regression_queries,
+    selection,
+    table_queries,
+    telemetry_queries,
+    window_queries,
+)
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
