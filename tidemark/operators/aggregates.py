@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.windows import ARRIVAL_ORDER, CHANGE_ORDER, arrivals
-from tidemark.ordering import Run, Split, positions, running
+from tidemark.ordering import Run, Split, plan_split, positions, running
 
 
 def checked_sum(df: DataFrame, name: str) -> Column:
@@ -61,6 +62,37 @@ def over_changes(
     return out.withColumns(cols).drop(*runs)
 
 
+def over_window(
+    df: DataFrame,
+    window,
+    *args,
+    keys: Sequence[str] = (),
+    group: Sequence[str] | None = None,
+    ts="ts",
+    seq="seq",
+    sums: dict[str, str] | None = None,
+    averages: dict[str, str] | None = None,
+    count: str | None = None,
+    split: Split | None = None,
+    **options,
+) -> DataFrame:
+    """Window aggregates in one call: ``window`` is a function of ``operators.windows``.
+
+    Ranges are planned once, on the key and order columns of the input, and used
+    for the window as well as for the aggregates over its changes.
+    """
+    group = tuple(keys if group is None else group)
+    base = arrivals(df, ts, seq)
+    split = split or plan_split(base, keys, ARRIVAL_ORDER)
+    if "split" in inspect.signature(window).parameters:
+        options |= {"keys": keys, "split": split}
+    changes = window(df, *args, ts=ts, seq=seq, **options)
+    ranges = split if group == tuple(keys) else plan_split(base, group, ARRIVAL_ORDER)
+    return over_changes(
+        changes, group, sums=sums, averages=averages, count=count, split=ranges.on(*CHANGE_ORDER)
+    )
+
+
 def sliding_extreme(
     df: DataFrame,
     kind: str,
@@ -92,9 +124,14 @@ def sliding_extreme(
         F.struct((F.col("_cell") - 1).alias("_c"), (F.col(axis) - span).alias("_x"), F.lit(probe_side).alias("_o"),
                  F.lit(None).cast(df.schema[value].dataType).alias("_v"), F.lit(True).alias("_probe")),
     )
-    merged = prefix.select(*cols, "_pre", F.explode(both).alias("_m")).select(*cols, "_pre", "_m.*")
+
+    def probed(rows: DataFrame, *extra: str) -> DataFrame:
+        return rows.select(*cols, *extra, F.explode(both).alias("_m")).select(*cols, *extra, "_m.*")
+
+    order = ("_x", "_o", tie)
+    split = plan_split(probed(based), (*keys, "_c"), order)
     suffix = running(
-        merged, (*keys, "_c"), ("_x", "_o", tie), {"_suf": Run(kind, F.col("_v"))}, reverse=True
+        probed(prefix, "_pre"), (*keys, "_c"), order, {"_suf": Run(kind, F.col("_v"))}, reverse=True, split=split
     ).filter("_probe")
     pick = F.least if kind == "min" else F.greatest
     return suffix.select(*cols, pick("_pre", "_suf").alias(out))

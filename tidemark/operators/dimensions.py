@@ -30,44 +30,66 @@ def ip_key(ip: Column) -> Column:
 
     Text order of the key is address order, so ranges compare as text.
     """
-    v4 = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"
-    octets = F.transform(F.split(ip, r"\."), lambda o: F.lpad(F.hex(o.try_cast("bigint")), 2, "0"))
+    parts = F.split(ip, r"\.")
+    octets = [F.lpad(F.hex(F.get(parts, F.lit(i)).try_cast("bigint")), 2, "0") for i in range(4)]
     halves = F.split(ip, "::")
     groups = lambda text: F.filter(F.split(text, ":"), lambda g: g != "")
     head, tail = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
     missing = F.greatest(F.lit(8) - F.size(head) - F.size(tail), F.lit(0))
     full = F.concat(head, F.array_repeat(F.lit("0"), missing), tail)
     v6 = F.concat_ws("", F.transform(full, lambda g: F.lpad(F.upper(g), 4, "0")))
-    return F.when(ip.rlike(v4), F.concat_ws("", octets)).when(
-        ip.rlike("^[0-9a-fA-F:]+$") & ip.contains(":"), v6
-    )
+    return F.when(ip.contains("."), F.when(F.size(parts) == 4, F.concat(*octets))).when(ip.contains(":"), v6)
 
 
-def _bucket(key: Column) -> Column:
-    """The first 16 bits, kept apart for v4 and v6 by the key width."""
-    return F.conv(F.substring(key, 1, 4), 16, 10).cast("int") + F.when(F.length(key) > 8, 1 << 16).otherwise(0)
+# A range is listed under every prefix it touches: 16 bits for v4, 32 for v6. A v6 range
+# wider than 16 bits would touch too many and is kept under 16-bit prefixes of its own.
+_WIDE = 1 << 16
 
 
-def ip_ranges(df: DataFrame, ranges: DataFrame, ip: str, fields: dict[str, str]) -> DataFrame:
-    """Fields of the (non-overlapping) range that holds ``df[ip]``.
+def _prefix(key: Column, digits: int) -> Column:
+    return F.conv(F.substring(key, 1, digits), 16, 10).cast("bigint")
 
-    ``ranges`` has ``first, last`` addresses. A range is listed under each 16-bit
-    prefix it touches (at most 65536), so the lookup is an equi join on the
-    prefix plus a bound check.
-    """
-    lo, hi = ip_key(F.col("first")), ip_key(F.col("last"))
-    dim = (
-        ranges.withColumns({"_lo": lo, "_hi": hi})
-        .withColumn("_bucket", F.explode(F.sequence(_bucket(F.col("_lo")), _bucket(F.col("_hi")))))
-        .select("_bucket", "_lo", "_hi", *[F.col(c).alias(o) for o, c in fields.items()])
-    )
-    keyed = df.withColumn("_ip", ip_key(F.col(ip))).withColumn("_b", _bucket(F.col("_ip")))
-    same = (
-        (F.col("_b") == F.col("_bucket"))
-        & (F.length("_ip") == F.length("_lo"))
-        & F.col("_ip").between(F.col("_lo"), F.col("_hi"))
+
+def _bucket(key: Column) -> Column:
+    """v4: the first 16 bits as a negative number; v6: the first 32 bits."""
+    return F.when(F.length(key) == 8, -1 - _prefix(key, 4)).otherwise(_prefix(key, 8))
+
+
+def _range_tables(ranges: DataFrame, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    keyed = ranges.withColumns({"_lo": ip_key(F.col("first")), "_hi": ip_key(F.col("last"))})
+    kept = ["_lo", "_hi", *[F.col(c).alias(o) for o, c in fields.items()]]
+    span = F.abs(_bucket(F.col("_hi")) - _bucket(F.col("_lo")))
+    ends = F.sort_array(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi"))))
+    narrow = keyed.filter(span < _WIDE).select(F.explode(F.sequence(ends[0], ends[1])).alias("_bucket"), *kept)
+    wide = keyed.filter(span >= _WIDE).select(
+        F.explode(F.sequence(_prefix(F.col("_lo"), 4), _prefix(F.col("_hi"), 4))).alias("_bucket"), *kept
     )
-    return keyed.join(dim, same, "left").select(*df.columns, *fields)
+    return narrow, wide
+
+
+def _range_lookup(df: DataFrame, ranges: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    narrow, wide = _range_tables(ranges, {f"_n_{o}": c for o, c in fields.items()})
+    cols = df.columns
+
+    def holds(bucket: Column) -> Column:
+        return (
+            (bucket == F.col("_bucket"))
+            & (F.length(key) == F.length("_lo"))
+            & F.col(key).between(F.col("_lo"), F.col("_hi"))
+        )
+
+    one = df.join(narrow, holds(_bucket(F.col(key))), "left").drop("_bucket", "_lo", "_hi")
+    wide = wide.select("_bucket", "_lo", "_hi", *[F.col(f"_n_{o}").alias(f"_w_{o}") for o in fields])
+    wide_bucket = F.when(F.length(key) > 8, _prefix(F.col(key), 4))
+    two = one.join(wide, holds(wide_bucket), "left")
+    return two.select(*cols, *[F.coalesce(f"_n_{o}", f"_w_{o}").alias(o) for o in fields])
+
+
+def ip_ranges(df: DataFrame, ranges: DataFrame, ip: str, fields: dict[str, str]) -> DataFrame:
+    """Fields of the (non-overlapping) range ``first .. last`` that holds ``df[ip]``:
+    an equi join on an address prefix plus a bound check."""
+    keyed = df.withColumn("_ip", ip_key(F.col(ip)))
+    return _range_lookup(keyed, ranges, "_ip", fields).drop("_ip")
 
 
 def as_name(info: Column) -> Column:
@@ -81,11 +103,11 @@ def geoip(df: DataFrame, countries: DataFrame, networks: DataFrame) -> DataFrame
     ``countries`` has ``first, last, country``; ``networks`` has ``first, last, info``.
     """
     owners = networks.withColumn("info", as_name(F.col("info")))
-    out = df
+    out = df.withColumns({"_src_ip": ip_key(F.col("src")), "_dst_ip": ip_key(F.col("dst"))})
     for end in ("src", "dst"):
-        out = ip_ranges(out, countries, end, {f"{end}_country_code": "country"})
-        out = ip_ranges(out, owners, end, {f"{end}_as_name": "info"})
-    return out
+        out = _range_lookup(out, countries, f"_{end}_ip", {f"{end}_country_code": "country"})
+        out = _range_lookup(out, owners, f"_{end}_ip", {f"{end}_as_name": "info"})
+    return out.drop("_src_ip", "_dst_ip")
 
 
 def access_points(

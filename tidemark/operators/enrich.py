@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.telemetry import SIGNAL_NONE
@@ -14,6 +14,36 @@ from tidemark.ordering import Run, Split, running
 TTL_MS = 3_600_000
 
 
+CELLS_PER_TTL = 8
+
+
+def _latest_known(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
+    """Rows of ``left`` with the last ``_known`` of their key, by time cells.
+
+    Nothing older than the time to live counts, so time is cut into cells of a
+    fraction of it and each (key, cell) is read on its own: a key with most of
+    the rows is spread over its cells. What a cell needs from earlier cells is
+    only the last state of each, which is combined before the shuffle.
+    """
+    width = F.lit(max(ttl_ms * 1000 // CELLS_PER_TTL, 1))
+    cell = F.floor(F.col("_t") / width).cast("bigint")
+    own = right.withColumn("_cell", cell)
+    last = own.groupBy("_key", "_cell").agg(F.max_by(F.struct("_t", "_s", "_known"), F.struct("_t", "_s")).alias("_l"))
+    ahead = last.select(
+        "_key", F.explode(F.sequence(F.col("_cell") + 1, F.col("_cell") + CELLS_PER_TTL)).alias("_cell"),
+        "_l._t", F.lit(0).alias("_o"), "_l._s", "_l._known",
+    )
+    merged = (
+        left.withColumn("_cell", cell)
+        .unionByName(own, allowMissingColumns=True)
+        .unionByName(ahead, allowMissingColumns=True)
+    )
+    window = (
+        Window.partitionBy("_key", "_cell").orderBy("_t", "_o", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return merged.withColumn("_last", F.last("_known", ignorenulls=True).over(window)).filter("_o = 1")
+
+
 def lookup(
     df: DataFrame,
     state: DataFrame,
@@ -30,8 +60,8 @@ def lookup(
     """Add the state fields known for ``df[key]`` at each row's time.
 
     The latest state row with ``ts - ttl < state.ts <= ts`` counts; without one
-    the fields are null. Rows and state are merged in one ordered pass per key
-    (one shuffle); rows with a null key never enter it.
+    the fields are null. Rows and state meet in one ordered pass per key (one
+    shuffle); rows with a null key never enter it.
     """
     names = dict(fields) if isinstance(fields, dict) else {f: f for f in fields}
     a = arrivals(df, ts, seq)
@@ -41,12 +71,16 @@ def lookup(
         F.col(key).alias("_key"), "_t", F.lit(1).alias("_o"), "_s", F.struct(*df.columns).alias("_row")
     )
     right = s.select(F.col(state_key).alias("_key"), "_t", F.lit(0).alias("_o"), "_s", known.alias("_known"))
-    merged = left.unionByName(right, allowMissingColumns=True)
-    seen = running(
-        merged, ("_key",), ("_t", "_o", "_s"), {"_last": Run("last", F.col("_known"))}, split=split
-    ).filter("_o = 1")
-    fresh = F.lit(True) if ttl_ms is None else F.col("_last._kt") > F.col("_t") - F.lit(ttl_ms * 1000)
-    fresh = F.coalesce(fresh & F.col("_last").isNotNull(), F.lit(False))
+    if ttl_ms is not None:
+        seen = _latest_known(left, right, ttl_ms)
+        fresh = F.col("_last._kt") > F.col("_t") - F.lit(ttl_ms * 1000)
+    else:
+        merged = left.unionByName(right, allowMissingColumns=True)
+        seen = running(
+            merged, ("_key",), ("_t", "_o", "_s"), {"_last": Run("last", F.col("_known"))}, split=split
+        ).filter("_o = 1")
+        fresh = F.col("_last").isNotNull()
+    fresh = F.coalesce(fresh, F.lit(False))
     added = [F.when(fresh, F.col(f"_last.{o}")).alias(o) for o in names]
     if hit:
         added.append(fresh.alias(hit))

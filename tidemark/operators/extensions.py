@@ -24,13 +24,17 @@ def extension(kind: str, name: str):
     return register
 
 
-def call(kind: str, name: str, *args, **options):
-    """Use a registered extension."""
+def lookup(kind: str, name: str) -> Callable:
+    """A registered extension."""
     try:
-        fn = _KINDS[kind][name]
+        return _KINDS[kind][name]
     except KeyError:
         raise KeyError(f"no {kind} extension named {name}") from None
-    return fn(*args, **options)
+
+
+def call(kind: str, name: str, *args, **options):
+    """Use a registered extension."""
+    return lookup(kind, name)(*args, **options)
 
 
 def transform(df: DataFrame, name: str, *args, **options) -> DataFrame:

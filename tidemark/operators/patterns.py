@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals, ordered_scan
-from tidemark.ordering import Run, neighbour, running
+from tidemark.ordering import Run, neighbour, plan_split, running
 
 Where = Callable[[dict, dict], bool]
 CELLS_PER_BOUND = 4
@@ -107,6 +107,7 @@ def chain(
     rows = arrivals(df, ts, seq)
     names = [n for n, _ in steps]
     base = list(rows.columns)
+    split = plan_split(rows, keys, ARRIVAL_ORDER)
     later: str | None = None
     for name, when in reversed(steps[1:]):
         content = F.struct(
@@ -114,7 +115,7 @@ def chain(
         )
         out = f"_next_{name}"
         hit = F.when(F.coalesce(when, F.lit(False)), content)
-        rows = running(rows, keys, ARRIVAL_ORDER, {out: Run("last", hit)}, reverse=True, inclusive=False)
+        rows = running(rows, keys, ARRIVAL_ORDER, {out: Run("last", hit)}, reverse=True, inclusive=False, split=split)
         rows = rows.select(*base, out)
         later = out
     starts = rows.filter(F.coalesce(steps[0][1], F.lit(False)))
@@ -149,6 +150,7 @@ def strict(
     columns; conditions on earlier events go through ``sequence``."""
     rows = arrivals(df, ts, seq)
     base = list(rows.columns)
+    split = plan_split(rows, keys, ARRIVAL_ORDER)
     rows = rows.withColumns({f"_is_{n}": F.coalesce(w, F.lit(False)) for n, w in steps})
     flags = [f"_is_{n}" for n, _ in steps]
     later: str | None = None
@@ -158,7 +160,7 @@ def strict(
             *([F.col(later).alias("n")] if later else []),
         )
         out = f"_after{i}"
-        rows = neighbour(rows, keys, ARRIVAL_ORDER, 1, {out: content}).select(*base, *flags, out)
+        rows = neighbour(rows, keys, ARRIVAL_ORDER, 1, {out: content}, split=split).select(*base, *flags, out)
         later = out
     places = [later + ".n" * i for i in range(len(steps) - 1)] if later else []
     fits = [F.col(flags[0]), *[F.col(f"{p}.{flags[i + 1]}") for i, p in enumerate(places)]]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import telemetry as M
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals, ordered_scan
-from tidemark.ordering import Run, neighbour, running
+from tidemark.ordering import Run, Split, neighbour, plan_split, running
 from tidemark.sources import schemas
 
 UNKNOWN = M.SIGNAL_NONE
@@ -197,13 +197,17 @@ def fill_from_state(
     the time to live of each other.
     """
     a = arrivals(df, ts, seq)
-    timed = neighbour(a, (key,), ARRIVAL_ORDER, -1, {"_before": F.col("_t")})
+    split = plan_split(a, (key,), ARRIVAL_ORDER)
+    timed = neighbour(a, (key,), ARRIVAL_ORDER, -1, {"_before": F.col("_t")}, split=split)
     fresh = F.col("_before").isNull() | (F.col("_t") - F.col("_before") >= ttl_ms * 1000)
-    spells = running(timed, (key,), ARRIVAL_ORDER, {"_spell": Run("sum", fresh.cast("bigint"))})
-    filled = running(
-        spells, (key, "_spell"), ARRIVAL_ORDER, {f"_f_{f}": Run("last", F.col(f)) for f in fields}
-    )
-    return filled.withColumns({f: F.col(f"_f_{f}") for f in fields}).select(*df.columns)
+    spells = running(timed, (key,), ARRIVAL_ORDER, {"_spell": Run("sum", fresh.cast("bigint"))}, split=split)
+    known = {
+        f"_f_{f}": Run("last", F.when(F.col(f).isNotNull(), F.struct(F.col("_spell").alias("s"), F.col(f).alias("v"))))
+        for f in fields
+    }
+    filled = running(spells, (key,), ARRIVAL_ORDER, known, split=split)
+    same = {f: F.when(F.col(f"_f_{f}.s") == F.col("_spell"), F.col(f"_f_{f}.v")) for f in fields}
+    return filled.withColumns(same).select(*df.columns)
 
 
 def nmsp_rows(df: DataFrame, record: str = "record") -> tuple[DataFrame, DataFrame]:
@@ -291,16 +295,17 @@ def movement(df: DataFrame, *, key="client_mac", ttl_ms: int = 3_600_000, ts="ts
     return moved.withColumns(first).withColumns(same).drop(*drop)
 
 
-def _debounce(df: DataFrame, key: str, places: Sequence[str]) -> DataFrame:
+def _debounce(df: DataFrame, key: str, places: Sequence[str], split: Split) -> DataFrame:
     """Keep the rows that are reported: a changed place, or more than a minute since the last report.
 
     What was last reported depends on the path, but a row more than a minute
     after the previous *row* is reported whatever came before. Such rows start
     independent segments, and only inside a segment rows are read in sequence.
     """
-    timed = neighbour(df, (key,), ("timestamp", "_s"), -1, {"_prev": F.col("timestamp")})
+    order = ("timestamp", "_s")
+    timed = neighbour(df, (key,), order, -1, {"_prev": F.col("timestamp")}, split=split)
     opens = F.col("_prev").isNull() | (F.col("timestamp") - F.col("_prev") > MINUTE)
-    marked = running(timed, (key,), ("timestamp", "_s"), {"_segment": Run("sum", opens.cast("bigint"))})
+    marked = running(timed, (key,), order, {"_segment": Run("sum", opens.cast("bigint"))}, split=split)
     slim = marked.select(key, "_segment", "timestamp", "_s", *places)
     schema = T.StructType([df.schema[key], T.StructField("_s", T.LongType())])
 
@@ -331,10 +336,11 @@ def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq") -> D
     places = ("client_floor", "client_zone", "client_building", "client_campus")
     named = df.withColumns({p: F.coalesce(p, F.lit(UNKNOWN)) for p in places}).withColumn("_s", F.col(seq).cast("bigint"))
     every = (*places, "wireless_station")
-    reported = _debounce(named, key, every)
+    split = plan_split(named, (key,), ("timestamp", "_s"))
+    reported = _debounce(named, key, every, split)
     before = neighbour(
         reported, (key,), ("timestamp", "_s"), -1,
-        {"_old_t": F.col("timestamp"), **{f"_old_{p}": F.col(p) for p in every}},
+        {"_old_t": F.col("timestamp"), **{f"_old_{p}": F.col(p) for p in every}}, split=split,
     )
     gap = F.col("timestamp") - F.col("_old_t")
     known = F.coalesce(gap <= ttl_s, F.lit(False))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals
-from tidemark.ordering import Run, neighbour, positions, running
+from tidemark.ordering import Run, neighbour, plan_split, positions, running
 
 UNBOUNDED = 1_000_000_000
 
@@ -124,11 +124,13 @@ def _products(y: Column, xs: Sequence[Column]) -> list[Column]:
 
 def _window_sums(df, y, xs, interval, batch, keys, ts, seq) -> DataFrame:
     """Product sums of the last ``batch`` rows, refreshed every ``interval`` rows."""
-    numbered = positions(arrivals(df, ts, seq), keys, ARRIVAL_ORDER, "_rn")
+    base = arrivals(df, ts, seq)
+    split = plan_split(base, keys, ARRIVAL_ORDER)
+    numbered = positions(base, keys, ARRIVAL_ORDER, "_rn", split=split)
     values = _products(F.col(y).cast("double"), [F.col(x).cast("double") for x in xs])
     if batch >= UNBOUNDED:
         runs = {f"_p{i}": Run("sum", v) for i, v in enumerate(values)}
-        summed = running(numbered, keys, ARRIVAL_ORDER, runs)
+        summed = running(numbered, keys, ARRIVAL_ORDER, runs, split=split)
     else:
         cols = numbered.columns
         both = F.array(
@@ -141,7 +143,7 @@ def _window_sums(df, y, xs, interval, batch, keys, ts, seq) -> DataFrame:
     packed = summed.withColumn("_sums", F.array(*[f"_p{i}" for i in range(len(values))]))
     if interval > 1:
         due = F.when(F.col("_rn") % interval == 0, F.col("_sums"))
-        packed = running(packed, keys, ARRIVAL_ORDER, {"_kept": Run("last", due)}).withColumn("_sums", F.col("_kept"))
+        packed = running(packed, keys, ARRIVAL_ORDER, {"_kept": Run("last", due)}, split=split).withColumn("_sums", F.col("_kept"))
     return packed.select(*df.columns, "_t", "_s", "_rn", "_sums")
 
 
@@ -187,7 +189,8 @@ def outlier(
     Null until more than three events (and more than ``interval``) are seen.
     """
     fits = _fitted(df, y, [x], interval, batch, ci, keys, ts, seq)
-    before = neighbour(fits, keys, ARRIVAL_ORDER, -1, {"_prev": F.col("_fit")})
+    split = plan_split(arrivals(df, ts, seq), keys, ARRIVAL_ORDER)
+    before = neighbour(fits, keys, ARRIVAL_ORDER, -1, {"_prev": F.col("_fit")}, split=split)
     ready = F.col("_rn") > max(3, interval)
     at = lambda a, i: F.get(a, F.lit(i))
     centre = at("_prev", 1) + at("_prev", 2) * F.col(x)

@@ -92,21 +92,20 @@ def external_time(df, millis: int, *, keys=(), ts="ts", seq="seq", split=None) -
         F.struct((F.col("_t") + span).alias("_p"), F.lit(2).alias("_o"), F.col("_s").alias("_q"), F.lit(False).alias("_arr")),
     )
     merged = a.select(*cols, F.explode(both).alias("_x")).select(*cols, "_x.*")
+    split = None if split is None else split.on("_p", "_q", "_o")
     stamp = F.when(F.col("_arr"), F.struct(F.col("_t").alias("t"), F.col("_s").alias("s")))
     seen = running(
-        merged, keys, ("_p", "_o", "_q"), {"_next": Run("last", stamp)}, reverse=True, split=split
+        merged, keys, ("_p", "_q", "_o"), {"_next": Run("last", stamp)}, reverse=True, split=split
     ).filter(~F.col("_arr"))
     return _changes(
         seen, df.columns, (F.col("_t"), F.col("_s")), (F.col("_next.t"), F.col("_next.s"))
     )
 
 
-def unique(df, attrs: Sequence[str], *, keys=(), ts="ts", seq="seq", split=None) -> DataFrame:
+def unique(df, attrs: Sequence[str], *, keys=(), ts="ts", seq="seq") -> DataFrame:
     """The latest row of each attribute value is live; the replaced row expires."""
     a = arrivals(df, ts, seq)
-    nxt = neighbour(
-        a, (*keys, *attrs), ARRIVAL_ORDER, 1, {"_et": F.col("_t"), "_es": F.col("_s")}, split=split
-    )
+    nxt = neighbour(a, (*keys, *attrs), ARRIVAL_ORDER, 1, {"_et": F.col("_t"), "_es": F.col("_s")})
     return _changes(
         nxt, df.columns, (F.col("_t"), F.col("_s")), (F.col("_et"), F.col("_es"))
     )

@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,11 +57,17 @@ class Split:
     def active(self) -> bool:
         return self.cuts_json is not None or self.hot is not None
 
+    def on(self, *order: str) -> "Split":
+        """The same ranges for rows that carry the order under other names, with more
+        columns behind it (a change stream of the planned stream, for one)."""
+        return replace(self, order=order)
+
     def assign(self, df: DataFrame) -> DataFrame:
         """Add ``_range`` (0 for groups that are not hot) and ``_hot``."""
         if not self.active:
             return df.withColumn(RANGE, F.lit(0)).withColumn(_HOT, F.lit(False))
-        here = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order)])
+        width = len(self.cut_type.fields)
+        here = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order[:width])])
         if self.cuts_json is not None:
             cuts = F.from_json(F.lit(self.cuts_json), T.ArrayType(self.cut_type))
             return df.withColumn(RANGE, self._search(cuts, here)).withColumn(_HOT, F.lit(True))

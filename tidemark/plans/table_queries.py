@@ -304,7 +304,10 @@ def widen(df, column, by):
     return df.withColumn(f"{column}_wide", F.col(column) + F.lit(by))
 
 
-X.extension("window", "demo:pairs")(lambda df, **options: W.length(df, 2, **options))
+@X.extension("window", "demo:pairs")
+def pairs_window(df, *, keys=(), ts="ts", seq="seq", split=None):
+    return W.length(df, 2, keys=keys, ts=ts, seq=seq, split=split)
+
 
 
 @query("udf_scalar", "SELECT l_orderkey, l_partkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net FROM lineitem")
@@ -333,6 +336,6 @@ def udf_transform(t):
     f"SELECT event_id, CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS total FROM {CENTS}",
 )
 def udf_window(t):
-    changes = X.call("window", "demo:pairs", cents(t), keys=["user_id"])
-    out = A.over_changes(changes, ["user_id"], sums={"total": "cents"})
+    pairs = X.lookup("window", "demo:pairs")
+    out = A.over_window(cents(t), pairs, keys=["user_id"], sums={"total": "cents"})
     return W.output(out, "current").select("event_id", "total")

@@ -28,19 +28,20 @@ def _live_sql(frame: str, partition: str) -> str:
     WINDOW w AS ({partition} ORDER BY us, event_id {frame})"""
 
 
-def _live(changes, group=()):
-    out = A.over_changes(changes, group, sums={"total": "cents"}, averages={"mean": "cents"}, count="n")
+def _live(t, window, *args, **options):
+    aggs = {"sums": {"total": "cents"}, "averages": {"mean": "cents"}, "count": "n"}
+    out = A.over_window(cents(t), window, *args, **aggs, **options)
     return W.output(out, "current").select("event_id", "total", "n", F.round("mean", 4).alias("mean"))
 
 
 @query("win_length", _live_sql("ROWS BETWEEN 49 PRECEDING AND CURRENT ROW", ""))
 def win_length(t):
-    return _live(W.length(cents(t), 50))
+    return _live(t, W.length, 50)
 
 
 @query("win_length_keyed", _live_sql("ROWS BETWEEN 4 PRECEDING AND CURRENT ROW", "PARTITION BY user_id"))
 def win_length_keyed(t):
-    return _live(W.length(cents(t), 5, keys=KEY), KEY)
+    return _live(t, W.length, 5, keys=KEY)
 
 
 @query(
@@ -60,12 +61,12 @@ TIME_SQL = f"""SELECT event_id, CAST(sum(cents) OVER w AS BIGINT) AS total, coun
 
 @query("win_time", TIME_SQL % ("", 86_400_000_000 - 1))
 def win_time(t):
-    return _live(W.time(cents(t), W.DAY))
+    return _live(t, W.time, W.DAY)
 
 
 @query("win_time_keyed", TIME_SQL % ("PARTITION BY user_id", 86_400_000_000 - 1))
 def win_time_keyed(t):
-    return _live(W.time(cents(t), W.DAY), KEY)
+    return _live(t, W.time, W.DAY, keys=KEY)
 
 
 @query(
@@ -75,12 +76,12 @@ def win_time_keyed(t):
     AND ((b.us + 86400000000 + 3599999999) // 3600000000) * 3600000000 > a.us GROUP BY a.event_id""",
 )
 def win_time_step(t):
-    return _live(W.time(cents(t), W.DAY, step=W.HOUR), KEY)
+    return _live(t, W.time, W.DAY, step=W.HOUR, keys=KEY)
 
 
 @query("win_external_time", TIME_SQL % ("PARTITION BY event_type", 3_600_000_000))
 def win_external_time(t):
-    return _live(W.external_time(cents(t), W.HOUR, keys=["event_type"]), ["event_type"])
+    return _live(t, W.external_time, W.HOUR, keys=["event_type"])
 
 
 @query(
@@ -182,7 +183,7 @@ def win_unique_expired(t):
     (SELECT event_id, us, cents - coalesce(lag(cents) OVER (PARTITION BY user_id ORDER BY us, event_id), 0) AS d FROM {CENTS})""",
 )
 def win_unique_total(t):
-    out = A.over_changes(W.unique(cents(t), KEY), sums={"total": "cents"})
+    out = A.over_window(cents(t), W.unique, KEY, sums={"total": "cents"})
     return W.output(out, "current").select("event_id", "total")
 
 
