@@ -15,6 +15,7 @@ TTL_MS = 3_600_000
 
 
 CELLS_PER_TTL = 8
+NULL_SPREAD = 4096
 
 
 def _latest_known(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
@@ -30,7 +31,7 @@ def _latest_known(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
     own = right.withColumn("_cell", cell)
     last = own.groupBy("_key", "_cell").agg(F.max_by(F.struct("_t", "_s", "_known"), F.struct("_t", "_s")).alias("_l"))
     ahead = last.select(
-        "_key", F.explode(F.sequence(F.col("_cell") + 1, F.col("_cell") + CELLS_PER_TTL)).alias("_cell"),
+        "_key", F.lit(0).alias("_spread"), F.explode(F.sequence(F.col("_cell") + 1, F.col("_cell") + CELLS_PER_TTL)).alias("_cell"),
         "_l._t", F.lit(0).alias("_o"), "_l._s", "_l._known",
     )
     merged = (
@@ -39,7 +40,7 @@ def _latest_known(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
         .unionByName(ahead, allowMissingColumns=True)
     )
     window = (
-        Window.partitionBy("_key", "_cell").orderBy("_t", "_o", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_key", "_spread", "_cell").orderBy("_t", "_o", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return merged.withColumn("_last", F.last("_known", ignorenulls=True).over(window)).filter("_o = 1")
 
@@ -61,23 +62,25 @@ def lookup(
 
     The latest state row with ``ts - ttl < state.ts <= ts`` counts; without one
     the fields are null. Rows and state meet in one ordered pass per key (one
-    shuffle); rows with a null key never enter it.
+    shuffle); rows with a null key find nothing and are spread over many groups.
     """
     names = dict(fields) if isinstance(fields, dict) else {f: f for f in fields}
     a = arrivals(df, ts, seq)
     s = arrivals(state, ts, seq).filter(F.col(state_key).isNotNull())
     known = F.struct(F.col("_t").alias("_kt"), *[F.col(c).alias(o) for o, c in names.items()])
-    left = a.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), "_t", F.lit(1).alias("_o"), "_s", F.struct(*df.columns).alias("_row")
+    spread = F.when(F.col(key).isNull(), F.pmod(F.hash("_s"), F.lit(NULL_SPREAD))).otherwise(0)
+    left = a.select(
+        F.col(key).alias("_key"), spread.alias("_spread"), "_t", F.lit(1).alias("_o"), "_s",
+        F.struct(*df.columns).alias("_row"),
     )
-    right = s.select(F.col(state_key).alias("_key"), "_t", F.lit(0).alias("_o"), "_s", known.alias("_known"))
+    right = s.select(F.col(state_key).alias("_key"), F.lit(0).alias("_spread"), "_t", F.lit(0).alias("_o"), "_s", known.alias("_known"))
     if ttl_ms is not None:
         seen = _latest_known(left, right, ttl_ms)
         fresh = F.col("_last._kt") > F.col("_t") - F.lit(ttl_ms * 1000)
     else:
         merged = left.unionByName(right, allowMissingColumns=True)
         seen = running(
-            merged, ("_key",), ("_t", "_o", "_s"), {"_last": Run("last", F.col("_known"))}, split=split
+            merged, ("_key", "_spread"), ("_t", "_o", "_s"), {"_last": Run("last", F.col("_known"))}, split=split
         ).filter("_o = 1")
         fresh = F.col("_last").isNotNull()
     fresh = F.coalesce(fresh, F.lit(False))
@@ -85,13 +88,7 @@ def lookup(
     if hit:
         added.append(fresh.alias(hit))
     kept = [c for c in df.columns if c not in names]
-    found = seen.select(*[F.col(f"_row.{c}").alias(c) for c in kept], *added)
-    keyless = a.filter(F.col(key).isNull()).select(
-        *kept,
-        *[F.lit(None).cast(state.schema[c].dataType).alias(o) for o, c in names.items()],
-        *([F.lit(False).alias(hit)] if hit else []),
-    )
-    return found.unionByName(keyless)
+    return seen.select(*[F.col(f"_row.{c}").alias(c) for c in kept], *added)
 
 
 def with_defaults(df: DataFrame, hit: str, missing: dict[str, Column], found: dict[str, Column] | None = None) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals, ordered_scan
 from tidemark.ordering import Run, neighbour, plan_split, running
+from tidemark.session import materialize
 
 Where = Callable[[dict, dict], bool]
 CELLS_PER_BOUND = 4
@@ -117,6 +118,8 @@ def chain(
         hit = F.when(F.coalesce(when, F.lit(False)), content)
         rows = running(rows, keys, ARRIVAL_ORDER, {out: Run("last", hit)}, reverse=True, inclusive=False, split=split)
         rows = rows.select(*base, out)
+        if split.active and name != names[1]:
+            rows = materialize(rows)  # each further pass reads its input twice
         later = out
     starts = rows.filter(F.coalesce(steps[0][1], F.lit(False)))
     if not every:
@@ -161,6 +164,8 @@ def strict(
         )
         out = f"_after{i}"
         rows = neighbour(rows, keys, ARRIVAL_ORDER, 1, {out: content}, split=split).select(*base, *flags, out)
+        if split.active and i < len(steps) - 2:
+            rows = materialize(rows)  # each further pass reads its input twice
         later = out
     places = [later + ".n" * i for i in range(len(steps) - 1)] if later else []
     fits = [F.col(flags[0]), *[F.col(f"{p}.{flags[i + 1]}") for i, p in enumerate(places)]]

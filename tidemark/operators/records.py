@@ -306,11 +306,11 @@ def _debounce(df: DataFrame, key: str, places: Sequence[str], split: Split) -> D
     timed = neighbour(df, (key,), order, -1, {"_prev": F.col("timestamp")}, split=split)
     opens = F.col("_prev").isNull() | (F.col("timestamp") - F.col("_prev") > MINUTE)
     marked = running(timed, (key,), order, {"_segment": Run("sum", opens.cast("bigint"))}, split=split)
-    slim = marked.select(key, "_segment", "timestamp", "_s", *places)
-    schema = T.StructType([df.schema[key], T.StructField("_s", T.LongType())])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+    width = len(df.columns)
 
     def make(columns: list[str]):
-        key_at, time_at, seq_at = (columns.index(c) for c in (key, "timestamp", "_s"))
+        time_at = columns.index("timestamp")
         place_at = [columns.index(p) for p in places]
         last: list = [None, ()]
 
@@ -320,12 +320,11 @@ def _debounce(df: DataFrame, key: str, places: Sequence[str], split: Split) -> D
                 if not any(old is not None and old != new for old, new in zip(last[1], here)):
                     return []
             last[0], last[1] = now, here
-            return [(row[key_at], row[seq_at])]
+            return [row[:width]]
 
         return step
 
-    reported = ordered_scan(slim, [key, "_segment"], ["timestamp", "_s"], make, schema)
-    return df.join(reported, [key, "_s"], "left_semi")
+    return ordered_scan(marked.select(*df.columns, "_segment"), [key, "_segment"], list(order), make, schema)
 
 
 def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq") -> DataFrame:
@@ -344,19 +343,21 @@ def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq") -> D
     )
     gap = F.col("timestamp") - F.col("_old_t")
     known = F.coalesce(gap <= ttl_s, F.lit(False))
-    moved = before.withColumns(_moves(every, known))
-    first = {f"{p}_new": F.when(known, F.col(f"{p}_new")).otherwise(F.col(p)) for p in places}
-    same = {p: F.col(f"_same_{p}") for p in places}  # the station is always reported as it is now
-    helpers = ["_s", "_old_t", *[f"_old_{p}" for p in every], *[f"_same_{p}" for p in every]]
-    current = moved.withColumns(first).withColumns(same).drop(*helpers)
+    moves = _moves(every, known)
     minutes = F.ceil((gap - 2 * MINUTE) / F.lit(MINUTE)).cast("int") - 1
-    filled = (
-        before.filter(known & (gap > MINUTE) & (gap <= LEAVE_TIME) & (minutes >= 1))
-        .withColumn("timestamp", F.explode(F.transform(F.sequence(F.lit(1), minutes), lambda i: F.col("_old_t") + i * MINUTE)))
-        .withColumns({p: F.col(f"_old_{p}") for p in every})
-        .select(*df.columns)
-    )
-    return current.unionByName(filled, allowMissingColumns=True).withColumn("type", F.lit("nmsp"))
+    gaps = F.when(known & (gap > MINUTE) & (gap <= LEAVE_TIME), F.greatest(minutes, F.lit(0))).otherwise(0)
+    # Copy 0 is the report itself, copies 1, 2, ... are the missing minutes before it.
+    copies = before.withColumn("_i", F.explode(F.sequence(F.lit(0), gaps)))
+    report = F.col("_i") == 0
+    out = {"timestamp": F.when(report, F.col("timestamp")).otherwise(F.col("_old_t") + F.col("_i") * MINUTE)}
+    for p in every:
+        here = F.col(p) if p == "wireless_station" else moves[f"_same_{p}"]
+        out[p] = F.when(report, here).otherwise(F.col(f"_old_{p}"))
+        fresh = moves[f"{p}_new"] if p == "wireless_station" else F.when(known, moves[f"{p}_new"]).otherwise(F.col(p))
+        out[f"{p}_old"] = F.when(report, moves[f"{p}_old"])
+        out[f"{p}_new"] = F.when(report, fresh)
+    rest = [c for c in df.columns if c not in out]
+    return copies.select(*rest, *[v.alias(n) for n, v in out.items()], F.lit("nmsp").alias("type"))
 
 
 def merge_layers(df: DataFrame, layers: Sequence[str], *, hash_mac: bool = False) -> DataFrame:
@@ -392,52 +393,49 @@ def split_flow(df: DataFrame, now: Column) -> DataFrame:
     """
     cols = [c for c in df.columns if c != "first_switched"]
     both = F.col("first_switched").isNotNull() & F.col("timestamp").isNotNull()
-    plain = df.filter(~both).select(*cols)
     hour = lambda s: F.pmod(F.floor(s / 3600), F.lit(24))
     minute = F.pmod(F.floor(now / 60), F.lit(60))
     limit = now - minute * 60 - F.when(minute < LATE_MINUTES, 3600).otherwise(0)
-    timed = (
-        df.filter(both & not_late(F.col("timestamp"), now))
-        .withColumn("_from", F.greatest(F.col("first_switched").cast("bigint"), limit))
-        .withColumn("_to", F.col("timestamp").cast("bigint"))
+    end = F.col("timestamp").cast("bigint")
+    start = F.when(both, F.greatest(F.col("first_switched").cast("bigint"), limit)).otherwise(end)
+    timed = df.filter(~both | not_late(F.col("timestamp"), now)).withColumns({"_from": start, "_to": end})
+    ahead = both & (F.col("_to") > now) & (
+        (hour(F.col("_to")) != hour(F.col("_from"))) | (F.col("_to") - now > 3600)
     )
-    ahead = (F.col("_to") > now) & ((hour(F.col("_to")) != hour(F.col("_from"))) | (F.col("_to") - now > 3600))
-    timed = timed.withColumn("_to", F.when(ahead, now).otherwise(F.col("_to"))).withColumn(
-        "_from", F.when(ahead & (F.col("_to") <= F.col("_from")), now).otherwise(F.col("_from"))
+    timed = timed.withColumns(
+        {
+            "_to": F.when(ahead, now).otherwise(F.col("_to")),
+            "_from": F.when(ahead, F.least(F.col("_from"), now)).otherwise(F.col("_from")),
+        }
     )
     base = F.floor(F.col("_from") / 60) * 60
-    count = F.greatest(F.ceil((F.col("_to") - base) / 60), F.lit(1))
+    count = F.coalesce(F.greatest(F.ceil((F.col("_to") - base) / 60), F.lit(1)), F.lit(1))
     ends = F.transform(
         F.sequence(F.lit(1).cast("bigint"), count.cast("bigint")), lambda k: F.least(base + k * 60, F.col("_to"))
     )
-    total = F.col("_to") - F.col("_from")
+    total = F.coalesce(F.col("_to") - F.col("_from"), F.lit(0))
+
+    def amount(counter: str) -> Column:
+        return F.coalesce(F.col(counter).cast("bigint"), F.when(both, F.lit(0)))
 
     def shares(counter: str) -> Column:
-        amount = F.coalesce(F.col(counter).cast("bigint"), F.lit(0).cast("bigint"))
-        whole = F.transform(
-            F.col("_ends"),
-            lambda end, i: F.when(total == 0, amount).otherwise(
-                F.call_function(
-                    "div",
-                    amount * (end - F.when(i == 0, F.col("_from")).otherwise(F.col("_base") + i * 60)),
-                    F.when(total == 0, F.lit(1)).otherwise(total),
-                )
-            ),
-        )
-        return whole
+        def share(stop: Column, i: Column) -> Column:
+            begin = F.when(i == 0, F.col("_from")).otherwise(F.col("_base") + i * 60)
+            part = F.call_function("div", amount(counter) * (stop - begin), F.when(total == 0, 1).otherwise(total))
+            return F.when(total == 0, amount(counter)).otherwise(part)
+
+        return F.transform(F.col("_ends"), share)
 
     def rest(counter: str) -> Column:
-        amount = F.coalesce(F.col(counter).cast("bigint"), F.lit(0).cast("bigint"))
-        return amount - F.aggregate(F.col(f"_{counter}"), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+        given = F.aggregate(F.col(f"_{counter}"), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+        return F.when(both, amount(counter) - given).otherwise(0)
 
     arrays = (
         timed.withColumns({"_ends": ends, "_base": base})
         .withColumns({"_bytes": shares("bytes"), "_pkts": shares("pkts")})
         .withColumns({"_rest_bytes": rest("bytes"), "_rest_pkts": rest("pkts")})
     )
-    slices = arrays.select(
-        "*", F.posexplode(F.arrays_zip("_ends", "_bytes", "_pkts")).alias("_i", "_slice")
-    )
+    slices = arrays.select("*", F.posexplode(F.arrays_zip("_ends", "_bytes", "_pkts")).alias("_i", "_slice"))
     last = F.col("_i") == F.size("_ends") - 1
 
     def value(counter: str) -> Column:
@@ -446,9 +444,7 @@ def split_flow(df: DataFrame, now: Column) -> DataFrame:
         return F.when(last & (full > 0), full).otherwise(own)
 
     done = slices.withColumns({"timestamp": F.col("_slice._ends"), "bytes": value("bytes"), "pkts": value("pkts")})
-    return done.select(*cols).unionByName(
-        plain.withColumns({"timestamp": F.col("timestamp").cast("bigint"), "bytes": F.col("bytes").cast("bigint"), "pkts": F.col("pkts").cast("bigint")})
-    )
+    return done.select(*cols)
 
 
 def state_upsert(df: DataFrame, key: str, fields: Sequence[str], *, ts="ts", seq="seq") -> DataFrame:

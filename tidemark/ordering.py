@@ -270,6 +270,7 @@ def neighbour(
     values: dict[str, Column],
     *,
     split: Split | None = None,
+    block_rows: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Values of the row ``offset`` places away per key (negative looks back)."""
     keys, order = tuple(keys), tuple(order)
@@ -284,12 +285,20 @@ def neighbour(
             reverse=offset > 0, inclusive=False, split=split,
         )
     else:
+        # Blocks of consecutive positions, each with the rows just outside that it looks at.
+        reach = abs(offset)
+        block = max(block_rows, reach)
+        at = F.col("_rn") - 1
+        own = F.floor(at / block).cast("bigint")
+        inside = at % block
+        borrowed = inside < reach if offset > 0 else inside >= block - reach
+        other = own - 1 if offset > 0 else own + 1
+        window = Window.partitionBy(*keys, "_block").orderBy("_rn")
         numbered = positions(df, keys, order, "_rn", split=split)
-        other = numbered.select(
-            *[F.col(k).alias(f"_nk{i}") for i, k in enumerate(keys)],
-            (F.col("_rn") - F.lit(offset)).alias("_nr"),
-            packed.alias("_nb"),
+        copies = F.when(borrowed, F.array(own, other)).otherwise(F.array(own))
+        out = (
+            numbered.withColumn("_block", F.explode(copies))
+            .withColumn("_nb", F.lead(packed, offset).over(window))
+            .filter(F.col("_block") == own)
         )
-        same = [F.col(k).eqNullSafe(F.col(f"_nk{i}")) for i, k in enumerate(keys)]
-        out = numbered.join(other, _all([*same, F.col("_rn") == F.col("_nr")]), "left")
     return out.select(*df.columns, *[F.col(f"_nb.{n}").alias(n) for n in values])
