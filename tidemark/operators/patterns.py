@@ -16,7 +16,7 @@ order by a small step function, spread over as many tasks as the shape allows:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -184,15 +184,17 @@ def strict(
 # --- shapes that are read in order --------------------------------------------------------------
 
 
-@dataclass
-class _Partial:
-    slots: dict = field(default_factory=dict)
-    first: int | None = None
-    reached: int = -1
+def _partial() -> dict:
+    """A match in progress: filled slots, time of the first event, last step reached.
 
-    def copy(self) -> "_Partial":
-        slots = {n: list(v) if isinstance(v, list) else v for n, v in self.slots.items()}
-        return _Partial(slots, self.first, self.reached)
+    Plain data, so that it can be kept as streaming state.
+    """
+    return {"slots": {}, "first": None, "reached": -1}
+
+
+def _copied(p: dict) -> dict:
+    slots = {n: list(v) if isinstance(v, list) else v for n, v in p["slots"].items()}
+    return {**p, "slots": slots}
 
 
 @dataclass(frozen=True)
@@ -217,81 +219,81 @@ class _Reader:
     """Advances partial matches by one event. An event fills at most one successive
     step of a match, because what it advances waits in ``fresh`` until it is done."""
 
-    def __init__(self, shape: _Shape):
-        self.shape = shape
+    def __init__(self, shape: _Shape, memory: dict):
+        self.shape, self.memory = shape, memory
         self.last = len(shape.groups) - 1
-        self.waiting: list[list[_Partial]] = [[] for _ in shape.groups]
-        self.fresh: list[list[_Partial]] = [[] for _ in shape.groups]
+        self.fresh: list[list[dict]] = [[] for _ in shape.groups]
         self.done: list[dict] = []
-        self.enter(_Partial(), 0)
-        self._swap()
+        if "waiting" not in memory:
+            self.enter(_partial(), 0)
+            self._swap()
 
     def _swap(self) -> None:
-        self.waiting, self.fresh = self.fresh, [[] for _ in self.shape.groups]
+        self.memory["waiting"], self.fresh = self.fresh, [[] for _ in self.shape.groups]
 
-    def enter(self, p: _Partial, g: int) -> None:
+    def enter(self, p: dict, g: int) -> None:
         kind, states = self.shape.groups[g]
         if kind != "count" or states[0][2] > 0:
             self.fresh[g].append(p)
             return
-        p.slots.setdefault(states[0][0], [])
+        p["slots"].setdefault(states[0][0], [])
         if self.shape.contiguous and g < self.last:
             self.fresh[g].append(p)
-            self.enter(p.copy(), g + 1)
+            self.enter(_copied(p), g + 1)
             return
         if g < self.last:
             self.fresh[g].append(p)
-        p.reached = max(p.reached, g)
+        p["reached"] = max(p["reached"], g)
         self.advance(p, g)
 
-    def advance(self, p: _Partial, g: int) -> None:
+    def advance(self, p: dict, g: int) -> None:
         again = self.shape.again
         if again is not None and g == again[1]:
             kept = {n for _, states in self.shape.groups[: again[0]] for n, *_ in states}
-            clone = p.copy()
-            clone.slots = {n: v for n, v in clone.slots.items() if n in kept}
-            clone.first = clone.first if clone.slots else None
-            clone.reached = again[0] - 1
+            clone = _copied(p)
+            clone["slots"] = {n: v for n, v in clone["slots"].items() if n in kept}
+            clone["first"] = clone["first"] if clone["slots"] else None
+            clone["reached"] = again[0] - 1
             self.enter(clone, again[0])
         if g == self.last:
-            self.done.append(p.copy().slots)
+            self.done.append(_copied(p)["slots"])
         else:
             self.enter(p, g + 1)
 
-    def fits(self, p: _Partial, state: tuple, event: dict, flags: dict) -> bool:
+    def fits(self, p: dict, state: tuple, event: dict, flags: dict) -> bool:
         if not flags[state[0]]:
             return False
-        return state[1] is None or bool(state[1](event, p.slots))
+        return state[1] is None or bool(state[1](event, p["slots"]))
 
-    def put(self, p: _Partial, name: str, event: dict, now: int, many: bool) -> None:
+    def put(self, p: dict, name: str, event: dict, now: int, many: bool) -> None:
         if many:
-            p.slots.setdefault(name, []).append(event)
+            p["slots"].setdefault(name, []).append(event)
         else:
-            p.slots[name] = event
-        if p.first is None:
-            p.first = now
+            p["slots"][name] = event
+        if p["first"] is None:
+            p["first"] = now
 
     def read(self, event: dict, now: int, flags: dict, owned: bool) -> list[dict]:
         bound = self.shape.bound
         self.done = []
         for g in range(self.last, -1, -1):
             kind, states = self.shape.groups[g]
-            for p in self.waiting[g]:
-                if p.reached > g:
+            for p in self.memory["waiting"][g]:
+                if p["reached"] > g:
                     continue
-                late = bound is not None and p.first is not None and now - p.first > bound
+                late = bound is not None and p["first"] is not None and now - p["first"] > bound
                 if late and kind != "and":
                     continue
-                if p.first is None and not owned:
+                if p["first"] is None and not owned:
                     self.keep(p, g)
                     continue
                 getattr(self, f"_{kind}")(p, g, states, event, now, flags)
         if self.shape.contiguous:
-            self.enter(_Partial(), 0)
+            self.enter(_partial(), 0)
         self._swap()
         return self.done
 
-    def keep(self, p: _Partial, g: int) -> None:
+    def keep(self, p: dict, g: int) -> None:
         if not self.shape.contiguous:
             self.fresh[g].append(p)
 
@@ -300,50 +302,50 @@ class _Reader:
             self.keep(p, g)
             return
         self.put(p, states[0][0], event, now, False)
-        p.reached = g
+        p["reached"] = g
         self.advance(p, g)
 
     def _or(self, p, g, states, event, now, flags) -> None:
         for state in reversed(states):
             if self.fits(p, state, event, flags):
                 self.put(p, state[0], event, now, False)
-                p.reached = g
+                p["reached"] = g
                 self.advance(p, g)
                 return
         self.keep(p, g)
 
     def _and(self, p, g, states, event, now, flags) -> None:
         for state in reversed(states):
-            if state[0] not in p.slots and self.fits(p, state, event, flags):
+            if state[0] not in p["slots"] and self.fits(p, state, event, flags):
                 self.put(p, state[0], event, now, False)
-        if all(s[0] in p.slots for s in states):
-            p.reached = g
+        if all(s[0] in p["slots"] for s in states):
+            p["reached"] = g
             self.advance(p, g)
         else:
             self.keep(p, g)
 
     def _count(self, p, g, states, event, now, flags) -> None:
         name, _, low, high = states[0]
-        held = len(p.slots.get(name, ()))
+        held = len(p["slots"].get(name, ()))
         if high is not None and held >= high:
             return
         # The condition may look at the list with the event already in it.
-        before = p.slots.get(name, [])
-        p.slots[name] = [*before, event]
+        before = p["slots"].get(name, [])
+        p["slots"][name] = [*before, event]
         fit = self.fits(p, states[0], event, flags)
-        p.slots[name] = before
+        p["slots"][name] = before
         if not fit:
             self.keep(p, g)
             return
         self.put(p, name, event, now, True)
-        p.reached = g
+        p["reached"] = g
         held += 1
         if self.shape.contiguous:
             if held >= low:
                 if g == self.last:
-                    self.done.append(p.copy().slots)
+                    self.done.append(_copied(p)["slots"])
                     return
-                self.enter(p.copy(), g + 1)
+                self.enter(_copied(p), g + 1)
             self.fresh[g].append(p)
         elif held == low:
             if g < self.last:
@@ -357,28 +359,29 @@ def _steps(parts: Sequence[Step | Pair]) -> list[Step]:
     return [s for p in parts for s in ((p,) if isinstance(p, Step) else (p.first, p.second))]
 
 
-def _scan(
-    rows: DataFrame, parts: Sequence[Step | Pair], fields: Sequence[str], group: Sequence[str],
-    keys: Sequence[str], shape: _Shape,
-) -> DataFrame:
+def _step_function(
+    schema_of: T.StructType, parts: Sequence[Step | Pair], fields: Sequence[str], keys: Sequence[str], shape: _Shape
+):
+    """Output schema and step function of a shape."""
     steps = _steps(parts)
     names = [s.name for s in steps]
-    event_type = T.StructType([rows.schema[f] for f in fields])
+    counted = {s.name for s in steps if s.counted}
+    fields, keys = tuple(fields), tuple(keys)
+    event_type = T.StructType([schema_of[f] for f in fields])
     schema = T.StructType(
         [
-            *[rows.schema[k] for k in keys],
+            *[schema_of[k] for k in keys],
             *[T.StructField(s.name, T.ArrayType(event_type) if s.counted else event_type) for s in steps],
             T.StructField("_at", T.LongType()),
         ]
     )
-    counted = {s.name for s in steps if s.counted}
 
-    def make(columns: list[str]):
+    def make(columns: list[str], memory: dict):
         field_at = [(f, columns.index(f)) for f in fields]
         flag_at = [(n, columns.index(f"_is_{n}")) for n in names]
         key_at = [columns.index(k) for k in keys]
         now_at, own_at = columns.index("_t"), columns.index("_own")
-        reader = _Reader(shape)
+        reader = _Reader(shape, memory)
 
         def take(row: tuple) -> list[tuple]:
             event = {f: row[i] for f, i in field_at}
@@ -391,10 +394,20 @@ def _scan(
 
         return take
 
-    slim = rows.select(
-        *dict.fromkeys([*group, *keys, *fields, "_t", "_s", "_own", *[f"_is_{n}" for n in names]])
-    )
-    return ordered_scan(slim, group, ["_t", "_s"], make, schema)
+    return schema, make
+
+
+def _slim(rows: DataFrame, parts, fields, group, keys) -> DataFrame:
+    flags = [f"_is_{s.name}" for s in _steps(parts)]
+    return rows.select(*dict.fromkeys([*group, *keys, *fields, "_t", "_s", "_own", *flags]))
+
+
+def _scan(
+    rows: DataFrame, parts: Sequence[Step | Pair], fields: Sequence[str], group: Sequence[str],
+    keys: Sequence[str], shape: _Shape,
+) -> DataFrame:
+    schema, make = _step_function(rows.schema, parts, fields, keys, shape)
+    return ordered_scan(_slim(rows, parts, fields, group, keys), group, ["_t", "_s"], make, schema)
 
 
 def _flagged(df, parts, ts, seq) -> DataFrame:

@@ -307,24 +307,30 @@ def _debounce(df: DataFrame, key: str, places: Sequence[str], split: Split) -> D
     opens = F.col("_prev").isNull() | (F.col("timestamp") - F.col("_prev") > MINUTE)
     marked = running(timed, (key,), order, {"_segment": Run("sum", opens.cast("bigint"))}, split=split)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-    width = len(df.columns)
+    make = reporter(places, len(df.columns))
+    return ordered_scan(marked.select(*df.columns, "_segment"), [key, "_segment"], list(order), make, schema)
+
 
-    def make(columns: list[str]):
+def reporter(places: Sequence[str], width: int, with_old: bool = False):
+    """Step that passes the reported rows on, with the last report behind them if asked."""
+    places = tuple(places)
+
+    def make(columns: list[str], memory: dict):
         time_at = columns.index("timestamp")
         place_at = [columns.index(p) for p in places]
-        last: list = [None, ()]
 
         def step(row: tuple) -> list[tuple]:
             now, here = row[time_at], [row[i] for i in place_at]
-            if last[0] is not None and now - last[0] <= MINUTE:
-                if not any(old is not None and old != new for old, new in zip(last[1], here)):
+            then, before = memory.get("last", (None, [None] * len(place_at)))
+            if then is not None and now - then <= MINUTE:
+                if not any(old is not None and old != new for old, new in zip(before, here)):
                     return []
-            last[0], last[1] = now, here
-            return [row[:width]]
+            memory["last"] = (now, here)
+            return [(*row[:width], then, *before)] if with_old else [row[:width]]
 
         return step
 
-    return ordered_scan(marked.select(*df.columns, "_segment"), [key, "_segment"], list(order), make, schema)
+    return make
 
 
 def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq") -> DataFrame:
@@ -341,6 +347,13 @@ def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq") -> D
         reported, (key,), ("timestamp", "_s"), -1,
         {"_old_t": F.col("timestamp"), **{f"_old_{p}": F.col(p) for p in every}}, split=split,
     )
+    return dwell_rows(before, df.columns, ttl_s)
+
+
+def dwell_rows(before: DataFrame, columns: Sequence[str], ttl_s: int) -> DataFrame:
+    """Reports with their previous report (``_old_*``) to movement rows and filled minutes."""
+    places = ("client_floor", "client_zone", "client_building", "client_campus")
+    every = (*places, "wireless_station")
     gap = F.col("timestamp") - F.col("_old_t")
     known = F.coalesce(gap <= ttl_s, F.lit(False))
     moves = _moves(every, known)
@@ -356,7 +369,7 @@ def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq") -> D
         fresh = moves[f"{p}_new"] if p == "wireless_station" else F.when(known, moves[f"{p}_new"]).otherwise(F.col(p))
         out[f"{p}_old"] = F.when(report, moves[f"{p}_old"])
         out[f"{p}_new"] = F.when(report, fresh)
-    rest = [c for c in df.columns if c not in out]
+    rest = [c for c in columns if c not in out]
     return copies.select(*rest, *[v.alias(n) for n, v in out.items()], F.lit("nmsp").alias("type"))
 
 

@@ -74,9 +74,11 @@ def delete_theta(table: DataFrame, events: DataFrame, column: str, op: str, even
     return table.filter(~F.coalesce(gone, F.lit(False)))
 
 
-def save(table: DataFrame, root: str, version: int) -> None:
-    """Write a new version; it becomes current when the write commits."""
-    table.write.mode("errorifexists").parquet(f"{root}/version={version}")
+def save(table: DataFrame, root: str, version: int, *, replace: bool = False) -> None:
+    """Write a new version; it becomes current when the write commits. ``replace`` makes a
+    repeated micro-batch write its version again."""
+    mode = "overwrite" if replace else "errorifexists"
+    table.write.mode(mode).parquet(f"{root}/version={version}")
 
 
 def current(spark: SparkSession, root: str) -> tuple[DataFrame, int]:

@@ -16,6 +16,7 @@ stamped with the moment it leaves. Changes carry
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterable, Sequence
 
 import pandas as pd
@@ -193,11 +194,13 @@ def ordered_scan(
     make,
     schema: T.StructType,
 ) -> DataFrame:
-    """Feed each group's rows in order to a small step object, batch by batch.
+    """Feed each group's rows in order to a small step function, batch by batch.
 
-    Rows are shuffled by ``keys``, sorted inside the partition (spilling sort) and
-    streamed as Arrow batches. What is held in memory is one batch and the state
-    of the group being read, never a whole group.
+    ``make(columns, memory)`` gives a function from a row to output rows; what it
+    remembers lives in the plain dict ``memory``, so the same function serves
+    keyed streaming state. Rows are shuffled by ``keys``, sorted inside the
+    partition (spilling sort) and read as Arrow batches: what is held is one
+    batch and the memory of the group being read, never a whole group.
     """
     keys, order = list(keys), list(order)
 
@@ -211,7 +214,7 @@ def ordered_scan(
             for row in pdf.itertuples(index=False, name=None):
                 here = tuple(row[i] for i in places)
                 if here != key:
-                    key, state = here, make(names)
+                    key, state = here, make(names, {})
                 out.extend(state(row))
             if out:
                 yield pd.DataFrame.from_records(out, columns=schema.names)
@@ -279,14 +282,12 @@ def sort_window(
     )
     width = len(names)
 
-    def make(columns: list[str]):
+    def make(columns: list[str], memory: dict):
         t_at, s_at = columns.index("_t"), columns.index("_s")
         b_at, j_at = columns.index(names[0]), columns.index("_json")
-        kept: list[tuple] = []
+        kept: list[tuple] = memory.setdefault("kept", [])
 
         def step(row: tuple) -> list[tuple]:
-            import bisect
-
             rank_key = row[b_at : b_at + width + 2]
             bisect.insort(kept, (rank_key, row[j_at]))
             if row[t_at] == -1 and row[s_at] == -1:
@@ -387,9 +388,9 @@ def frequent(df, k: int, attrs: Sequence[str], *, keys: Sequence[str], ts="ts",
     """
     attrs, keys = list(attrs), list(keys)
 
-    def make(columns: list[str]):
+    def make(columns: list[str], memory: dict):
         at = [columns.index(a) for a in attrs]
-        held: dict[tuple, list] = {}
+        held: dict[tuple, list] = memory.setdefault("held", {})
 
         def step(row: tuple) -> list[tuple]:
             item = tuple(row[i] for i in at)
@@ -423,14 +424,12 @@ def lossy_frequent(
     error = support / 10 if error is None else error
     width = -(-1 // error) if error else float("inf")
 
-    def make(columns: list[str]):
+    def make(columns: list[str], memory: dict):
         at = [columns.index(a) for a in attrs]
-        held: dict[tuple, list] = {}
-        seen = [0]
+        held: dict[tuple, list] = memory.setdefault("held", {})
 
         def step(row: tuple) -> list[tuple]:
-            seen[0] += 1
-            total = seen[0]
+            total = memory["seen"] = memory.get("seen", 0) + 1
             bucket = 1 if total == 1 else -(-total // width)
             item = tuple(row[i] for i in at)
             if item in held:
