@@ -357,7 +357,21 @@ def trf_move_mse(t):
     )
 
 
-@query("trf_move_nmsp")
+@query(
+    "trf_move_nmsp",
+    f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS rn FROM (SELECT event_id, user_id, ({SEC} - 1704067200) // 90 AS t,
+      event_type AS floor, 'C' || ((event_id // 1000) % 3) AS campus, CASE WHEN event_id % 4 <> 0 THEN 'ap' || (event_id % 2) END AS ap FROM events)),
+    r AS (SELECT user_id, rn, t, floor, ap, true AS told, t AS st, floor AS sf, campus AS sc, ap AS sa, CAST(NULL AS BIGINT) AS ot, CAST(NULL AS VARCHAR) AS of, CAST(NULL AS VARCHAR) AS oa FROM p WHERE rn = 1
+      UNION ALL SELECT user_id, rn, t, floor, ap, told, CASE WHEN told THEN t ELSE st END, CASE WHEN told THEN floor ELSE sf END, CASE WHEN told THEN campus ELSE sc END,
+        CASE WHEN told THEN ap ELSE sa END, st, sf, sa
+      FROM (SELECT p.*, r.st, r.sf, r.sc, r.sa, p.t - r.st > 60 OR p.floor <> r.sf OR p.campus <> r.sc OR (r.sa IS NOT NULL AND p.ap IS DISTINCT FROM r.sa) AS told
+        FROM r JOIN p ON p.user_id = r.user_id AND p.rn = r.rn + 1)),
+    k AS (SELECT *, ot IS NOT NULL AND t - ot <= 3600 AS known FROM r WHERE told)
+    SELECT user_id AS client_mac, t AS timestamp, CASE WHEN known AND of <> floor THEN of END AS client_floor_old, CASE WHEN NOT known OR of <> floor THEN floor END AS client_floor_new,
+      CASE WHEN known AND of = floor THEN floor END AS client_floor, ap AS wireless_station FROM k
+    UNION ALL SELECT user_id, ot + i * 60, NULL, NULL, of, oa FROM (SELECT *, unnest(range(1, greatest(CAST(ceil((t - ot - 120) / 60.0) AS BIGINT), 1))) AS i FROM k
+      WHERE known AND t - ot > 60 AND t - ot <= 1800)""",
+)
 def trf_move_nmsp(t):
     # A month of events is squeezed to about eight hours so that reports fall within minutes.
     rows = placed(t).withColumns(

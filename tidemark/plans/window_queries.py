@@ -204,7 +204,24 @@ def win_frequent(t):
     return W.frequent_items(t.events, 5, ["event_type"])
 
 
-@query("win_frequent_trace")
+_COUNTED = """WITH RECURSIVE p AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    r AS (SELECT user_id, rn, event_id, [{'t': event_type, 'c': 1, 'b': 0, 'id': event_id}] AS held, true AS cur, CAST([] AS BIGINT[]) AS gone FROM p WHERE rn = 1
+    UNION ALL %s)
+    SELECT event_id, user_id, 'current' AS _kind FROM r WHERE cur UNION ALL SELECT unnest(gone), user_id, 'expired' FROM r"""
+
+
+@query(
+    "win_frequent_trace",
+    _COUNTED % """SELECT user_id, rn, event_id,
+      CASE WHEN hit THEN list_transform(held, lambda h: CASE WHEN h.t = event_type THEN {'t': h.t, 'c': h.c + 1, 'b': 0, 'id': event_id} ELSE h END)
+        WHEN len(held) < 2 THEN list_append(held, {'t': event_type, 'c': 1, 'b': 0, 'id': event_id})
+        WHEN len(kept) < 2 THEN list_append(kept, {'t': event_type, 'c': 1, 'b': 0, 'id': event_id}) ELSE kept END,
+      hit OR len(held) < 2 OR len(kept) < 2,
+      CASE WHEN hit OR len(held) < 2 THEN CAST([] AS BIGINT[]) ELSE list_transform(list_filter(held, lambda h: h.c = 1), lambda h: h.id) END
+      FROM (SELECT p.*, held, list_contains(list_transform(held, lambda h: h.t), p.event_type) AS hit,
+        list_filter(list_transform(held, lambda h: {'t': h.t, 'c': h.c - 1, 'b': 0, 'id': h.id}), lambda h: h.c > 0) AS kept
+        FROM r JOIN p ON p.user_id = r.user_id AND p.rn = r.rn + 1)""",
+)
 def win_frequent_trace(t):
     rows = t.events.select("event_id", "ts", "seq", "user_id", "event_type")
     return W.frequent(rows, 2, ["event_type"], keys=KEY).select("event_id", "user_id", "_kind")
@@ -219,7 +236,18 @@ def win_lossy_frequent(t):
     return W.lossy_frequent_items(t.events, 0.008, KEY)
 
 
-@query("win_lossy_frequent_trace")
+# The first row of a key counts 1 of 1 and is current; pruning happens every 34 rows (1 / 0.03).
+@query(
+    "win_lossy_frequent_trace",
+    _COUNTED % """SELECT user_id, rn, event_id,
+      CASE WHEN rn % 34 = 0 THEN list_filter(added, lambda h: h.c + h.b > bucket) ELSE added END,
+      list_filter(added, lambda h: h.t = event_type)[1].c >= (CAST(0.3 AS DOUBLE) - CAST(0.3 AS DOUBLE) / 10) * rn,
+      CASE WHEN rn % 34 = 0 THEN list_transform(list_filter(added, lambda h: h.c + h.b <= bucket), lambda h: h.id) ELSE CAST([] AS BIGINT[]) END
+      FROM (SELECT *, CASE WHEN hit THEN list_transform(held, lambda h: CASE WHEN h.t = event_type THEN {'t': h.t, 'c': h.c + 1, 'b': h.b, 'id': event_id} ELSE h END)
+          ELSE list_append(held, {'t': event_type, 'c': 1, 'b': CAST(bucket - 1 AS INTEGER), 'id': event_id}) END AS added
+        FROM (SELECT p.*, (p.rn + 33) // 34 AS bucket, held, list_contains(list_transform(held, lambda h: h.t), p.event_type) AS hit
+          FROM r JOIN p ON p.user_id = r.user_id AND p.rn = r.rn + 1))""",
+)
 def win_lossy_frequent_trace(t):
     rows = t.events.select("event_id", "ts", "seq", "user_id", "event_type")
     return W.lossy_frequent(rows, 0.3, ["event_type"], keys=KEY).select("event_id", "user_id", "_kind")
