@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,20 +28,29 @@ def local_session(cpus: int | str = 8, app: str = "tidemark", **conf: str) -> Sp
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local master with
-    nothing configured falls back to a temporary folder; a cluster without a
-    shared folder is an error rather than a checkpoint lost with its executor.
+    Only a local master with nothing configured falls back to a temporary
+    folder; a cluster without a shared folder is an error rather than data lost
+    with its executor.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+    return folder
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
