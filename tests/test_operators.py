@@ -270,8 +270,8 @@ def test_lookup_equals_plain_pass(spark):
 
 
 def test_table_join_without_condition_column(spark):
-    check = messages.replay(spark, [("WSO2", 1), ("IBM", 2)], "symbol string, v int")
-    table = spark.createDataFrame([("WSO2", 55), ("IBM", 10)], "s string, volume int")
+    check = messages.replay(spark, [("ACME", 1), ("IBM", 2)], "symbol string, v int")
+    table = spark.createDataFrame([("ACME", 55), ("IBM", 10)], "s string, volume int")
     assert J.table_join(check, table, [("symbol", "s")]).count() == 2
 
 

@@ -117,8 +117,8 @@ def access_points(
 
     ``points``: id, mac_address, latitude, longitude, sensor_id; ``sensors``: id,
     parent_id, name; ``point_zones``: access_point_id, zone_id; ``zones``: id, name.
-    Only rows with an access point survive the reference's outer joins, so left
-    joins from the access points give the same rows.
+    Rows without an access point are of no use, so the access points are the left side
+    of every join.
     """
 
     def level(name: str) -> DataFrame:

@@ -106,10 +106,10 @@ def snk_json(t):
 
 @query(
     "snk_kafka",
-    """SELECT 'rb_flow_post' AS topic, '{"event_id":' || event_id || '}' AS value FROM events""",
+    """SELECT 'flow_post' AS topic, '{"event_id":' || event_id || '}' AS value FROM events""",
 )
 def snk_kafka(t):
-    return msg.to_messages(t.events.select("event_id"), "rb_flow_post")
+    return msg.to_messages(t.events.select("event_id"), "flow_post")
 
 
 @query(
