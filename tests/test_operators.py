@@ -269,6 +269,16 @@ def test_lookup_equals_plain_pass(spark):
     assert key(cells) == key(plain)
 
 
+def test_unbounded_pairs_and_their_counts(spark):
+    left = messages.replay(spark, [("a", 1), ("b", 2), ("a", 3)], "k string, v int").withColumn("seq", F.col("seq") * 2)
+    right = messages.replay(spark, [("a", 9), ("a", 8), ("c", 7)], "k string, v int").withColumn("seq", F.col("seq") * 2 + 1)
+    timed = lambda d: d.withColumn("ts", F.timestamp_seconds("seq"))
+    pairs = J.unbounded_join(timed(left), timed(right), [("k", "k")])
+    triggers = pairs.groupBy("_trigger").count().collect()
+    counts = J.partner_counts(timed(left), timed(right), [("k", "k")]).groupBy("_side").agg(F.sum("n_partners")).collect()
+    assert {tuple(r) for r in triggers} == {tuple(r) for r in counts} == {("left", 2), ("right", 2)}
+
+
 def test_table_join_without_condition_column(spark):
     check = messages.replay(spark, [("ACME", 1), ("IBM", 2)], "symbol string, v int")
     table = spark.createDataFrame([("ACME", 55), ("IBM", 10)], "s string, volume int")

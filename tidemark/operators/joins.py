@@ -190,6 +190,27 @@ def unbounded_join(
     return pairs.drop("l__t", "l__s", "r__t", "r__s")
 
 
+def partner_counts(
+    left: DataFrame, right: DataFrame, equal: Pairs, out: str = "n_partners", *, ts="ts", seq="seq"
+) -> DataFrame:
+    """How many rows of the other side each arriving row of either side finds in an
+    unbounded join, without building the pairs: a running count per key.
+
+    One row per arrival with ``_side``, ``_key`` (the equal columns), ``_s`` and the count.
+    """
+    keys = [f"_k{i}" for i in range(len(equal))]
+
+    def side(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        a = arrivals(df, ts, seq)
+        return a.select(*[F.col(c).alias(k) for c, k in zip(columns, keys)], "_t", "_s", F.lit(name).alias("_side"))
+
+    both = side(left, [a for a, _ in equal], "left").unionByName(side(right, [b for _, b in equal], "right"))
+    is_left = F.col("_side") == "left"
+    runs = {"_nl": Run("count", F.when(is_left, 1)), "_nr": Run("count", F.when(~is_left, 1))}
+    counted = running(both, keys, ("_t", "_s", "_side"), runs)
+    return counted.select(F.struct(*keys).alias("_key"), "_side", "_s", F.when(is_left, F.col("_nr")).otherwise(F.col("_nl")).alias(out))
+
+
 def table_join(
     stream: DataFrame, table: DataFrame, equal: Pairs, *, on: On | None = None, how: str = "inner"
 ) -> DataFrame:

@@ -55,10 +55,11 @@ def jn_length(t):
     _pairs_sql("true", "a.user_id AS user_id, count(*) AS n, count(*) FILTER (a.us > b.us) AS by_view") + " GROUP BY a.user_id",
 )
 def jn_unbounded(t):
-    pairs = J.unbounded_join(typed(t, "view"), typed(t, "purchase"), USER)
-    return pairs.groupBy(F.col("l_user_id").alias("user_id")).agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_trigger") == "left", 1)).alias("by_view")
-    )
+    """Pairs of an unbounded join grow with the square of a key's rows, so they are counted, not built."""
+    found = J.partner_counts(typed(t, "view"), typed(t, "purchase"), USER)
+    n, by_view = F.sum("n_partners").alias("n"), F.sum(F.when(F.col("_side") == "left", F.col("n_partners")).otherwise(0)).alias("by_view")
+    out = found.groupBy(F.col("_key._k0").alias("user_id")).agg(n, by_view)
+    return out.filter(F.col("n") > 0)
 
 
 @query("jn_theta", _pairs_sql("abs(a.us - b.us) < 3600000000 AND a.value > b.value * 3", key="true"))
