@@ -302,7 +302,7 @@ def trf_nmsp_data(t):
 
 @query(
     "trf_nmsp_info",
-    f"""SELECT event_id, 'm' || user_id AS client_mac, CAST(user_id % 7 AS INTEGER) AS src_vlan, 'ap' || (event_id % 6) AS wireless_station, {NOW_SQL} AS timestamp
+    f"""SELECT event_id, 'm' || user_id AS client_mac, CAST(user_id % 7 AS INTEGER) AS src_vlan, 'ap' || (event_id % 6) AS wireless_station, CAST({NOW_SQL} AS BIGINT) AS timestamp
     FROM events WHERE event_type = 'signup'""",
 )
 def trf_nmsp_info(t):
