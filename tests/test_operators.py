@@ -360,3 +360,30 @@ def test_regression_refreshes_every_interval(spark):
     full = [r.stdError for r in G.regress(df, "y", ["x"]).orderBy("seq").collect()]
     assert got[:6] == [None] * 6
     assert np.allclose(got[6:], [full[i - i % 7 - 1] for i in range(7, 51)])
+
+
+@pytest.mark.parametrize("side", [None, "left", "right"])
+def test_length_join_against_a_plain_loop(spark, side):
+    random.seed(9)
+    rows = [(i, random.choice("lr"), random.choice("ab")) for i in range(120)]
+    df = spark.createDataFrame(rows, "seq bigint, s string, k string").withColumn("ts", F.timestamp_seconds("seq"))
+    left, right = df.filter("s = 'l'"), df.filter("s = 'r'")
+    out = J.length_join(left, right, 4, 7, equal=[("k", "k")], unidirectional=side)
+    want, seen = [], {"l": [], "r": []}
+    for i, s, k in rows:
+        live = seen["r"][-7:] if s == "l" else seen["l"][-4:]
+        if side is None or side[0] == s:
+            want += [(i, j, "left") if s == "l" else (j, i, "right") for j, k2 in live if k2 == k]
+        seen[s].append((i, k))
+    assert sorted(map(tuple, out.select("l_seq", "r_seq", "_trigger").collect())) == sorted(want)
+
+
+def test_shared_lookups_equal_single_ones(spark):
+    df = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("seq", F.col("event_id"))
+    pick = lambda kind, out: df.filter(F.col("event_type") == kind).select("ts", "seq", "user_id", F.col("event_id").alias(out))
+    a, b = pick("click", "a"), pick("signup", "b")
+    rows = df.filter("event_type = 'view'").select("event_id", "ts", "seq", "user_id")
+    both = E.lookups(rows, "user_id", [E.State(a, "user_id", {"a": "a"}), E.State(b, "user_id", {"b": "b"}, "hit")], ttl_ms=3 * W.DAY)
+    one = E.lookup(E.lookup(rows, a, "user_id", "user_id", ["a"], ttl_ms=3 * W.DAY), b, "user_id", "user_id", ["b"], ttl_ms=3 * W.DAY)
+    assert sorted(map(str, both.select("event_id", "a", "b").collect())) == sorted(map(str, one.select("event_id", "a", "b").collect()))
+    assert both.filter("hit <> (b is not null)").count() == 0

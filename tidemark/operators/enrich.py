@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +19,18 @@ CELLS_PER_TTL = 8
 NULL_SPREAD = 4096
 
 
-def _latest_known(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
-    """Rows of ``left`` with the last ``_known`` of their key, by time cells.
+@dataclass(frozen=True)
+class State:
+    """A keyed state stream: ``fields`` maps the added column to the state's column."""
+
+    frame: DataFrame
+    key: str
+    fields: dict[str, str]
+    hit: str | None = None
+
+
+def _latest_known(left: DataFrame, rights: Sequence[DataFrame], ttl_ms: int) -> DataFrame:
+    """Rows of ``left`` with the last ``_known<i>`` of their key, by time cells.
 
     Nothing older than the time to live counts, so time is cut into cells of a
     fraction of it and each (key, cell) is read on its own: a key with most of
@@ -28,67 +39,97 @@ def _latest_known(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
     """
     width = F.lit(max(ttl_ms * 1000 // CELLS_PER_TTL, 1))
     cell = F.floor(F.col("_t") / width).cast("bigint")
-    own = right.withColumn("_cell", cell)
-    last = own.groupBy("_key", "_cell").agg(F.max_by(F.struct("_t", "_s", "_known"), F.struct("_t", "_s")).alias("_l"))
-    ahead = last.select(
-        "_key", F.lit(0).alias("_spread"), F.explode(F.sequence(F.col("_cell") + 1, F.col("_cell") + CELLS_PER_TTL)).alias("_cell"),
-        "_l._t", F.lit(0).alias("_o"), "_l._s", "_l._known",
-    )
-    merged = (
-        left.withColumn("_cell", cell)
-        .unionByName(own, allowMissingColumns=True)
-        .unionByName(ahead, allowMissingColumns=True)
-    )
+    merged = left.withColumn("_cell", cell)
+    for i, right in enumerate(rights):
+        known = f"_known{i}"
+        own = right.withColumn("_cell", cell)
+        place = F.struct("_t", "_s")
+        last = own.groupBy("_key", "_cell").agg(F.max_by(F.struct("_t", "_s", known), place).alias("_l"))
+        ahead = last.select(
+            "_key", F.lit(0).alias("_spread"),
+            F.explode(F.sequence(F.col("_cell") + 1, F.col("_cell") + CELLS_PER_TTL)).alias("_cell"),
+            "_l._t", F.lit(0).alias("_o"), "_l._s", f"_l.{known}",
+        )
+        merged = merged.unionByName(own, allowMissingColumns=True).unionByName(ahead, allowMissingColumns=True)
     window = (
-        Window.partitionBy("_key", "_spread", "_cell").orderBy("_t", "_o", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_key", "_spread", "_cell").orderBy("_t", "_o", "_s")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return merged.withColumn("_last", F.last("_known", ignorenulls=True).over(window)).filter("_o = 1")
+    seen = {f"_last{i}": F.last(f"_known{i}", ignorenulls=True).over(window) for i in range(len(rights))}
+    return merged.withColumns(seen).filter("_o = 1")
 
 
-def lookup(
+def lookups(
     df: DataFrame,
-    state: DataFrame,
     key: str,
-    state_key: str,
-    fields: Sequence[str] | dict[str, str],
+    states: Sequence[State],
     *,
     ttl_ms: int | None = TTL_MS,
-    hit: str | None = None,
     ts="ts",
     seq="seq",
     split: Split | None = None,
 ) -> DataFrame:
-    """Add the state fields known for ``df[key]`` at each row's time.
+    """Add the fields that several states know for ``df[key]`` at each row's time.
 
     The latest state row with ``ts - ttl < state.ts <= ts`` counts; without one
-    the fields are null. Rows and state meet in one ordered pass per key (one
-    shuffle); rows with a null key find nothing and are spread over many groups.
+    the fields are null. The rows and all states meet in one ordered pass per
+    key, so the rows are shuffled once however many states there are. Rows with
+    a null key find nothing and are spread over many groups.
     """
-    names = dict(fields) if isinstance(fields, dict) else {f: f for f in fields}
     a = arrivals(df, ts, seq)
-    s = arrivals(state, ts, seq).filter(F.col(state_key).isNotNull())
-    known = F.struct(F.col("_t").alias("_kt"), *[F.col(c).alias(o) for o, c in names.items()])
     spread = F.when(F.col(key).isNull(), F.pmod(F.hash("_s"), F.lit(NULL_SPREAD))).otherwise(0)
     left = a.select(
         F.col(key).alias("_key"), spread.alias("_spread"), "_t", F.lit(1).alias("_o"), "_s",
         F.struct(*df.columns).alias("_row"),
     )
-    right = s.select(F.col(state_key).alias("_key"), F.lit(0).alias("_spread"), "_t", F.lit(0).alias("_o"), "_s", known.alias("_known"))
+    rights = []
+    for i, state in enumerate(states):
+        known = F.struct(F.col("_t").alias("_kt"), *[F.col(c).alias(o) for o, c in state.fields.items()])
+        rights.append(
+            arrivals(state.frame, ts, seq)
+            .filter(F.col(state.key).isNotNull())
+            .select(
+                F.col(state.key).alias("_key"), F.lit(0).alias("_spread"), "_t", F.lit(0).alias("_o"), "_s",
+                known.alias(f"_known{i}"),
+            )
+        )
     if ttl_ms is not None:
-        seen = _latest_known(left, right, ttl_ms)
-        fresh = F.col("_last._kt") > F.col("_t") - F.lit(ttl_ms * 1000)
+        seen = _latest_known(left, rights, ttl_ms)
     else:
-        merged = left.unionByName(right, allowMissingColumns=True)
-        seen = running(
-            merged, ("_key", "_spread"), ("_t", "_o", "_s"), {"_last": Run("last", F.col("_known"))}, split=split
-        ).filter("_o = 1")
-        fresh = F.col("_last").isNotNull()
-    fresh = F.coalesce(fresh, F.lit(False))
-    added = [F.when(fresh, F.col(f"_last.{o}")).alias(o) for o in names]
-    if hit:
-        added.append(fresh.alias(hit))
-    kept = [c for c in df.columns if c not in names]
-    return seen.select(*[F.col(f"_row.{c}").alias(c) for c in kept], *added)
+        merged = left
+        for right in rights:
+            merged = merged.unionByName(right, allowMissingColumns=True)
+        runs = {f"_last{i}": Run("last", F.col(f"_known{i}")) for i in range(len(rights))}
+        seen = running(merged, ("_key", "_spread"), ("_t", "_o", "_s"), runs, split=split).filter("_o = 1")
+    added, replaced = [], set()
+    for i, state in enumerate(states):
+        last = f"_last{i}"
+        fresh = F.col(last).isNotNull()
+        if ttl_ms is not None:
+            fresh = fresh & (F.col(f"{last}._kt") > F.col("_t") - F.lit(ttl_ms * 1000))
+        added += [F.when(fresh, F.col(f"{last}.{o}")).alias(o) for o in state.fields]
+        added += [F.coalesce(fresh, F.lit(False)).alias(state.hit)] if state.hit else []
+        replaced |= set(state.fields)
+    kept = [F.col(f"_row.{c}").alias(c) for c in df.columns if c not in replaced]
+    return seen.select(*kept, *added)
+
+
+def lookup(
+    df: DataFrame,
+    state: DataFrame,
+    key: str,
+    state_key: str,
+    fields: Sequence[str] | dict[str, str],
+    *,
+    ttl_ms: int | None = TTL_MS,
+    hit: str | None = None,
+    ts="ts",
+    seq="seq",
+    split: Split | None = None,
+) -> DataFrame:
+    """``lookups`` in one state."""
+    names = dict(fields) if isinstance(fields, dict) else {f: f for f in fields}
+    return lookups(df, key, [State(state, state_key, names, hit)], ttl_ms=ttl_ms, ts=ts, seq=seq, split=split)
 
 
 def with_defaults(df: DataFrame, hit: str, missing: dict[str, Column], found: dict[str, Column] | None = None) -> DataFrame:
@@ -103,23 +144,34 @@ def with_defaults(df: DataFrame, hit: str, missing: dict[str, Column], found: di
     return df.withColumns(cols).drop(hit)
 
 
-def trap_lookup(df, state, *, key="client_mac", **options) -> DataFrame:
-    """Radio state of a client; nothing known gives ``unknown``/0."""
-    fields = ["client_rssi", "client_rssi_num", "client_snr", "client_snr_num"]
-    out = lookup(df, state, key, "client_mac", fields, hit="_hit", **options)
+TRAP_FIELDS = ("client_rssi", "client_rssi_num", "client_snr", "client_snr_num")
+
+
+def trap_defaults(df: DataFrame, hit: str) -> DataFrame:
+    """Nothing known about the radio gives ``unknown``/0."""
     none = {
         "client_rssi": F.lit(SIGNAL_NONE), "client_rssi_num": F.lit(0),
         "client_snr": F.lit(SIGNAL_NONE), "client_snr_num": F.lit(0),
     }
-    return with_defaults(out, "_hit", none)
+    return with_defaults(df, hit, none)
+
+
+def trap_lookup(df, state, *, key="client_mac", **options) -> DataFrame:
+    """Radio state of a client."""
+    return trap_defaults(lookup(df, state, key, "client_mac", list(TRAP_FIELDS), hit="_hit", **options), "_hit")
+
+
+def location_defaults(df: DataFrame, hit: str, *, v10: bool = False) -> DataFrame:
+    """A hit is ASSOCIATED; with v10 a miss is PROBING and a hit keeps its status."""
+    if v10:
+        return with_defaults(df, hit, {"dot11_status": F.lit("PROBING")})
+    return with_defaults(df, hit, {}, {"dot11_status": F.lit("ASSOCIATED")})
 
 
 def location_lookup(df, state, fields, *, key="client_mac", v10: bool = False, **options) -> DataFrame:
-    """Location of a client: a hit is ASSOCIATED; with v10 a miss is PROBING and a hit keeps its status."""
+    """Location of a client."""
     out = lookup(df, state, key, "client_mac", fields, hit="_hit", **options)
-    if v10:
-        return with_defaults(out, "_hit", {"dot11_status": F.lit("PROBING")})
-    return with_defaults(out, "_hit", {}, {"dot11_status": F.lit("ASSOCIATED")})
+    return location_defaults(out, "_hit", v10=v10)
 
 
 def endpoint_lookup(df, state, fields, *, source="ethsrc", target="ethdst", **options) -> DataFrame:

@@ -164,17 +164,39 @@ def length_join(
     placed = running(
         both, (), ("_t", "_s", "_side"), {"_nl": Run("count", is_left), "_nr": Run("count", is_right)}
     )
-    l = placed.filter("_side = 0").select("_l.*", "_nl", "_nr")
-    r = placed.filter("_side = 1").select("_r.*", "_nl", "_nr")
-    parts = []
-    if unidirectional in (None, "left"):
-        found = range_join(l, r, -(right_n - 1), 0, axes=("_nr", "_nr"), equal=equal, on=on)
-        parts.append(found.withColumn("_trigger", F.lit("left")))
-    if unidirectional in (None, "right"):
-        found = range_join(l, r, 0, left_n - 1, axes=("_nl", "_nl"), equal=equal, on=on)
-        parts.append(found.withColumn("_trigger", F.lit("right")))
+    l, r, lc, rc = _sides(
+        placed.filter("_side = 0").select("_l.*", "_nl", "_nr"), placed.filter("_side = 1").select("_r.*", "_nl", "_nr")
+    )
+    # Left triggers find right positions (way 0), right triggers find left positions (way 1). Both
+    # ways go through one join, so each side is read once.
+    ways = {0: (right_n, "_nr", -(right_n - 1), 0), 1: (left_n, "_nl", 0, left_n - 1)}
+    if unidirectional is not None:
+        ways = {w: v for w, v in ways.items() if w == (0 if unidirectional == "left" else 1)}
+
+    def cell(x: Column, n: int) -> Column:
+        return F.floor(x / F.lit(n)).cast("bigint")
+
+    def tagged(way: int, cells: Column) -> Column:
+        return F.transform(cells, lambda x: F.struct(F.lit(way).alias("w"), x.alias("c")))
+
+    copies = [
+        tagged(w, F.sequence(cell(lc(c) + low, n), cell(lc(c) + high, n))) for w, (n, c, low, high) in ways.items()
+    ]
+    own = [F.struct(F.lit(w).alias("w"), cell(rc(c), n).alias("c")) for w, (n, c, _, _) in ways.items()]
+    far = l.withColumn("_lw", F.explode(F.concat(*copies))).withColumns({"_lway": F.col("_lw.w"), "_lcell": F.col("_lw.c")})
+    near = r.withColumn("_rw", F.explode(F.array(*own))).withColumns({"_rway": F.col("_rw.w"), "_rcell": F.col("_rw.c")})
+    inside = reduce(
+        lambda a, b: a | b,
+        [(F.col("_lway") == w) & (rc(c) - lc(c)).between(low, high) for w, (_, c, low, high) in ways.items()],
+    )
+    condition = (F.col("_lway") == F.col("_rway")) & (F.col("_lcell") == F.col("_rcell")) & inside
+    for a, b in equal:
+        condition = condition & (lc(a) == rc(b))
+    if on is not None:
+        condition = condition & F.coalesce(on(lc, rc), F.lit(False))
+    pairs = far.join(near, condition).withColumn("_trigger", F.when(F.col("_lway") == 0, "left").otherwise("right"))
     drop = [f"{p}_{c}" for p in "lr" for c in ("_t", "_s", "_nl", "_nr")]
-    return reduce(DataFrame.unionByName, parts).drop(*drop)
+    return pairs.drop(*drop, "_lw", "_rw", "_lway", "_rway", "_lcell", "_rcell")
 
 
 def unbounded_join(

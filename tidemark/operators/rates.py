@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals
-from tidemark.ordering import Split, neighbour, plan_split, positions
+from tidemark.ordering import Split, micros, neighbour, plan_split, positions
 
 
 def _slots(df, n: int, keys, ts, seq, split) -> DataFrame:
@@ -124,9 +124,17 @@ def _live_ticks(live: DataFrame, millis: int, ts_end: Column) -> DataFrame:
     return live.withColumns({"_first": first, "_last": F.least(last, ts_end)}).filter(F.col("_first") <= F.col("_last"))
 
 
-def window_content(live: DataFrame, millis: int, columns: Sequence[str]) -> DataFrame:
-    """Live rows at each tick up to the tick after the last arrival."""
-    end = live.agg(F.max(_first_tick(F.col("_from"), millis * 1000))).scalar()
+def _end(source: DataFrame, millis: int, ts: str) -> Column:
+    """Tick after the last arrival of the source stream."""
+    return source.agg(_first_tick(F.max(micros(source, ts)), millis * 1000)).scalar()
+
+
+def window_content(
+    live: DataFrame, millis: int, columns: Sequence[str], *, source: DataFrame | None = None, ts="ts"
+) -> DataFrame:
+    """Live rows at each tick up to the tick after the last arrival. ``source`` is the stream
+    the live intervals were made from, if finding its end there is cheaper."""
+    end = _end(live if source is None else source, millis, ts)
     ticks = _live_ticks(live, millis, end)
     return ticks.withColumn("_tick", F.explode(F.sequence("_first", "_last"))).select(*columns, "_tick")
 
@@ -140,13 +148,15 @@ def window_aggregates(
     high: dict[str, str] | None = None,
     count: str | None = None,
     group: Sequence[str] = (),
+    source: DataFrame | None = None,
+    ts="ts",
 ) -> DataFrame:
     """Aggregates over the live rows at each tick (per group).
 
     Rows with the same first and last tick are combined before they are repeated
     per tick, so the repeated data does not grow with the event rate.
     """
-    end = live.agg(F.max(_first_tick(F.col("_from"), millis * 1000))).scalar()
+    end = _end(live if source is None else source, millis, ts)
     ticks = _live_ticks(live, millis, end)
     part = [F.count(F.lit(1)).alias("_n")]
     merge = []
@@ -165,7 +175,7 @@ def window_rows_with_aggregates(
     live: DataFrame, millis: int, columns: Sequence[str], group: Sequence[str] = (), **aggregates
 ) -> DataFrame:
     """Live rows at each tick, each with the aggregates of its tick (and group)."""
-    rows = window_content(live, millis, columns)
+    rows = window_content(live, millis, columns, source=aggregates.get("source"))
     totals = window_aggregates(live, millis, group=group, **aggregates)
     return rows.join(totals, ["_tick", *group])
 

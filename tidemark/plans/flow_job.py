@@ -44,15 +44,22 @@ def enriched(flows: DataFrame, sources: Sources, now: Column, *, ttl_ms: int = E
         out = D.geoip(out, sources.countries, sources.networks)
     if {"http_host", "http_url"} <= own:
         out = out.withColumns(url_fields(F.col("http_host"), F.col("http_url")))
-    options = {"ttl_ms": ttl_ms}
     if sources.mobile is not None:
-        out = E.mobile_chain(out, sources.mobile, **options)
+        out = E.mobile_chain(out, sources.mobile, ttl_ms=ttl_ms)
+    states = []
+    for frame, fields, hit in (
+        (sources.trap, E.TRAP_FIELDS, "_trap"),
+        (sources.location, LOCATION_FIELDS, "_location"),
+        (sources.radius, RADIUS_FIELDS, None),
+    ):
+        if frame is not None:
+            states.append(E.State(frame, "client_mac", {f: f for f in fields if f not in out.columns}, hit))
+    if states:
+        out = E.lookups(out, "client_mac", states, ttl_ms=ttl_ms)
     if sources.trap is not None:
-        out = E.trap_lookup(out, sources.trap, **options)
+        out = E.trap_defaults(out, "_trap")
     if sources.location is not None:
-        out = E.location_lookup(out, sources.location, [f for f in LOCATION_FIELDS if f not in own], **options)
-    if sources.radius is not None:
-        out = E.lookup(out, sources.radius, "client_mac", "client_mac", [f for f in RADIUS_FIELDS if f not in out.columns], **options)
+        out = E.location_defaults(out, "_location")
     if sources.access_points is not None:
         out = D.access_point(out, sources.access_points)
     if sources.reputation is not None:

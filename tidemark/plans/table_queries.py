@@ -216,7 +216,7 @@ def rate_snapshot_window(t):
 )
 def rate_snapshot_length(t):
     live = R.live_length(cents(t), 20)
-    return R.window_content(live, W.HOUR, ["event_id"]).select(F.col("_tick").alias("tick"), "event_id")
+    return R.window_content(live, W.HOUR, ["event_id"], source=cents(t)).select(F.col("_tick").alias("tick"), "event_id")
 
 
 @query(
