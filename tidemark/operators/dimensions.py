@@ -56,7 +56,12 @@ def _bucket(key: Column) -> Column:
 
 
 def _range_tables(ranges: DataFrame, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    keyed = ranges.withColumns({"_lo": ip_key(F.col("first")), "_hi": ip_key(F.col("last"))})
+    # The keys pass through a one-element explode, so that they are computed once per range
+    # and not again inside every expression that uses them.
+    keys = F.array(F.struct(ip_key(F.col("first")).alias("lo"), ip_key(F.col("last")).alias("hi")))
+    keyed = ranges.select(*fields.values(), F.explode(keys).alias("_k")).select(
+        *fields.values(), F.col("_k.lo").alias("_lo"), F.col("_k.hi").alias("_hi")
+    )
     kept = ["_lo", "_hi", *[F.col(c).alias(o) for o, c in fields.items()]]
     span = F.abs(_bucket(F.col("_hi")) - _bucket(F.col("_lo")))
     ends = F.sort_array(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi"))))
@@ -103,7 +108,9 @@ def geoip(df: DataFrame, countries: DataFrame, networks: DataFrame) -> DataFrame
     ``countries`` has ``first, last, country``; ``networks`` has ``first, last, info``.
     """
     owners = networks.withColumn("info", as_name(F.col("info")))
-    out = df.withColumns({"_src_ip": ip_key(F.col("src")), "_dst_ip": ip_key(F.col("dst"))})
+    ends = F.array(F.struct(ip_key(F.col("src")).alias("s"), ip_key(F.col("dst")).alias("d")))
+    keyed = df.select(*df.columns, F.explode(ends).alias("_e"))
+    out = keyed.select(*df.columns, F.col("_e.s").alias("_src_ip"), F.col("_e.d").alias("_dst_ip"))
     for end in ("src", "dst"):
         out = _range_lookup(out, countries, f"_{end}_ip", {f"{end}_country_code": "country"})
         out = _range_lookup(out, owners, f"_{end}_ip", {f"{end}_as_name": "info"})

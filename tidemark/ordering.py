@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 16_384
 SAMPLES_PER_RANGE = 24
+COMPARED_CUTS = 32
 RANGE = "_range"
 _HOT = "_hot"
 
@@ -48,14 +49,14 @@ class Split:
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    cuts_json: str | None = None
+    cuts: tuple[tuple, ...] | None = None
     hot: DataFrame | None = None
     widest: int = 0
     cut_type: T.DataType | None = None
 
     @property
     def active(self) -> bool:
-        return self.cuts_json is not None or self.hot is not None
+        return self.cuts is not None or self.hot is not None
 
     def on(self, *order: str) -> "Split":
         """The same ranges for rows that carry the order under other names, with more
@@ -67,10 +68,10 @@ class Split:
         if not self.active:
             return df.withColumn(RANGE, F.lit(0)).withColumn(_HOT, F.lit(False))
         width = len(self.cut_type.fields)
-        here = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order[:width])])
-        if self.cuts_json is not None:
-            cuts = F.from_json(F.lit(self.cuts_json), T.ArrayType(self.cut_type))
-            return df.withColumn(RANGE, self._search(cuts, here)).withColumn(_HOT, F.lit(True))
+        place = [F.col(c) for c in self.order[:width]]
+        here = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(place)])
+        if self.cuts is not None:
+            return df.withColumn(RANGE, self._literal(place, here)).withColumn(_HOT, F.lit(True))
         hot = F.broadcast(self.hot)
         same = [F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(self.keys)]
         joined = df.join(hot, _all(same), "left")
@@ -80,6 +81,20 @@ class Split:
             .select(*df.columns, RANGE, _HOT)
         )
 
+    def _literal(self, place: list[Column], here: Column) -> Column:
+        """Range of a stream without a key: few cuts are compared one by one in generated
+        code, many are searched in one constant array."""
+        if len(self.cuts) > COMPARED_CUTS:
+            text = json.dumps([{f"o{i}": v for i, v in enumerate(c)} for c in self.cuts])
+            return self._search(F.from_json(F.lit(text), T.ArrayType(self.cut_type)), here)
+        out = F.lit(0)
+        for cut in self.cuts:
+            reached = F.lit(True)
+            for column, value in reversed(list(zip(place, cut))):
+                reached = (column > F.lit(value)) | ((column == F.lit(value)) & reached)
+            out = out + reached.cast("int")
+        return out
+
     def _search(self, cuts: Column, here: Column) -> Column:
         """Number of cuts at or before ``here``, by binary descent."""
         steps = [1 << b for b in range(max(self.widest, 1).bit_length() - 1, -1, -1)]
@@ -129,8 +144,7 @@ def plan_split(
         fraction = min(1.0, ranges * SAMPLES_PER_RANGE / max(total, 1))
         sample = [tuple(r) for r in df.select(*order).sample(fraction=fraction, seed=7).collect()]
         cuts = _cuts(sample, ranges)
-        text = json.dumps([{f"o{i}": v for i, v in enumerate(c)} for c in cuts])
-        return Split(keys, order, cuts_json=text, widest=len(cuts), cut_type=cut_type)
+        return Split(keys, order, cuts=tuple(map(tuple, cuts)), widest=len(cuts), cut_type=cut_type)
 
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     heavy = (
