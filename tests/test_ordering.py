@@ -62,6 +62,15 @@ def test_neighbour_in_ranges_equals_lead(base, keys, offset):
     assert rows(got, "event_id", "o") == rows(want, "event_id", "o")
 
 
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_many_ranges(base, keys):
+    split = plan_split(base, keys, ORDER, rows_per_range=12)
+    assert split.widest > 40
+    got = running(base, keys, ORDER, {"n": Run("count")}, split=split)
+    want = running(base, keys, ORDER, {"n": Run("count")}, split=Split(keys, ORDER))
+    assert rows(got, "event_id", "n") == rows(want, "event_id", "n")
+
+
 def test_only_hot_keys_are_cut(base):
     split = plan_split(base, ("k",), ORDER, rows_per_range=300)
     cut = {r[0] for r in split.assign(base).filter("_range > 0").select("k").distinct().collect()}

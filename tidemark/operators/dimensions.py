@@ -160,8 +160,3 @@ def access_point(df: DataFrame, locations: DataFrame, *, station="wireless_stati
     taken = [c for c in dim.columns if c in df.columns]
     return df.drop(*taken).join(dim, F.col(station) == F.col("_ap"), "left").drop("_ap")
 
-
-def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the last in order; used to load dimensions with repeats."""
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")

@@ -35,7 +35,8 @@ def _latest_known(left: DataFrame, rights: Sequence[DataFrame], ttl_ms: int) ->
     Nothing older than the time to live counts, so time is cut into cells of a
     fraction of it and each (key, cell) is read on its own: a key with most of
     the rows is spread over its cells. What a cell needs from earlier cells is
-    only the last state of each, which is combined before the shuffle.
+    only the last state of each, which is combined before the shuffle and copied
+    to the cells it can still reach (one, where a key has a state in every cell).
     """
     width = F.lit(max(ttl_ms * 1000 // CELLS_PER_TTL, 1))
     cell = F.floor(F.col("_t") / width).cast("bigint")
@@ -45,9 +46,11 @@ def _latest_known(left: DataFrame, rights: Sequence[DataFrame], ttl_ms: int) ->
         own = right.withColumn("_cell", cell)
         place = F.struct("_t", "_s")
         last = own.groupBy("_key", "_cell").agg(F.max_by(F.struct("_t", "_s", known), place).alias("_l"))
-        ahead = last.select(
-            "_key", F.lit(0).alias("_spread"),
-            F.explode(F.sequence(F.col("_cell") + 1, F.col("_cell") + CELLS_PER_TTL)).alias("_cell"),
+        # The last state of a cell is needed up to the key's next cell with a state of its own.
+        following = F.lead("_cell").over(Window.partitionBy("_key").orderBy("_cell"))
+        until = F.least(F.col("_cell") + CELLS_PER_TTL, F.col("_until"))
+        ahead = last.withColumn("_until", following).select(
+            "_key", F.lit(0).alias("_spread"), F.explode(F.sequence(F.col("_cell") + 1, until)).alias("_cell"),
             "_l._t", F.lit(0).alias("_o"), "_l._s", f"_l.{known}",
         )
         merged = merged.unionByName(own, allowMissingColumns=True).unionByName(ahead, allowMissingColumns=True)

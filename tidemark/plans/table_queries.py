@@ -104,7 +104,7 @@ def tbl_delete(t):
 
 @query(
     "tbl_delete_theta",
-    "SELECT c_custkey FROM customer WHERE NOT (c_acctbal < (SELECT max(s_acctbal) FROM supplier WHERE s_nationkey < 3))",
+    "SELECT c_custkey FROM customer WHERE NOT coalesce(c_acctbal < (SELECT max(s_acctbal) FROM supplier WHERE s_nationkey < 3), false)",
 )
 def tbl_delete_theta(t):
     events = t.supplier.filter(F.col("s_nationkey") < 3)
