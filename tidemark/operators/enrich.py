@@ -45,13 +45,15 @@ def _latest_known(left: DataFrame, rights: Sequence[DataFrame], ttl_ms: int) ->
         known = f"_known{i}"
         own = right.withColumn("_cell", cell)
         place = F.struct("_t", "_s")
-        last = own.groupBy("_key", "_cell").agg(F.max_by(F.struct("_t", "_s", known), place).alias("_l"))
+        last = own.groupBy("_key", "_cell").agg(
+            F.max("_t").alias("_t"), F.max_by("_s", place).alias("_s"), F.max_by(known, place).alias(known)
+        )
         # The last state of a cell is needed up to the key's next cell with a state of its own.
         following = F.lead("_cell").over(Window.partitionBy("_key").orderBy("_cell"))
         until = F.least(F.col("_cell") + CELLS_PER_TTL, F.col("_until"))
         ahead = last.withColumn("_until", following).select(
             "_key", F.lit(0).alias("_spread"), F.explode(F.sequence(F.col("_cell") + 1, until)).alias("_cell"),
-            "_l._t", F.lit(0).alias("_o"), "_l._s", f"_l.{known}",
+            "_t", F.lit(0).alias("_o"), "_s", known,
         )
         merged = merged.unionByName(own, allowMissingColumns=True).unionByName(ahead, allowMissingColumns=True)
     window = (
