@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_index
+from tidemark.llm import mixing, packing, token_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,9 @@ def op10_token_index(spark, documents, folder):
     places = token_index.look_up(manifest.select("doc_id", "copy"), index)
     read = token_index.read_ids(places, token_index.shard_starts(manifest))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"), "copy")
+
+
+@_query("op3_mixing", "documents")
+def op3_mixing(spark, documents, folder):
+    """Every document with the words that the mix takes of it."""
+    return mixing.mix(documents).select("doc_id", "size", "source_size", "target", "taken", "copies")
