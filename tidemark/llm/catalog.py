@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, token_index
+from tidemark.llm import mixing, packing, quality, token_index
+from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +50,22 @@ def op10_token_index(spark, documents, folder):
 def op3_mixing(spark, documents, folder):
     """Every document with the words that the mix takes of it."""
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def _held_out(modulus: int, value: int):
+    """Rows that no label is learned from; a null id has no label."""
+    return F.coalesce(remainder(F.col("doc_id"), modulus) == value, F.lit(True))
+
+
+def _scored(scores, held_out, least):
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted")
+    )
+
+
+@_query("op1_quality", "documents")
+def op1_quality(spark, documents, folder):
+    """Quality of every document by compression."""
+    held_out = _held_out(5, 0)
+    model = quality.train(documents, spark.read.parquet(f"{folder}/labels.parquet"), ~held_out)
+    return _scored(quality.score(documents.select("doc_id", "text"), model), held_out, 0.3)
