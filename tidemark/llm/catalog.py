@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, quality, token_index
+from tidemark.llm import mixing, packing, quality, token_index, toxicity
 from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,11 @@ def op1_quality(spark, documents, folder):
     held_out = _held_out(5, 0)
     model = quality.train(documents, spark.read.parquet(f"{folder}/labels.parquet"), ~held_out)
     return _scored(quality.score(documents.select("doc_id", "text"), model), held_out, 0.3)
+
+
+@_query("op8_toxicity", "documents")
+def op8_toxicity(spark, documents, folder):
+    """Toxicity of every document by a convolutional network."""
+    held_out = _held_out(3, 1)
+    model = toxicity.train(documents, spark.read.parquet(f"{folder}/labels.parquet"), ~held_out)
+    return _scored(toxicity.score(documents.select("doc_id", "text"), model), held_out, 0.7)
