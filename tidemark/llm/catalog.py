@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, quality, token_index, toxicity
+from tidemark.llm import archives, mixing, packing, quality, token_index, toxicity
 from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,22 @@ def op8_toxicity(spark, documents, folder):
     held_out = _held_out(3, 1)
     model = toxicity.train(documents, spark.read.parquet(f"{folder}/labels.parquet"), ~held_out)
     return _scored(toxicity.score(documents.select("doc_id", "text"), model), held_out, 0.7)
+
+
+@_query(
+    "op4_archives",
+    "pages",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+    t AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS top FROM d)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+    FROM t
+    """,
+)
+def op4_archives(spark, pages, folder):
+    """Every page through ARC, the converter and WARC, and read back."""
+    records = archives.read_warc(archives.convert(archives.write_arc(pages)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
