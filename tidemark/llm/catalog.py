@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, mixing, packing, quality, token_index, toxicity
+from tidemark.llm import archives, mixing, packing, quality, token_index, top_k, toxicity, vector_dedup
 from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,55 @@ def op4_archives(spark, pages, folder):
     """Every page through ARC, the converter and WARC, and read back."""
     records = archives.read_warc(archives.convert(archives.write_arc(pages)))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query(
+    "op6_top_k",
+    "embeddings",
+    """
+    WITH f AS (
+      SELECT vec_id, embedding AS e FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ),
+    q AS (SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN e] AS q FROM f),
+    s AS (
+      SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM q a, q b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s)
+    SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM r WHERE rn <= 10
+    """,
+)
+def op6_top_k(spark, embeddings, folder):
+    """The ten best inner products of every hundredth vector."""
+    return top_k.top_k(embeddings)
+
+
+@_query(
+    "op9_vector_dedup",
+    "embeddings",
+    """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    ),
+    n AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v WHERE list_inner_product(e, e) > 0),
+    l AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM n a, n b
+      WHERE a.vec_id <> b.vec_id AND list_inner_product(a.e, b.e) >= 0.95 * a.n * b.n
+    ),
+    c(vec_id, m) AS (
+      SELECT vec_id, vec_id FROM v
+      UNION
+      SELECT l.b, c.m FROM c JOIN l ON l.a = c.vec_id WHERE c.m < l.b
+    )
+    SELECT v.vec_id AS vec_id,
+           (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links,
+           (SELECT min(m) FROM c WHERE c.vec_id = v.vec_id) AS component_id,
+           v.vec_id = (SELECT min(m) FROM c WHERE c.vec_id = v.vec_id) AS kept
+    FROM v
+    """,
+)
+def op9_vector_dedup(spark, embeddings, folder):
+    """Linked vectors and their components."""
+    return vector_dedup.near_duplicates(embeddings)
