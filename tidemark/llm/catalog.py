@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, mixing, packing, quality, token_index, top_k, toxicity, vector_dedup
+from tidemark.llm import archives, mixing, packing, quality, text_dedup, token_index, top_k, toxicity, vector_dedup
 from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,43 @@ def op6_top_k(spark, embeddings, folder):
 def op9_vector_dedup(spark, embeddings, folder):
     """Linked vectors and their components."""
     return vector_dedup.near_duplicates(embeddings)
+
+
+@_query(
+    "op5_text_dedup",
+    "documents",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g
+      FROM w
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+    ),
+    h AS (
+      SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+      WHERE 100 * p.c >= 85 * (x.n + y.n - p.c)
+    ),
+    l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+    c(doc_id, m) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION
+      SELECT l.b, c.m FROM c JOIN l ON l.a = c.doc_id WHERE c.m < l.b
+    ),
+    k AS (SELECT doc_id, min(m) AS m FROM c GROUP BY doc_id)
+    SELECT k.doc_id AS doc_id, coalesce(n.n, 0) AS n_shingles, k.m AS component_id, k.doc_id = k.m AS kept
+    FROM k LEFT JOIN n ON n.doc_id = k.doc_id
+    """,
+)
+def op5_text_dedup(spark, documents, folder):
+    """Near-duplicate groups of all documents."""
+    return text_dedup.near_duplicates(documents).select("doc_id", "n_shingles", "component_id", "kept")

@@ -8,6 +8,7 @@ many edges does not meet in one task.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,17 @@ def components(edges: DataFrame) -> DataFrame:
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
     return labels
+
+
+def joined(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest index reachable over the links a-b, for every index."""
+    label = np.arange(count)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined
 from tidemark.llm.storage import saved
 
 PASSES = 8
@@ -95,20 +95,6 @@ def _positions(codes: DataFrame, window: int) -> DataFrame:
     return numbered.groupBy("rep").agg(F.transform(by_pass, lambda s: s["block"]).alias("blocks"))
 
 
-def joined(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest index reachable over the links a-b, for every index."""
-    label = np.arange(count)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def new_links(x: np.ndarray, blocks: np.ndarray, of_pass: int, home: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) of a block with itself and the next one that no earlier pass has compared."""
     here, there = np.flatnonzero(home), np.flatnonzero(~home)
