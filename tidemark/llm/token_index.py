@@ -48,29 +48,27 @@ def write_shards(
     width: int = 2,
 ) -> DataFrame:
     """Write the shards; one row per document: doc_id, copy, shard, file, offset and n_tokens (both in ids)."""
-    path, kind = tokenizer or default_path(TOKENIZER), {2: "<u2", 4: "<u4"}[width]
+    path = tokenizer or default_path(TOKENIZER)
     folder = new_folder(documents.sparkSession, "token-shards")
-    end = np.asarray([end_id], "<u4").tobytes()
+    end = end_id.to_bytes(width, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encode, out, at, last, place = encoder(path).encode, None, 0, object(), 0
+        encode, out, at, last, place = encoder(path, width).encode, None, 0, object(), 0
         file = attempt_file(folder, f"shard-{shard:06d}", ".ids")
         for batch in batches:
             if out is None and batch.num_rows:
                 out = create(file)
             docs, places, offsets, counts = batch.column(0).to_pylist(), [], [], []
             for doc, raw in zip(docs, encode(value.as_py() for value in batch.column(1)), strict=True):
-                ids = np.frombuffer(raw + end, "<u4")
-                if width == 2 and ids.max() > 0xFFFF:
-                    raise ValueError("ids over 65535 need width 4")
-                out.write(ids.astype(kind).tobytes())
+                raw += end
+                out.write(raw)
                 place = place + 1 if doc == last else 0
                 last = doc
                 places.append(place)
                 offsets.append(at)
-                counts.append(len(ids))
-                at += len(ids)
+                counts.append(len(raw) // width)
+                at += len(raw) // width
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(docs, pa.int64()),

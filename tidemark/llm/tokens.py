@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
-
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _SIGN = r"!-&(-/:-@\[-`{-~"
 
@@ -76,9 +75,13 @@ class _Known(dict):
 
 
 class PieceEncoder:
-    """Ids as little-endian unsigned 32-bit integers; about ``remembered`` pieces are kept at most."""
+    """Ids as little-endian unsigned integers of ``width`` bytes; about ``remembered`` words are kept at most.
+
+    With 2 bytes an id over 65535 is an error.
+    """
 
-    def __init__(self, path: str, remembered: int = 700_000):
+    def __init__(self, path: str, width: int = 4, remembered: int = 700_000):
+        self._kind = {2: "H", 4: "I"}[width]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -88,24 +91,38 @@ class PieceEncoder:
         self._model = self._tokenizer.model.tokenize
         self._cut = (_SPACED if self._keeps_space else _UNSPACED).findall
         self._pieces = _Known(self._piece)
-        self._words = _Known(self._spaced if self._keeps_space else self._joined)
+        self._words = _Known(self._word)
         self._remembered = remembered
 
     def _direct(self, text: str) -> bytes:
-        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._raw(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
+    def _raw(self, ids: list[int]) -> bytes:
+        raw = array(self._kind, ids)
+        if sys.byteorder == "big":
+            raw.byteswap()
+        return raw.tobytes()
+
+    def _merged(self, word: str) -> bytes:
         """A plain word goes straight to the file's merges, since nothing else would change or cut it."""
+        signs = word.replace(" ", _BYTE_SIGNS[0x20]) if word.isascii() else word.translate(_BYTE_SIGNS)
+        return self._raw([token.id for token in self._model(signs)])
+
+    def _piece(self, piece: str) -> bytes:
         if not _PLAIN_WORD(piece):
             return self._direct(piece)
-        word = (piece if self._keeps_space else piece.lower()).translate(_BYTE_SIGNS)
-        return array("I", [token.id for token in self._model(word)]).tobytes()
+        return self._merged(piece if self._keeps_space else piece.lower())
 
     def _joined(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self._cut(text)))
 
-    def _spaced(self, word: str) -> bytes:
-        return self._joined(" " + word)
+    def _word(self, word: str) -> bytes:
+        """A word without white space at its ends, after one space: often letters, or letters and a sign."""
+        if _PLAIN_WORD(word):
+            return self._merged(" " + word if self._keeps_space else word.lower())
+        if word[-1] in ".,;:!?" and _PLAIN_WORD(word[:-1]):
+            return self._words[word[:-1]] + self._pieces[word[-1]]
+        return self._joined(" " + word if self._keeps_space else word)
 
     def _plain(self, text: str) -> bytes:
         """A text without odd characters. Words between single spaces are looked up whole."""
@@ -130,11 +147,11 @@ class PieceEncoder:
                 yield self._plain(text)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, width: int = 4) -> PieceEncoder:
     """One encoder per file and worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    if (path, width) not in _ENCODERS:
+        _ENCODERS[path, width] = PieceEncoder(path, width)
+    return _ENCODERS[path, width]
