@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, mixing, packing, quality, text_dedup, token_index, top_k, toxicity, vector_dedup
+from tidemark.llm import archives, mixing, packing, passage_dedup, quality, text_dedup, token_index, top_k, toxicity, vector_dedup
 from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,10 @@ def op9_vector_dedup(spark, embeddings, folder):
 def op5_text_dedup(spark, documents, folder):
     """Near-duplicate groups of all documents."""
     return text_dedup.near_duplicates(documents).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("op7_passage_dedup", "documents")
+def op7_passage_dedup(spark, documents, folder):
+    """What is left of every document without passages of earlier ones."""
+    left = passage_dedup.remove_passages(documents.select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
