@@ -194,4 +194,4 @@ def op5_text_dedup(spark, documents, folder):
 def op7_passage_dedup(spark, documents, folder):
     """What is left of every document without passages of earlier ones."""
     left = passage_dedup.remove_passages(documents.select("doc_id", "text"))
-    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))

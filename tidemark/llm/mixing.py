@@ -37,12 +37,15 @@ def _draw(*keys) -> Column:
 
 
 def sized(documents: DataFrame, source: str, text: str) -> DataFrame:
-    """(source, doc_id, size, copies of the row) with the words counted."""
-    words = F.regexp_count(text_column(documents, text), F.lit(WORD)).cast("long")
+    """(source, doc_id, text_key, size, copies of the row) with the words counted."""
+    whole = text_column(documents, text)
     rows = documents.select(
-        documents[source].cast("string").alias("source"), documents["doc_id"].cast("long").alias("doc_id"), words.alias("size")
+        documents[source].cast("string").alias("source"),
+        documents["doc_id"].cast("long").alias("doc_id"),
+        F.xxhash64(whole).alias("text_key"),
+        F.regexp_count(whole, F.lit(WORD)).cast("long").alias("size"),
     )
-    return rows.groupBy("source", "doc_id", "size").agg(F.count("*").alias("rows"))
+    return rows.groupBy("source", "doc_id", "text_key", "size").agg(F.count("*").alias("rows"))
 
 
 def source_ranks(sizes: DataFrame) -> DataFrame:
@@ -83,8 +86,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], max_copies: int) -> Data
 
 
 def _settle(open_rows: Column, seed: Column) -> Column:
-    """One block: (settled rows, the row left open). A row is (doc_id, size, nr, key, base, share)."""
-    struct = "doc_id", "size", "nr", "key", "base"
+    """One block: (settled rows, the row left open). A row is (doc_id, text_key, size, nr, key, base, share)."""
+    struct = "doc_id", "text_key", "size", "nr", "key", "base"
 
     def with_share(row, share):
         return F.struct(*(row[name].alias(name) for name in struct), share.alias("share"))
@@ -115,7 +118,7 @@ def _settle(open_rows: Column, seed: Column) -> Column:
             )
         )
 
-    kind = "struct<doc_id:bigint,size:bigint,nr:bigint,key:bigint,base:bigint,share:double>"
+    kind = "struct<doc_id:bigint,text_key:bigint,size:bigint,nr:bigint,key:bigint,base:bigint,share:double>"
     start = F.struct(
         F.array().cast(f"array<{kind}>").alias("settled"), F.lit(None).cast(kind).alias("held")
     )
@@ -131,7 +134,10 @@ def mix(
     block_rows: int = 64,
     seed: int = 7,
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken (copies times size)."""
+    """One row per document: doc_id, source, size, source_size, target, copies, taken (copies times size).
+
+    ``text_key`` and ``nr`` tell rows of one id apart: the hash of the text, and a number among equal rows.
+    """
     rows = saved(sized(documents, source, text), "mix-sizes")
     sizes = rows.groupBy("source").agg(
         F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("source_rows")
@@ -146,10 +152,10 @@ def mix(
         .withColumn("nr", F.explode(F.sequence(F.lit(1), F.col("rows"))))
         .withColumn("base", F.floor("ratio"))
         .withColumn("share", F.col("ratio") - F.col("base"))
-        .withColumn("key", F.xxhash64("doc_id", "size", "nr", F.lit(seed)))
+        .withColumn("key", F.xxhash64("doc_id", "text_key", "nr", F.lit(seed)))
     )
     kept = "source", "source_size", "target", "source_rows"
-    row = "doc_id", "size", "nr", "key", "base", "share"
+    row = "doc_id", "text_key", "size", "nr", "key", "base", "share"
     by_key = ("key", *(name for name in row if name != "key"))
     every = every.select(*kept, *row)
     open_ = every.filter("size > 0 and share > 0")
@@ -181,5 +187,13 @@ def mix(
     copies = (F.col("base") + F.col("share")).cast("long")
     copies = F.when(F.col("size") > 0, copies).otherwise(F.lit(0).cast("long"))
     return result.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id",
+        "text_key",
+        "nr",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        copies.alias("copies"),
+        (copies * F.col("size")).alias("taken"),
     )

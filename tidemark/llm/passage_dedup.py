@@ -25,7 +25,6 @@ table gives no rows. Texts of any length are read in segments.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -404,8 +403,13 @@ def repeated_ranges(documents: DataFrame, crowded: int = CROWDED, bucket_context
     return settled.unionByName(matched).unionByName(single)
 
 
-def remove_passages(documents: DataFrame, id_column: str = "doc_id", text: str = "text", crowded: int = CROWDED) -> DataFrame:
-    """All columns of ``documents`` and n_bytes, n_removed, n_spans, kept_bytes (binary), kept_sha256."""
+def remove_passages(
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", as_text: bool = False, crowded: int = CROWDED
+) -> DataFrame:
+    """All columns of ``documents`` and n_bytes, n_removed, n_spans and the remaining bytes, as ``kept_bytes`` or ``kept_text``.
+
+    As text, the rest of a character that was cut apart is left out.
+    """
     extra = ["__doc", "__variant", "__text"]
     rows = documents.withColumns(
         {"__doc": documents[id_column].cast("long"), "__text": text_column(documents, text)}
@@ -418,7 +422,7 @@ def remove_passages(documents: DataFrame, id_column: str = "doc_id", text: str =
     joined = rows.join(by_text, (F.col("__doc") == F.col("_d")) & (F.col("__variant") == F.col("_v")), "left")
     kept = documents.columns
     fields = joined.select(*kept).schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_bytes", "binary"), ("kept_sha256", "string")):
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_text", "string") if as_text else ("kept_bytes", "binary")):
         fields = fields.add(name, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,9 +436,9 @@ def remove_passages(documents: DataFrame, id_column: str = "doc_id", text: str =
                     parts.append(raw[at:low])
                     at = high
                 left = b"".join([*parts, raw[at:]])
-                out.append((len(raw), len(raw) - len(left), len(spans), left, hashlib.sha256(left).hexdigest()))
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            kinds = pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()
+                out.append((len(raw), len(raw) - len(left), len(spans), left.decode("utf-8", "ignore") if as_text else left))
+            columns = zip(*out, strict=True) if out else [[]] * 4
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.string() if as_text else pa.binary()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(kept)], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                 names=fields.fieldNames(),
