@@ -179,10 +179,11 @@ def read_arc(stream) -> Iterator[tuple[dict[str, bytes], bytes]]:
     first = reader.line()
     if first is None:
         return
-    length = int(first.rsplit(b" ", 1)[1])
-    about = reader.take(length).split(b"\n")
-    names = about[1].decode().split(" ")
-    if not first.startswith(b"filedesc:") or names not in [f.split(" ") for f in ARC_FIELDS.values()]:
+    if not first.startswith(b"filedesc:"):
+        raise ValueError("not an ARC file: it does not start with a version block")
+    about = reader.take(int(first.rsplit(b" ", 1)[1])).split(b"\n")
+    names = about[1].decode().split(" ") if len(about) > 1 else []
+    if names not in [f.split(" ") for f in ARC_FIELDS.values()]:
         raise ValueError("not an ARC file of version 1 or 2")
     while (line := reader.line()) is not None:
         if not line:  # the line end after a record
