@@ -1,6 +1,7 @@
 """Operators on small literal inputs with known results."""
 
 import math
+import os
 import random
 import sys
 import tempfile
@@ -387,3 +388,33 @@ def test_shared_lookups_equal_single_ones(spark):
     one = E.lookup(E.lookup(rows, a, "user_id", "user_id", ["a"], ttl_ms=3 * W.DAY), b, "user_id", "user_id", ["b"], ttl_ms=3 * W.DAY)
     assert sorted(map(str, both.select("event_id", "a", "b").collect())) == sorted(map(str, one.select("event_id", "a", "b").collect()))
     assert both.filter("hit <> (b is not null)").count() == 0
+
+
+def test_a_half_written_version_is_not_read(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-table-")
+    with pytest.raises(FileNotFoundError):
+        T.current(spark, root)
+    table = spark.createDataFrame([(1, "a")], "k bigint, v string")
+    T.save(table, root, 0)
+    T.save(spark.createDataFrame([(2, "b")], "k bigint, v string"), root, 3)
+    os.remove(f"{root}/version=3/_SUCCESS")
+    now, version = T.current(spark, root)
+    assert version == 0 and [tuple(r) for r in now.collect()] == [(1, "a")]
+
+
+def test_overlapping_ranges_have_one_rule(spark):
+    ranges = spark.createDataFrame(
+        [("2001::", "2001:ffff::", "wide"), ("2001:5::", "2001:6::", "narrow"), ("2002:5::", "2002:6::", "before"), ("2002:5:1::", "2003::", "after")],
+        "first string, last string, name string",
+    )
+    rows = spark.createDataFrame([("2001:5::1",), ("2001:9::1",), ("2002:5:2::",)], "ip string")
+    found = {r["ip"]: r["name"] for r in D.ip_ranges(rows, ranges, "ip", {"name": "name"}).collect()}
+    assert found == {"2001:5::1": "narrow", "2001:9::1": "wide", "2002:5:2::": "after"}
+
+
+def test_regression_batches_are_taken_as_asked(spark):
+    rows = [(float(i * i % 17), float(i), i) for i in range(40)]
+    df = spark.createDataFrame(rows, "y double, x double, seq long").withColumn("ts", F.timestamp_seconds("seq"))
+    whole = [r["beta1"] for r in G.regress(df, "y", ["x"], ci=0.0).orderBy("seq").collect()]
+    large = [r["beta1"] for r in G.regress(df, "y", ["x"], ci=0.0, batch=2_000_000_000).orderBy("seq").collect()]
+    assert np.allclose(whole, large)

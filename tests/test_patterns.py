@@ -163,3 +163,18 @@ def test_partitioned_sequence(spark):
     rows = [("1", "IBM", 75.6, 105), ("1", "GOOG", 51.0, 101), ("1", "IBM", 76.6, 111), ("2", "IBM", 20.0, 0), ("2", "GOOG", 20.0, 0)]
     parts = [P.step("e1", s("1", price(20))), P.step("e2", s("2"))]
     assert got(P.sequence(feed(spark, rows), parts, ["price"], keys=["symbol"]), "e1", "e2") == [[51.0, 20.0], [76.6, 20.0]]
+
+
+@pytest.mark.parametrize("every", [True, False])
+def test_pair_under_a_bound_does_not_depend_on_where_the_rows_lie(spark, every):
+    """The pair is not under the bound; shifting all rows gives the same matches."""
+    steps = [("a", 0), ("b", 1), ("c", 25), ("a", 26), ("x", 27), ("c", 28), ("b", 70)]
+    found = set()
+    for shift in range(0, 50, 7):
+        rows = [(1, kind, 1_700_000_000_000_000 + (shift + s) * 1_000_000, i) for i, (kind, s) in enumerate(steps)]
+        df = spark.createDataFrame(rows, "k int, kind string, us long, seq long").withColumn("ts", F.timestamp_micros("us"))
+        is_ = lambda kind: F.col("kind") == kind
+        parts = [P.step("e1", is_("a")), P.both(P.step("e2", is_("b")), P.step("e3", is_("c")))]
+        out = P.pattern(df, parts, ["seq"], keys=["k"], every=every, within_ms=10_000)
+        found.add(tuple(sorted((r["e1"]["seq"], r["e2"]["seq"], r["e3"]["seq"]) for r in out.collect())))
+    assert found == {((0, 1, 2), (3, 6, 5)) if every else ((0, 1, 2),)}

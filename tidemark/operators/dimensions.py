@@ -83,11 +83,13 @@ def _range_lookup(df: DataFrame, ranges: DataFrame, key: str, fields: dict[str,
             & F.col(key).between(F.col("_lo"), F.col("_hi"))
         )
 
-    one = df.join(narrow, holds(_bucket(F.col(key))), "left").drop("_bucket", "_lo", "_hi")
+    one = df.join(narrow, holds(_bucket(F.col(key))), "left").withColumnRenamed("_lo", "_n_lo").drop("_bucket", "_hi")
     wide = wide.select("_bucket", "_lo", "_hi", *[F.col(f"_n_{o}").alias(f"_w_{o}") for o in fields])
     wide_bucket = F.when(F.length(key) > 8, _prefix(F.col(key), 4))
     two = one.join(wide, holds(wide_bucket), "left")
-    return two.select(*cols, *[F.coalesce(f"_n_{o}", f"_w_{o}").alias(o) for o in fields])
+    # Where a narrow and a wide range hold the address, the later start wins.
+    narrower = F.col("_n_lo").isNotNull() & (F.col("_lo").isNull() | (F.col("_n_lo") >= F.col("_lo")))
+    return two.select(*cols, *[F.when(narrower, F.col(f"_n_{o}")).otherwise(F.col(f"_w_{o}")).alias(o) for o in fields])
 
 
 def ip_ranges(df: DataFrame, ranges: DataFrame, ip: str, fields: dict[str, str]) -> DataFrame:

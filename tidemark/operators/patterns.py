@@ -441,7 +441,9 @@ def pattern(
     shape = _Shape(tuple(_plain(p) for p in parts), bound, again, False)
     rows = _flagged(df, parts, ts, seq).filter(_any_flag(parts))
     simple_start = isinstance(parts[0], Step) and not parts[0].counted
-    if again == (0, 0) and simple_start and bound is not None:
+    # An ``and`` pair may complete after the bound, so its events must not be cut off by it.
+    cut_at_bound = bound is not None and not any(kind == "and" for kind, _ in shape.groups)
+    if again == (0, 0) and simple_start and cut_at_bound:
         width = bound * CELLS_PER_BOUND
         cell = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
         ahead = F.col("_t") - cell * width <= bound
@@ -460,7 +462,7 @@ def pattern(
         else:
             rows = rows.withColumn("_start", starts.agg(F.min(place)).scalar())
         rows = rows.filter(place >= F.col("_start"))
-        if bound is not None:
+        if cut_at_bound:
             rows = rows.filter(F.col("_t") - F.col("_start._t") <= bound)
     if not keys:
         if again is not None:

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals
 from tidemark.ordering import Run, neighbour, plan_split, positions, running
 
-UNBOUNDED = 1_000_000_000
-
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Continued fraction of the incomplete beta function (modified Lentz)."""
@@ -128,7 +126,7 @@ def _window_sums(df, y, xs, interval, batch, keys, ts, seq) -> DataFrame:
     split = plan_split(base, keys, ARRIVAL_ORDER)
     numbered = positions(base, keys, ARRIVAL_ORDER, "_rn", split=split)
     values = _products(F.col(y).cast("double"), [F.col(x).cast("double") for x in xs])
-    if batch >= UNBOUNDED:
+    if batch is None:
         runs = {f"_p{i}": Run("sum", v) for i, v in enumerate(values)}
         summed = running(numbered, keys, ARRIVAL_ORDER, runs, split=split)
     else:
@@ -158,7 +156,7 @@ def regress(
     xs: Sequence[str],
     *,
     interval: int = 1,
-    batch: int = UNBOUNDED,
+    batch: int | None = None,
     ci: float = 0.95,
     keys: Sequence[str] = (),
     ts="ts",
@@ -166,7 +164,7 @@ def regress(
 ) -> DataFrame:
     """``regress([interval, batch, ci,] y, x, ...)``: ``stdError``, ``beta0``, ``beta1``, ... per event.
 
-    The fit covers the last ``batch`` events and is repeated until the next
+    The fit covers the last ``batch`` events (all of them without one) and is repeated until the next
     multiple of ``interval``; before the first one it is null.
     """
     out = _fitted(df, y, xs, interval, batch, ci, keys, ts, seq)
@@ -181,7 +179,7 @@ def forecast(df, expression: Column, y: str, x: str, **options) -> DataFrame:
 
 
 def outlier(
-    df: DataFrame, spread: float, y: str, x: str, *, interval: int = 1, batch: int = UNBOUNDED,
+    df: DataFrame, spread: float, y: str, x: str, *, interval: int = 1, batch: int | None = None,
     ci: float = 0.95, keys: Sequence[str] = (), ts="ts", seq="seq",
 ) -> DataFrame:
     """``outlier(..., range, y, x)``: is ``y`` outside the previous fit by ``range`` standard errors.

@@ -82,7 +82,19 @@ def save(table: DataFrame, root: str, version: int, *, replace: bool = False) ->
 
 
 def current(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
-    """The latest version and its number."""
-    every = spark.read.parquet(root)
-    newest = every.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/version={newest}"), int(newest)
+    """The latest complete version and its number. Folders are listed, data is not read."""
+    newest = max(complete_versions(spark, root), default=None)
+    if newest is None:
+        raise FileNotFoundError(f"no complete version below {root}")
+    return spark.read.parquet(f"{root}/version={newest}"), newest
+
+
+def complete_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the versions whose write has committed (its ``_SUCCESS`` marker is there)."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(root)
+    folders = [i.base_name for i in store.get_file_info(fs.FileSelector(path, allow_not_found=True))]
+    numbers = [int(name.removeprefix("version=")) for name in folders if name.startswith("version=")]
+    markers = store.get_file_info([f"{path}/version={n}/_SUCCESS" for n in numbers])
+    return [n for n, marker in zip(numbers, markers, strict=True) if marker.type == fs.FileType.File]

@@ -19,7 +19,7 @@ from tidemark.plans.registry import query
     SELECT (j.us // 60000000) * 60 AS minute, v.n_name AS client_mac_vendor, coalesce(rssi, 'unknown') AS client_rssi, a.client_building,
       CASE WHEN d.s_suppkey IS NULL THEN 'clean' ELSE 'destination' END AS darklist_direction, count(*) AS events, CAST(sum(event_id * 97) AS BIGINT) AS sum_bytes
     FROM j LEFT JOIN nation v ON v.n_nationkey = j.user_id % 64 LEFT JOIN {AP_LOCATIONS} a ON a.mac_address = j.ap
-    LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0) d ON d.s_suppkey = j.dst GROUP BY ALL""",
+    LEFT JOIN supplier d ON d.s_suppkey = j.dst GROUP BY ALL""",
 )
 def flow_job_minutes(t):
     uid, eid = F.col("user_id"), F.col("event_id")
@@ -41,7 +41,7 @@ def flow_job_minutes(t):
     )
     vendors = t.nation.select(F.concat(F.lit("00AB"), F.lpad(F.hex("n_nationkey"), 2, "0")).alias("oui"), F.col("n_name").alias("vendor"))
     key = F.col("s_suppkey")
-    table = t.supplier.filter(key % 2 == 0).select(
+    table = t.supplier.select(
         key.cast("string").alias("ip"), F.lit(1.0).alias("darklist_score"), F.lit("n").alias("darklist_score_name"),
         F.lit("c").alias("darklist_category"), F.lit("p").alias("darklist_protocol"),
     )

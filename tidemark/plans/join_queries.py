@@ -52,9 +52,22 @@ def jn_length(t):
 
 @query(
     "jn_unbounded",
-    _pairs_sql("true", "a.user_id AS user_id, count(*) AS n, count(*) FILTER (a.us > b.us) AS by_view") + " GROUP BY a.user_id",
+    _pairs_sql("a.event_id % 50 = b.event_id % 50", "a.event_id AS l_event_id, b.event_id AS r_event_id, CASE WHEN a.us > b.us THEN 'left' ELSE 'right' END AS trigger"),
 )
 def jn_unbounded(t):
+    """Pairs of rows with equal keys, however far apart: the second key bounds how many a row has."""
+    slot = F.col("event_id") % 50
+    out = J.unbounded_join(
+        typed(t, "view").withColumn("slot", slot), typed(t, "purchase").withColumn("slot", slot), [*USER, ("slot", "slot")]
+    )
+    return out.select("l_event_id", "r_event_id", F.col("_trigger").alias("trigger"))
+
+
+@query(
+    "jn_partner_counts",
+    _pairs_sql("true", "a.user_id AS user_id, count(*) AS n, count(*) FILTER (a.us > b.us) AS by_view") + " GROUP BY a.user_id",
+)
+def jn_partner_counts(t):
     """Pairs of an unbounded join grow with the square of a key's rows, so they are counted, not built."""
     found = J.partner_counts(typed(t, "view"), typed(t, "purchase"), USER)
     n, by_view = F.sum("n_partners").alias("n"), F.sum(F.when(F.col("_side") == "left", F.col("n_partners")).otherwise(0)).alias("by_view")
@@ -313,7 +326,7 @@ def jn_dim_ap(t):
 
 @query(
     "jn_darklist",
-    """WITH d AS (SELECT s_suppkey AS ip, CAST(trunc(s_acctbal / 100) AS INTEGER) AS score, 'n' || s_nationkey AS name, 'c' || (s_suppkey % 5) AS category, 'p' || (s_suppkey % 3) AS protocol FROM supplier WHERE s_suppkey % 2 = 0),
+    """WITH d AS (SELECT s_suppkey AS ip, CAST(trunc(s_acctbal / 100) AS INTEGER) AS score, 'n' || s_nationkey AS name, 'c' || (s_suppkey % 5) AS category, 'p' || (s_suppkey % 3) AS protocol FROM supplier),
     e AS (SELECT event_id, user_id AS src, event_id % 120 AS dst FROM events)
     SELECT event_id, coalesce(a.score, 0) AS darklist_score_src, coalesce(b.score, 0) AS darklist_score_dst,
     CASE WHEN a.ip IS NOT NULL AND (b.ip IS NULL OR a.score > b.score) THEN a.score WHEN b.ip IS NOT NULL THEN b.score ELSE 0 END AS darklist_score,
@@ -326,7 +339,7 @@ def jn_dim_ap(t):
 )
 def jn_darklist(t):
     key = F.col("s_suppkey")
-    table = t.supplier.filter(key % 2 == 0).select(
+    table = t.supplier.select(
         key.cast("string").alias("ip"), (F.col("s_acctbal") / 100).cast("string").cast("double").alias("darklist_score"),
         F.concat(F.lit("n"), F.col("s_nationkey")).alias("darklist_score_name"),
         F.concat(F.lit("c"), key % 5).alias("darklist_category"), F.concat(F.lit("p"), key % 3).alias("darklist_protocol"),

@@ -105,6 +105,18 @@ def pat_and(t):
     return ids(P.pattern(rows(t), parts, FIELDS, keys=KEY), "e1", "e2", "e3")
 
 
+@query(
+    "pat_and_within",
+    f"""SELECT a.user_id, a.event_id AS e1, min_by(b.event_id, b.us) FILTER (b.event_type = 'purchase') AS e2, min_by(b.event_id, b.us) FILTER (b.event_type = 'click') AS e3
+    FROM {EV} a JOIN {EV} b ON a.user_id = b.user_id AND b.us > a.us AND a.event_type = 'error'
+    GROUP BY a.user_id, a.event_id HAVING e2 IS NOT NULL AND e3 IS NOT NULL""",
+)
+def pat_and_within(t):
+    """The two events of a pair are not under the bound, wherever they lie."""
+    parts = [P.step("e1", is_("error")), P.both(P.step("e2", is_("purchase")), P.step("e3", is_("click")))]
+    return ids(P.pattern(rows(t), parts, FIELDS, keys=KEY, every=True, within_ms=W.HOUR), "e1", "e2", "e3")
+
+
 @query(
     "pat_or",
     f"""SELECT user_id, e1, CASE WHEN kind = 'error' THEN id END AS e2, CASE WHEN kind = 'click' THEN id END AS e3 FROM

@@ -442,10 +442,10 @@ def trf_split_flow(t):
 
 @query(
     "trf_state_upsert",
-    """SELECT user_id AS client_mac, max_by(event_type, ts) AS place, max(epoch_us(ts)) AS at FROM events WHERE event_type <> 'click' GROUP BY user_id""",
+    """SELECT user_id AS client_mac, max_by(event_type, (ts, event_id)) AS place, max(epoch_us(ts)) AS at FROM events GROUP BY user_id""",
 )
 def trf_state_upsert(t):
-    rows = t.events.filter(C("event_type") != "click").select("ts", "seq", C("user_id").alias("client_mac"), C("event_type").alias("place"))
+    rows = t.events.select("ts", "seq", C("user_id").alias("client_mac"), C("event_type").alias("place"))
     return R.state_upsert(rows, "client_mac", ["place"]).select("client_mac", "place", F.unix_micros("ts").alias("at"))
 
 
