@@ -24,6 +24,7 @@ from tidemark.operators import records as R
 from tidemark.operators import regression as G
 from tidemark.operators import tables as T
 from tidemark.operators import windows as W
+from tidemark.ordering import plan_split
 from tidemark.sources import kafka, messages
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -418,3 +419,41 @@ def test_regression_batches_are_taken_as_asked(spark):
     whole = [r["beta1"] for r in G.regress(df, "y", ["x"], ci=0.0).orderBy("seq").collect()]
     large = [r["beta1"] for r in G.regress(df, "y", ["x"], ci=0.0, batch=2_000_000_000).orderBy("seq").collect()]
     assert np.allclose(whole, large)
+
+
+def _sorted_changes(rows, n, by):
+    """The sort window, one row after another."""
+    kept, out = [], []
+    for row in sorted(rows, key=lambda r: (r["us"], r["seq"])):
+        kept.append(row)
+        key = lambda r: ([(r[c] is None, r[c] if up or r[c] is None else W._Falling(r[c])) for c, up in by], r["us"], r["seq"])
+        kept.sort(key=key)
+        if len(kept) > n:
+            out.append(("expired", kept.pop()["seq"]))
+        out.append(("current", row["seq"]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("by", [[("name", False), ("big", True)], [("big", False)], [("at", True)], [("name", True)]])
+@pytest.mark.parametrize("ranges", [1, 6])
+def test_sort_window_of_any_type(spark, by, ranges):
+    import datetime
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(60):
+        us = (i - 30) * 1_000_000 + 123_456  # before and after 1970
+        big = None if i % 9 == 0 else 9_007_199_254_740_990 + rng.randint(0, 5)
+        name = None if i % 7 == 0 else rng.choice(["ant", "Bee", "cat", "ému"])
+        at = None if i % 11 == 0 else datetime.datetime(1969, 12, 31, 23, 59, 59, rng.randint(0, 999_999))
+        rows.append({"us": us, "seq": i, "big": big, "name": name, "at": at, "tags": ["x", None], "amount": i / 7})
+    schema = "us long, seq long, big long, name string, at timestamp_ntz, tags array<string>, amount double"
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], schema).withColumn("ts", F.timestamp_micros("us"))
+    split = None
+    if ranges > 1:
+        split = plan_split(W.arrivals(df), [], W.ARRIVAL_ORDER, rows_per_range=10)
+    found = W.sort_window(df, 4, by, split=split).collect()
+    assert sorted((r["_kind"], r["seq"]) for r in found) == _sorted_changes(rows, 4, by)
+    same = {r["seq"]: r for r in rows}
+    assert all(r["at"] == same[r["seq"]]["at"] and r["big"] == same[r["seq"]]["big"] and r["tags"] == ["x", None] for r in found)
+    assert {r["ts"].microsecond for r in found} == {123_456}

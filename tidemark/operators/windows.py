@@ -20,6 +20,7 @@ import bisect
 from collections.abc import Iterable, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -226,84 +227,117 @@ def ordered_scan(
     )
 
 
+class _Falling:
+    """A value whose order is reversed."""
+
+    __slots__ = ("value",)
+
+    def __init__(self, value):
+        self.value = value
+
+    def __lt__(self, other):
+        return other.value < self.value
+
+    def __eq__(self, other):
+        return self.value == other.value
+
+
+def _place(value, rising: bool) -> tuple:
+    """Key of a sort value: nulls come last either way, not-a-number is the largest number."""
+    if value is None:
+        return (2,)
+    if value != value:
+        return (1 if rising else -1,)
+    return (0, value if rising else _Falling(value))
+
+
+def _compared(by: Sequence[tuple[str, bool]]):
+    """The same order for entries inside Spark: -1, 0 or 1."""
+
+    def compare(a: Column, b: Column) -> Column:
+        out = F.lit(0)
+        for name, rising in reversed([*by, ("_t", True), ("_s", True)]):
+            x, y, one = a[name], b[name], 1 if rising else -1
+            out = (
+                F.when(x.isNull() & y.isNull(), out)
+                .when(x.isNull(), 1)
+                .when(y.isNull(), -1)
+                .when(x < y, -one)
+                .when(x > y, one)
+                .otherwise(out)
+            )
+        return out
+
+    return compare
+
+
 def sort_window(
     df, n: int, by: Sequence[tuple[str, bool]], *, keys=(), ts="ts", seq="seq", split=None
 ) -> DataFrame:
     """``sort(n, attr [asc|desc], ...)``: the ``n`` smallest rows so far are live.
 
-    ``by`` lists (column, ascending). The content before any range is the ``n``
-    smallest rows of the earlier ranges, so a range starts from that bounded
-    state and hot groups are scanned range by range in parallel.
+    ``by`` lists (column, ascending) of any types that have an order; nulls come last.
+    The content before any range is the ``n`` smallest rows of the earlier ranges, so a
+    range starts from that bounded state and hot groups are scanned range by range in
+    parallel. Rows pass through Arrow with their own types.
     """
     a = arrivals(df, ts, seq)
     split = split or plan_split(a, keys, ARRIVAL_ORDER)
-    names = [f"_b{i}" for i in range(len(by))]
-    signed = [F.col(c).cast("double") * (1 if asc else -1) for c, asc in by]
-    ranged = split.assign(a.withColumns(dict(zip(names, signed))))
-    rank = F.struct(*names, "_t", "_s")
-    cols = df.columns
-    entry = F.struct(rank.alias("r"), F.struct(*cols).alias("v"))
-    tagged = ranged.select(*keys, RANGE, F.col("_t"), F.col("_s"), entry.alias("_e"))
-    if split.active:
-        place = Window.partitionBy(*keys, RANGE).orderBy(F.col("_e.r"))
-        best = tagged.withColumn("_p", F.row_number().over(place)).filter(F.col("_p") <= n)
-        per_range = best.filter(F.col(RANGE) >= 0).groupBy(*keys, RANGE).agg(F.collect_list("_e").alias("_l"))
-        prior = Window.partitionBy(*(keys or (F.lit(0),))).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-        merged = per_range.select(
-            *[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
-            F.col(RANGE).alias("_cr"),
-            F.slice(F.array_sort(F.flatten(F.collect_list("_l").over(prior))), 1, n).alias("_seed"),
-        )
-        same = F.col(RANGE) == F.col("_cr")
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_ck{i}"))
-        seeds = (
-            per_range.join(merged, same)
-            .select(*[F.col(k) for k in keys], RANGE, F.explode("_seed").alias("_e"))
-            .select(*keys, RANGE, F.lit(-1).cast("bigint").alias("_t"), F.lit(-1).cast("bigint").alias("_s"), "_e")
-        )
-        tagged = tagged.unionByName(seeds)
-    flat = tagged.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], RANGE, "_t", "_s",
-        F.col("_e.r").alias("_rank"), F.col("_e.v").alias("_v"),
-    ).select(
-        *[f"_k{i}" for i in range(len(keys))], RANGE, "_t", "_s",
-        *[F.col(f"_rank.{b}").alias(b) for b in names], F.col("_rank._t").alias("_rt"), F.col("_rank._s").alias("_rs"),
-        F.to_json("_v").alias("_json"),
-    )
+    by, cols = [tuple(x) for x in by], df.columns
+    rows = split.assign(a).withColumn("_seed", F.lit(False)).withColumns({"_at_t": F.col("_t"), "_at_s": F.col("_s")})
+    parts = [F.col(k) for k in keys]
+    carried = [*cols, "_t", "_s"]
+    rows = rows.select(*cols, *[p.alias(f"_k{i}") for i, p in enumerate(parts)], RANGE, "_seed", "_at_t", "_at_s", "_t", "_s")
     group = [*[f"_k{i}" for i in range(len(keys))], RANGE]
+    if split.active:
+        order = [F.col(c).asc_nulls_last() if rising else F.col(c).desc_nulls_last() for c, rising in by]
+        place = Window.partitionBy(*group).orderBy(*order, "_t", "_s")
+        best = rows.withColumn("_p", F.row_number().over(place)).filter(F.col("_p") <= n)
+        per_range = best.groupBy(*group).agg(F.collect_list(F.struct(*carried)).alias("_l"))
+        prior = Window.partitionBy(*(group[:-1] or (F.lit(0),))).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.array_sort(F.flatten(F.collect_list("_l").over(prior)), _compared(by))
+        seeds = per_range.select(*group, F.slice(before, 1, n).alias("_before")).select(*group, F.explode("_before").alias("_e"))
+        zero = F.lit(0).cast("bigint")
+        seeds = seeds.select(
+            *[F.col("_e")[c].alias(c) for c in cols], *group, F.lit(True).alias("_seed"), zero.alias("_at_t"), zero.alias("_at_s"),
+            F.col("_e._t").alias("_t"), F.col("_e._s").alias("_s"),
+        )
+        rows = rows.unionByName(seeds)
+    fields = [df.schema[c] for c in cols]
     schema = T.StructType(
         [
-            T.StructField("_json", T.StringType()),
+            *[T.StructField(f.name, f.dataType) for f in fields],
             T.StructField("_kind", T.StringType()),
             T.StructField("_sign", T.IntegerType()),
             *[T.StructField(c, T.LongType()) for c in CHANGE_ORDER],
         ]
     )
-    width = len(names)
+    width, by_at = len(cols), [(cols.index(c), rising) for c, rising in by]
+    kinds = (pa.string(), pa.int32(), *[pa.int64()] * len(CHANGE_ORDER))
 
-    def make(columns: list[str], memory: dict):
-        t_at, s_at = columns.index("_t"), columns.index("_s")
-        b_at, j_at = columns.index(names[0]), columns.index("_json")
-        kept: list[tuple] = memory.setdefault("kept", [])
-
-        def step(row: tuple) -> list[tuple]:
-            rank_key = row[b_at : b_at + width + 2]
-            bisect.insort(kept, (rank_key, row[j_at]))
-            if row[t_at] == -1 and row[s_at] == -1:
-                return []
-            out = []
-            if len(kept) > n:
-                gone, text = kept.pop()
-                out.append((text, "expired", -1, row[t_at], row[s_at], 0, gone[-1]))
-            out.append((row[j_at], "current", 1, row[t_at], row[s_at], 1, row[s_at]))
-            return out
-
-        return step
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        key, kept = object(), []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[column.to_pylist() for column in batch.columns]):
+                *here, seed, at_t, at_s, t, s = row[width:]
+                if here != key:
+                    key, kept = here, []
+                bisect.insort(kept, ((*[_place(row[i], rising) for i, rising in by_at], t, s), row[:width]), key=lambda e: e[0])
+                if seed:
+                    continue
+                if len(kept) > n:
+                    gone, values = kept.pop()
+                    out.append((*values, "expired", -1, at_t, at_s, 0, gone[-1]))
+                out.append((*row[:width], "current", 1, at_t, at_s, 1, at_s))
+            if out:
+                types = [*[batch.schema.field(i).type for i in range(width)], *kinds]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*out), types)], names=schema.fieldNames()
+                )
 
-    scanned = ordered_scan(flat, group, ["_t", "_s"], make, schema)
-    row_type = T.StructType([df.schema[c] for c in cols])
-    return scanned.withColumn("_v", F.from_json("_json", row_type)).select("_v.*", *CHANGE_COLUMNS)
+    dealt = rows.repartition(*[F.col(g) for g in group])
+    return dealt.sortWithinPartitions(*group, F.col("_seed").desc(), "_at_t", "_at_s").mapInArrow(scan, schema)
 
 
 def smallest(df, n: int, by: Sequence[tuple[str, bool]], *, ts="ts", seq="seq") -> DataFrame:

@@ -9,8 +9,9 @@ into consecutive ranges of its own order and combine the ranges exactly:
    the key and order columns only, and brings back a bounded sample.
 2. rows are shuffled by ``(key, range)``; groups that are not hot have range 0,
    so for them the plan is the ordinary window plan.
-3. the total of each range of a hot group (at most ``MAX_RANGES`` rows in all)
-   is prefix-combined and broadcast back as the carry-in of the range.
+3. the total of each range of a hot group is prefix-combined and broadcast back as
+   the carry-in of the range. There are about ``MAX_RANGES`` ranges at most, or two
+   for each hot group where that is more.
 """
 
 from __future__ import annotations
@@ -147,9 +148,8 @@ def plan_split(
         return Split(keys, order, cuts=tuple(map(tuple, cuts)), widest=len(cuts), cut_type=cut_type)
 
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = (
-        sizes.filter(F.col("_n") > rows_per_range).orderBy(F.desc("_n")).limit(MAX_RANGES // 2).collect()
-    )
+    # At most one key per ``rows_per_range`` rows of the stream; every one of them is cut.
+    heavy = sizes.filter(F.col("_n") > rows_per_range).collect()
     if not heavy:
         return Split(keys, order)
     step = max(rows_per_range, sum(r["_n"] for r in heavy) * 2 // MAX_RANGES)

@@ -159,6 +159,19 @@ def win_sort_changes(t):
     return changes.select("event_id", F.col("_kind").alias("kind"), F.col("_at").alias("at"))
 
 
+@query(
+    "win_sort_text",
+    f"""SELECT event_id, ts, 'current' AS kind, us AS at FROM {CENTS} UNION ALL
+    SELECT a.event_id, a.ts, 'expired', greatest(a.us, b.us) FROM {CENTS} a JOIN {CENTS} b
+    ON a.user_id = b.user_id AND (b.event_type > a.event_type OR (b.event_type = a.event_type AND b.us < a.us))
+    QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.us) = 7""",
+)
+def win_sort_text(t):
+    """Text, descending; the rows keep their own types."""
+    changes = W.sort_window(t.events.drop("props"), 7, [("event_type", False)], keys=["user_id"])
+    return changes.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("_kind").alias("kind"), F.col("_at").alias("at"))
+
+
 @query(
     "win_unique",
     """SELECT user_id, max_by(event_id, ts) AS event_id, max_by(value, ts) AS value FROM events GROUP BY user_id""",
