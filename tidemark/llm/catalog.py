@@ -190,7 +190,32 @@ def op5_text_dedup(spark, documents, folder):
     return text_dedup.near_duplicates(documents).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@_query("op7_passage_dedup", "documents")
+@_query(
+    "op7_passage_dedup",
+    "documents",
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, h, len(h) // 2 - 49 AS n, unnest(range((len(h) // 2 + 14) // 64)) AS k FROM d WHERE len(h) >= 100),
+    t AS (SELECT doc_id, n, k, substr(h, 128 * k + 1, 226) AS t FROM w),
+    u AS (SELECT doc_id, n, 64 * k AS k, t, unnest(range(64)) AS j FROM t),
+    g AS (SELECT doc_id, k + j AS i, substr(t, 2 * j + 1, 100) AS s FROM u WHERE k + j < n),
+    f AS (SELECT s, min(doc_id) AS m FROM g GROUP BY s),
+    r AS (SELECT g.doc_id, g.i FROM g JOIN f ON f.s = g.s WHERE f.m < g.doc_id),
+    o AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens FROM r),
+    n AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM o),
+    p AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, span),
+    q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM p),
+    k AS (
+      SELECT q.doc_id, count(*) AS spans, sum(b - a) AS removed, max(b) AS e,
+             string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) AS kept
+      FROM q JOIN d ON d.doc_id = q.doc_id GROUP BY q.doc_id
+    )
+    SELECT d.doc_id AS doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+           sha256(unhex(coalesce(kept || substr(h, 2 * e + 1), h))) AS kept_sha256
+    FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+    """,
+)
 def op7_passage_dedup(spark, documents, folder):
     """What is left of every document without passages of earlier ones."""
     left = passage_dedup.remove_passages(documents.select("doc_id", "text"))
