@@ -128,7 +128,7 @@ def test_passages_against_brute_force(shared, monkeypatch, crowded, bucket, segm
     rows = passage_rows()
     docs = shared.createDataFrame(rows, DOCUMENTS).withColumnRenamed("n_chars", "start").repartition(3)
     ranges = passage_dedup.repeated_ranges
-    monkeypatch.setattr(passage_dedup, "repeated_ranges", lambda d, c: ranges(d, c, bucket))
+    monkeypatch.setattr(passage_dedup, "repeated_ranges", lambda d, t, c: ranges(d, t, c, bucket))
     left = passage_dedup.remove_passages(docs, crowded=crowded).collect()
     mine = sorted(
         (-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept_bytes"]).hexdigest())

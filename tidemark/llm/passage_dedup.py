@@ -4,10 +4,11 @@ A byte goes where it lies in a ``length``-byte string that also starts in a docu
 independent pieces by anchors: of the ``GRAM``-byte grams of every ``length``-byte window the one with the smallest hash, so
 equal windows have equal anchors at the same place. An anchor with the stretch of the windows it serves is a context.
 
-1. Anchors (one per eighteen bytes or so) are dealt by their gram and read in sorted order. Where the same context occurs
+1. Documents that are read together settle what they share among themselves. The other anchors (one per eighteen bytes or so)
+   are dealt by their gram and read in sorted order. Where the same context occurs
    in a document with a smaller id, all its windows go. A gram with one context is done; of the others the first document
    of each context is kept for the next step.
-2. Those contexts meet in buckets by gram. Each bucket gets a run-compressed Burrows-Wheeler transform with sampled run
+2. Those contexts meet in buckets by gram; one that shares no gram beside its anchor with another is let go. Each bucket gets a run-compressed Burrows-Wheeler transform with sampled run
    ends, and a table of the row intervals that share ``length`` bytes with the smallest document of each. All contexts of
    the bucket are streamed through it, right to left, by steps on the runs; a window whose interval has a smaller document
    is a long match and is marked.
@@ -15,8 +16,8 @@ equal windows have equal anchors at the same place. An anchor with the stretch o
    with partial results.
 4. Marked ranges go back to their documents, are united and cut out.
 
-Reading sorted runs needs the memory of one Arrow batch; a gram has at most one row per document and place, and a document
-has a row for every eighteen bytes, so no gram can be a large share of the rows unless texts are a few words long.
+Reading sorted runs needs the memory of one Arrow batch. A context that very many documents share is settled in groups of
+documents before the shuffle, so of its gram only about one document per group meets in one task.
 
 Defined cases: a null text is empty; texts shorter than ``length`` stay as they are; rows that repeat an id do not remove from
 each other, whatever their texts; rows without an id remove nothing and stay whole; other columns are ignored; an empty
@@ -45,6 +46,10 @@ _LOW = np.uint64((1 << 20) - 1)
 _FIXED = np.random.default_rng(29)
 _ODD = _FIXED.integers(1 << 62, size=16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VARIANT_BITS = 20
+#: Bits of gram and context hashes that are kept; contexts are compared within a gram only.
+_KEPT = np.uint64((1 << 48) - 1)
+#: In place of a context hash: the row is settled already.
+_SETTLED = -1
 
 
 # Anchors
@@ -99,10 +104,10 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         inside = (block + 1) * GRAM <= size
         at = np.where(inside, first + block * GRAM, 0)
         context += np.where(inside, h[at], np.uint64(0)) * _ODD[7 + block]
-    return place, first, last, h[place], _mixed(context)
+    return place, first, last, h[place] & _KEPT, _mixed(context) & _KEPT
 
 
-def _info(first: np.ndarray, place: np.ndarray, last: np.ndarray, variant: np.ndarray) -> np.ndarray:
+def _info(first: np.ndarray, last: np.ndarray, variant: np.ndarray) -> np.ndarray:
     """variant, first window and number of windows in one integer."""
     return (variant << np.int64(43)) | (first << np.int64(6)) | (last - first)
 
@@ -126,7 +131,7 @@ def _groups(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
                 group, size = [], 0
             group.append((row, start, part))
             size += len(part)
-            if size > 1 << 17:
+            if size > _SEGMENT // 2:
                 yield group
                 group, size = [], 0
     if group:
@@ -137,8 +142,23 @@ def _utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+def settled_here(gram: np.ndarray, context: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Rows whose context a smaller document of the same few has too."""
+    key = _mixed(gram * _ODD[14] + context)
+    order = np.argsort(key, kind="stable")
+    new = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    least = np.repeat(np.minimum.reduceat(doc[order], new), np.diff(np.append(new, len(order))))
+    out = np.empty(len(order), bool)
+    out[order] = doc[order] > least
+    return out
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, variant, text -> gram, context, doc_id, info."""
+    """doc_id, variant, text -> gram, context, doc_id, info.
+
+    What a group of documents settles among itself need not meet the other rows of its gram: it is dealt by place, so that
+    very frequent contexts do not come together.
+    """
     for batch in batches:
         docs, variants = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for group in _groups([_utf8(value.as_py()) for value in batch.column(2)]):
@@ -150,12 +170,15 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             member = np.searchsorted(ends, first, "right")
             rows = np.array([row for row, _, _ in group])[member]
             shift = (np.array([start for _, start, _ in group]) - np.concatenate(([0], ends[:-1])))[member]
+            info = _info(first + shift, last + shift, variants[rows])
+            settled = settled_here(gram, context, docs[rows])
+            dealt = np.where(settled, _mixed(info.astype(np.uint64) ^ docs[rows].astype(np.uint64)) & np.uint64(0xFFF), gram)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(gram.astype(np.int64)),
-                    pa.array(context.astype(np.int64)),
+                    pa.array(dealt.astype(np.int64)),
+                    pa.array(np.where(settled, _SETTLED, context.astype(np.int64))),
                     pa.array(docs[rows]),
-                    pa.array(_info(first + shift, place + shift, last + shift, variants[rows])),
+                    pa.array(info),
                 ],
                 names=["gram", "context", "doc_id", "info"],
             )
@@ -168,7 +191,7 @@ _RUN_FIELDS = ["gram", "doc_id", "info", "open"]
 
 
 class _Runs:
-    """Rows sorted by (gram, context, doc_id), a batch at a time.
+    """Rows sorted by (gram, context, doc_id, info), a batch at a time.
 
     A row whose context has a smaller document is settled. The rows of a context's first document are open if the gram
     has another context; until that is known those of the last gram are held.
@@ -222,8 +245,16 @@ class _Runs:
 def _read_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     runs = _Runs()
     for batch in batches:
-        if batch.num_rows:
-            found = runs.feed(*(column.to_numpy() for column in batch.columns))
+        gram, context, doc, info = (column.to_numpy() for column in batch.columns)
+        before = context == _SETTLED
+        if before.any():
+            doc_, info_ = doc[before], info[before]
+            none = np.zeros(len(doc_), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (none, doc_, info_, none == 1)], names=_RUN_FIELDS)
+            gram, context, doc, info = gram[~before], context[~before], doc[~before], info[~before]
+        if len(gram):
+            gram, doc, info, still = runs.feed(gram, context, doc, info)
+            found = np.where(still, gram, 0), doc, info, still
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=_RUN_FIELDS)
 
 
@@ -241,56 +272,52 @@ class RunLengthIndex:
 
     def __init__(self, contexts: list[bytes], owners: np.ndarray, length: int = LENGTH):
         self.count, self.length = len(contexts), length
-        sizes = np.array([len(c) for c in contexts])
+        self.sizes = sizes = np.array([len(c) for c in contexts])
         ends = np.cumsum(sizes + 1) - 1
-        text = np.zeros(int(ends[-1]) + 1, np.int64)
-        text[ends] = np.arange(self.count)
-        inside = np.ones(len(text), bool)
+        inside = np.ones(int(ends[-1]) + 1, bool)
         inside[ends] = False
-        text[inside] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int64) + self.count
-        order, same = self._sorted(text, int(sizes.max(initial=0)) + 1)
-        before = text[order - 1]
-        letter = np.where(before < self.count, -1, before)
-        new_run = np.diff(letter, prepend=-2) != 0
-        self.starts = np.flatnonzero(new_run)
+        text = np.zeros(len(inside), np.int64)
+        text[inside] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int64) + 1
+        left = np.repeat(ends, sizes + 1) - np.arange(len(text))
+        order, same = self._sorted(text, left)
+        letter = text[order - 1]
+        self.starts = np.flatnonzero(np.diff(letter, prepend=-1) != 0)
         self.samples = order[np.append(self.starts[1:], len(order)) - 1]
+        # A run goes to the rows of its letter, behind those of the earlier runs of that letter.
         run_letter, run_size = letter[self.starts], np.diff(np.append(self.starts, len(order)))
-        below = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=self.count + 256))))
-        self.follow = np.full(len(self.starts), -1)
+        below = np.cumsum(np.bincount(text, minlength=257)) - np.bincount(text, minlength=257)
         by_letter = np.argsort(run_letter, kind="stable")
-        grouped = run_letter[by_letter]
         sums = np.cumsum(run_size[by_letter]) - run_size[by_letter]
-        first_of = np.searchsorted(grouped, grouped, "left")
-        inner = sums - sums[first_of]
-        letters = grouped >= 0
-        self.follow[by_letter[letters]] = below[grouped[letters]] + inner[letters]
-        owner_of = np.repeat(owners, sizes + 1)[order]
+        grouped = run_letter[by_letter]
+        self.follow = np.empty(len(self.starts), np.int64)
+        self.follow[by_letter] = below[grouped] + sums - sums[np.searchsorted(grouped, grouped, "left")]
         self.intervals = np.flatnonzero(~same)
-        self.owners = np.minimum.reduceat(owner_of, self.intervals)
-        self.sizes = sizes
+        self.owners = np.minimum.reduceat(np.repeat(owners, sizes + 1)[order], self.intervals)
+
+    def _sorted(self, text: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the order of their suffixes, and which rows share ``length`` letters with the row before.
 
-    def _sorted(self, text: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the order of their suffixes, and which rows share ``length`` letters with the row before."""
-        rank, have, at = text, 1, np.arange(len(text))
-        share = None
+        A suffix ends with its context; equal ones stay in the order of their contexts.
+        """
+        at, have = np.arange(len(text)), min(7, self.length)
+        padded = np.concatenate((text, np.zeros(have, np.int64)))
+        key = np.zeros(len(text), np.int64)
+        for step in range(have):
+            key = key * 257 + np.where(step < left, padded[step : step + len(text)], 0)
         while True:
-            if have * 2 > self.length and share is None:
-                # Two overlapping stretches of ``have`` letters are ``length`` letters.
-                later = np.minimum(at + self.length - have, len(text) - 1)
-                share = rank, rank[later]
-            if have >= longest:
-                break
-            later = np.where(at + have < len(text), rank[np.minimum(at + have, len(text) - 1)] + 1, 0)
-            key = rank * np.int64(len(text) + 258 + self.count) + later
             order = np.argsort(key, kind="stable")
-            new = np.diff(key[order], prepend=-1) != 0
             rank = np.empty(len(text), np.int64)
-            rank[order] = np.cumsum(new) - 1
+            rank[order] = np.cumsum(np.diff(key[order], prepend=-1) != 0)
+            if have <= self.length <= 2 * have:  # two overlapping stretches
+                later = rank[np.minimum(at + self.length - have, len(text) - 1)]
+                share = rank, later
+            if have > left.max() and 2 * have >= self.length:
+                break
+            later = np.where(left > have, rank[np.minimum(at + have, len(text) - 1)], 0)
+            key = rank * (len(text) + 1) + later
             have *= 2
-        order = np.argsort(rank, kind="stable")
-        one, two = share
         same = np.zeros(len(text), bool)
-        same[1:] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
+        same[1:] = (share[0][order[1:]] == share[0][order[:-1]]) & (share[1][order[1:]] == share[1][order[:-1]])
         return order, same
 
     def stream(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -308,6 +335,34 @@ class RunLengthIndex:
                 yield alive, self.sizes[alive] - step, self.owners[np.searchsorted(self.intervals, rows, "right") - 1]
 
 
+def may_match(contexts: list[bytes], grams: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Contexts that share the gram beside their anchor, left or right, with a context of another owner.
+
+    A window holds the anchor's gram and at least ``GRAM`` bytes next to it on one side, so no other context can match.
+    """
+    sizes = np.array([len(c) for c in contexts])
+    ends = np.cumsum(sizes)
+    h = gram_hashes(np.frombuffer(b"".join(contexts), np.uint8))
+    low = ends - sizes
+    hits = np.flatnonzero((h & _KEPT) == np.repeat(grams, sizes)[: len(h)])
+    which = np.searchsorted(ends, hits, "right")
+    hits, which = hits[hits + GRAM <= ends[which]], which[hits + GRAM <= ends[which]]
+    place = np.full(len(contexts), -1)
+    place[which[::-1]] = hits[::-1]
+    passed = np.zeros(len(contexts), bool)
+    for beside, inside in ((place - GRAM, place - GRAM >= low), (place + GRAM, place + 2 * GRAM <= ends)):
+        has = np.flatnonzero(inside & (place >= 0))
+        if not len(has):
+            continue
+        key = _mixed(grams[has] * _ODD[14] + h[beside[has]] * _ODD[15])
+        order = np.argsort(key, kind="stable")
+        new = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+        least, most = np.minimum.reduceat(owners[has][order], new), np.maximum.reduceat(owners[has][order], new)
+        several = np.repeat(least != most, np.diff(np.append(new, len(order))))
+        passed[has[order[several]]] = True
+    return passed
+
+
 def marked(contexts: list[bytes], owners: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int]]:
     """(context, first, end) of the bytes in matches with a smaller owner."""
     index = RunLengthIndex(contexts, owners, length)
@@ -328,17 +383,24 @@ def marked(contexts: list[bytes], owners: np.ndarray, length: int = LENGTH) -> l
 # Operator
 
 
-def _variant(text) -> F.Column:
+def _same_text():
+    return (F.col("__doc") == F.col("_d")) & (F.col("__variant") == F.col("_v"))
+
+
+def _variant(text):
     """Tells texts of one id apart."""
     return F.xxhash64(text).bitwiseAND(F.lit((1 << _VARIANT_BITS) - 1)).cast("long")
 
 
-def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, doc_id, variant, [(gram, info)] -> one row per context."""
+def _cut_contexts(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """..., __doc, __variant, __wanted [(gram, info)] or null -> one row per context."""
     for batch in batches:
         out = []
-        for text, doc, variant, wanted in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            raw = _utf8(text)
+        for text, doc, variant, wanted in zip(batch.column(text_at), *batch.columns[-3:], strict=True):
+            wanted = wanted.as_py()
+            if not wanted:
+                continue
+            raw, doc, variant = _utf8(text.as_py() or ""), doc.as_py(), variant.as_py()
             _, first, last = _unpack(np.array([w["info"] for w in wanted], np.int64))
             for w, low, high in zip(wanted, first.tolist(), last.tolist(), strict=True):
                 out.append((w["gram"], doc, variant, low, raw[low : high + LENGTH]))
@@ -350,13 +412,18 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def repeated_ranges(documents: DataFrame, crowded: int = CROWDED, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
-    """(doc_id, variant, start, end) of byte ranges to remove; they may overlap. ``documents`` is (doc_id, variant, text)."""
-    usable = documents.filter("doc_id is not null")
-    rows = usable.select("doc_id", "variant", "text").mapInArrow(
-        _anchor_rows, "gram long, context long, doc_id long, info long"
-    )
-    sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc_id")
+def repeated_ranges(keyed: DataFrame, text: str, crowded: int = CROWDED, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
+    """(doc_id, variant, start, end) of byte ranges to remove; they may overlap.
+
+    ``keyed`` ends with __doc and __variant, which tells texts of one id apart.
+    """
+    usable = keyed.filter("__doc is not null")
+    ids_repeat = not usable.groupBy("__doc").count().filter("count > 1").isEmpty()
+    texts = usable.select("__doc", "__variant", text_column(usable, text).alias("text"))
+    rows = texts.mapInArrow(_anchor_rows, "gram long, context long, doc_id long, info long")
+    if ids_repeat:
+        rows = rows.distinct()
+    sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc_id", "info")
     runs = saved(sorted_rows.mapInArrow(_read_runs, "gram long, doc_id long, info long, open boolean"), "passage-runs")
     first = F.shiftright("info", 6).bitwiseAND(F.lit((1 << 37) - 1))
     end = first + F.col("info").bitwiseAND(F.lit(63)) + LENGTH
@@ -365,23 +432,29 @@ def repeated_ranges(documents: DataFrame, crowded: int = CROWDED, bucket_context
     )
 
     still = runs.filter("open").select("gram", "doc_id", F.shiftright("info", 43).alias("variant"), "info")
-    wanted = still.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("gram", "info")).alias("wanted"))
-    texts = usable.join(wanted, ["doc_id", "variant"]).dropDuplicates(["doc_id", "variant"])
-    contexts = saved(
-        texts.select("text", "doc_id", "variant", "wanted").mapInArrow(
-            _cut_contexts, "gram long, doc_id long, variant long, start long, bytes binary"
-        ),
-        "passage-contexts",
-    )
-    sizes = contexts.groupBy("gram").agg(F.count("*").alias("n"))
-    full = sizes.filter(F.col("n") > crowded).select(F.col("gram").alias("_g"))
-    buckets = max(1, -(-contexts.count() // bucket_contexts))
+    buckets = max(1, -(-still.count() // bucket_contexts))
+    full = saved(still.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > crowded).select("gram"), "passage-crowded")
+    some_full = not full.isEmpty()
+    few, many = (still.join(full, "gram", kind) for kind in ("left_anti", "left_semi")) if some_full else (still, None)
+
+    def contexts(of: DataFrame) -> DataFrame:
+        wanted = of.groupBy(F.col("doc_id").alias("_d"), F.col("variant").alias("_v")).agg(
+            F.collect_list(F.struct("gram", "info")).alias("__wanted")
+        )
+        # The same columns, keys and kind of join as where the ranges are cut out, so that texts are shuffled once.
+        found = keyed.join(wanted.hint("shuffle_hash"), _same_text(), "left")
+        if ids_repeat:
+            found = found.filter("__wanted is not null").dropDuplicates(["__doc", "__variant"])
+        text_at = keyed.columns.index(text)
+        return found.select(*keyed.columns, "__wanted").mapInArrow(
+            lambda batches: _cut_contexts(batches, text_at), "gram long, doc_id long, variant long, start long, bytes binary"
+        )
+
     bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).alias("bucket")
-    few = contexts.join(full, F.col("gram") == F.col("_g"), "left_anti")
-    many = contexts.join(full, F.col("gram") == F.col("_g"), "left_semi")
 
     def index(frame: pd.DataFrame) -> pd.DataFrame:
-        found = marked(list(frame["bytes"]), frame["doc_id"].to_numpy())
+        frame = frame[may_match(list(frame["bytes"]), frame["gram"].to_numpy().astype(np.uint64), frame["doc_id"].to_numpy())]
+        found = marked(list(frame["bytes"]), frame["doc_id"].to_numpy()) if len(frame) else []
         which = [c for c, _, _ in found]
         out = frame.iloc[which][["doc_id", "variant"]].copy()
         out["start"] = frame["start"].to_numpy()[which] + np.array([s for _, s, _ in found], np.int64)
@@ -389,11 +462,14 @@ def repeated_ranges(documents: DataFrame, crowded: int = CROWDED, bucket_context
         return out
 
     ranges = "doc_id long, variant long, start long, end long"
-    matched = few.select("doc_id", "variant", "start", "bytes", bucket).groupBy("bucket").applyInPandas(index, ranges)
+    dealt = contexts(few).select("gram", "doc_id", "variant", "start", "bytes", bucket)
+    matched = dealt.groupBy("bucket").applyInPandas(index, ranges)
+    if not some_full:
+        return settled.unionByName(matched)
 
     # Windows of crowded grams, one by one.
     at = F.explode(F.sequence(F.lit(0), F.length("bytes") - LENGTH)).alias("at")
-    windows = many.select("doc_id", "variant", "start", "bytes", at)
+    windows = contexts(many).select("doc_id", "variant", "start", "bytes", at)
     window = F.substring("bytes", F.col("at") + 1, F.lit(LENGTH))
     windows = windows.select("doc_id", "variant", (F.col("start") + F.col("at")).alias("start"), window.alias("window"))
     smallest = windows.groupBy("window").agg(F.min("doc_id").alias("_least"))
@@ -410,16 +486,13 @@ def remove_passages(
 
     As text, the rest of a character that was cut apart is left out.
     """
-    extra = ["__doc", "__variant", "__text"]
-    rows = documents.withColumns(
-        {"__doc": documents[id_column].cast("long"), "__text": text_column(documents, text)}
-    ).withColumn("__variant", _variant("__text"))
-    plain = rows.select(F.col("__doc").alias("doc_id"), F.col("__variant").alias("variant"), F.col("__text").alias("text"))
-    ranges = repeated_ranges(plain, crowded)
+    doc = documents[id_column].cast("long")
+    keyed = documents.select("*", doc.alias("__doc"), _variant(text_column(documents, text)).alias("__variant"))
+    ranges = repeated_ranges(keyed, text, crowded)
     by_text = ranges.groupBy(F.col("doc_id").alias("_d"), F.col("variant").alias("_v")).agg(
         F.collect_list(F.struct("start", "end")).alias("__ranges")
     )
-    joined = rows.join(by_text, (F.col("__doc") == F.col("_d")) & (F.col("__variant") == F.col("_v")), "left")
+    joined = keyed.join(by_text.hint("shuffle_hash"), _same_text(), "left")
     kept = documents.columns
     fields = joined.select(*kept).schema
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_text", "string") if as_text else ("kept_bytes", "binary")):
@@ -428,8 +501,8 @@ def remove_passages(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, found in zip(batch.column(len(kept)), batch.column(len(kept) + 1), strict=True):
-                raw = _utf8(value.as_py())
+            for value, found in zip(batch.column(kept.index(text)), batch.column(len(kept) + 2), strict=True):
+                raw = _utf8(value.as_py() or "")
                 spans = united([(r["start"], r["end"]) for r in found.as_py() or ()])
                 parts, at = [], 0
                 for low, high in spans:
@@ -444,7 +517,7 @@ def remove_passages(
                 names=fields.fieldNames(),
             )
 
-    return joined.select(*kept, extra[2], "__ranges").mapInArrow(cut, fields)
+    return joined.select(*keyed.columns, "__ranges").mapInArrow(cut, fields)
 
 
 def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
