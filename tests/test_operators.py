@@ -457,3 +457,31 @@ def test_sort_window_of_any_type(spark, by, ranges):
     same = {r["seq"]: r for r in rows}
     assert all(r["at"] == same[r["seq"]]["at"] and r["big"] == same[r["seq"]]["big"] and r["tags"] == ["x", None] for r in found)
     assert {r["ts"].microsecond for r in found} == {123_456}
+
+
+@pytest.mark.parametrize("op", ["<", "<=", ">", ">="])
+def test_update_and_delete_with_an_inequality(spark, op):
+    rng = random.Random(3)
+    table_rows = [(k, a, "old") for k in range(6) for a in [*range(0, 12, 2), None]]
+    event_rows = [(rng.randrange(5), rng.choice([None, *range(12)]), f"new{i}", i) for i in range(40)]
+    table = spark.createDataFrame(table_rows, "k long, a long, v string")
+    events = spark.createDataFrame(event_rows, "ek long, b long, v string, seq long").withColumn("ts", F.timestamp_seconds("seq"))
+    holds = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}[op]
+    hits = lambda k, a: [e for e in event_rows if e[0] == k and a is not None and e[1] is not None and holds(a, e[1])]
+    want = sorted(((k, a, hits(k, a)[-1][2] if hits(k, a) else v) for k, a, v in table_rows), key=str)
+    found = T.update_theta(table, events, [("k", "ek")], "a", op, "b")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == want
+    left = T.delete_theta(table, events, "a", op, "b", [("k", "ek")])
+    assert sorted((tuple(r) for r in left.collect()), key=str) == sorted((r for r in table_rows if not hits(*r[:2])), key=str)
+    with pytest.raises(ValueError):
+        T.update_theta(table, events, [], "a", op, "b")
+    with pytest.raises(ValueError):
+        J.table_join(table, events, [])
+
+
+def test_message_keys(spark):
+    rows = spark.createDataFrame([(1, "a", "t1"), (2, None, None)], "id int, name string, topic string")
+    plain = messages.to_messages(rows.drop("topic"), "all", key="id").collect()
+    assert [tuple(r) for r in plain] == [("all", "1", '{"id":1,"name":"a"}'), ("all", "2", '{"id":2}')]
+    routed = messages.to_messages(rows, route="topic", key="name").collect()
+    assert [tuple(r) for r in routed] == [("t1", "a", '{"id":1,"name":"a"}')]

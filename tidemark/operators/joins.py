@@ -199,11 +199,17 @@ def length_join(
     return pairs.drop(*drop, "_lw", "_rw", "_lway", "_rway", "_lcell", "_rcell")
 
 
+def _needs_equality(equal: Pairs) -> None:
+    if not equal:
+        raise ValueError("without an equality the join would compare all rows with all; give at least one")
+
+
 def unbounded_join(
     left: DataFrame, right: DataFrame, equal: Pairs, *, on: On | None = None,
     unidirectional: str | None = None, ts="ts", seq="seq",
 ) -> DataFrame:
     """Sides without a window keep every row live: an equi join, the later row triggers."""
+    _needs_equality(equal)
     l, r, lc, rc = _sides(arrivals(left, ts, seq), arrivals(right, ts, seq))
     condition = reduce(lambda a, b: a & b, [lc(a) == rc(b) for a, b in equal])
     if on is not None:
@@ -238,6 +244,7 @@ def table_join(
 ) -> DataFrame:
     """Stream with table; only the stream triggers. Spark broadcasts the table when its
     measured size is below the session's threshold and shuffles otherwise."""
+    _needs_equality(equal)
     l, r, lc, rc = _sides(stream, table)
     condition = reduce(lambda a, b: a & b, [lc(a) == rc(b) for a, b in equal])
     if on is not None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.windows import ARRIVAL_ORDER, arrivals
+from tidemark.ordering import Run, running
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -56,6 +57,41 @@ def update(
     )
 
 
+def update_theta(
+    table: DataFrame, events: DataFrame, on: Pairs, column: str, op: str, event_column: str, *, ts="ts", seq="seq"
+) -> DataFrame:
+    """``update t on t.k == event.k and t.a < event.b`` (or <=, >, >=): the last matching event wins.
+
+    An event decides only for the values that no later event of its key reaches, so the
+    events become intervals of ``column``, of which a row meets one at most. Without an
+    equality the join would be a nested loop and is refused.
+    """
+    if not on:
+        raise ValueError("an update with an inequality needs an equality as well")
+    taken = [c for c in table.columns if c in events.columns and c not in (*[t for t, _ in on], column)]
+    keys = [f"_uk{i}" for i in range(len(on))]
+    rows = arrivals(events, ts, seq).filter(F.col(event_column).isNotNull())
+    rows = rows.select(
+        *[F.col(e).alias(k) for k, (_, e) in zip(keys, on)], F.col(event_column).alias("_ub"), *ARRIVAL_ORDER,
+        F.struct(*taken).alias("_u"),
+    )
+    rising = op in ("<", "<=")
+    later = running(rows, keys, ARRIVAL_ORDER, {"_ul": Run("max" if rising else "min", F.col("_ub"))}, reverse=True, inclusive=False)
+    value, bound, past = F.col(column), F.col("_ub"), F.col("_ul")
+    beyond = {"<": value >= past, "<=": value > past, ">": value <= past, ">=": value < past}[op]
+    steps = later.filter(past.isNull() | ((bound > past) if rising else (bound < past)))
+    same = reduce(lambda a, b: a & b, [F.col(t) == F.col(k) for k, (t, _) in zip(keys, on)])
+    changed = table.join(steps, same & _holds(op, value, bound) & (past.isNull() | beyond), "left")
+    hit = bound.isNotNull()
+    return changed.select(
+        *[F.when(hit, F.col(f"_u.{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c) for c in table.columns]
+    )
+
+
+def _holds(op: str, a, b):
+    return {"<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b}[op]
+
+
 def delete(table: DataFrame, events: DataFrame, on: Pairs) -> DataFrame:
     """``delete t on t.a == event.b``; without pairs any event empties the table."""
     if not on:
@@ -65,13 +101,20 @@ def delete(table: DataFrame, events: DataFrame, on: Pairs) -> DataFrame:
     return table.join(right, same, "left_anti")
 
 
-def delete_theta(table: DataFrame, events: DataFrame, column: str, op: str, event_column: str) -> DataFrame:
-    """``delete t on t.a < event.b`` and the like: the events' extreme value decides."""
+def delete_theta(
+    table: DataFrame, events: DataFrame, column: str, op: str, event_column: str, on: Pairs = ()
+) -> DataFrame:
+    """``delete t on t.a < event.b`` and the like, with equalities ``on`` or without: the
+    events' extreme value (per key) decides."""
     extreme = F.max if op in ("<", "<=") else F.min
-    bound = events.agg(extreme(event_column)).scalar()
-    value = F.col(column)
-    gone = {"<": value < bound, "<=": value <= bound, ">": value > bound, ">=": value >= bound}[op]
-    return table.filter(~F.coalesce(gone, F.lit(False)))
+    if not on:
+        bound = events.agg(extreme(event_column)).scalar()
+        return table.filter(~F.coalesce(_holds(op, F.col(column), bound), F.lit(False)))
+    bounds = events.groupBy(*[F.col(e).alias(f"_dk{i}") for i, (_, e) in enumerate(on)]).agg(
+        extreme(event_column).alias("_bound")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(t) == F.col(f"_dk{i}") for i, (t, _) in enumerate(on)])
+    return table.join(bounds, same & _holds(op, F.col(column), F.col("_bound")), "left_anti")
 
 
 def save(table: DataFrame, root: str, version: int, *, replace: bool = False) -> None:

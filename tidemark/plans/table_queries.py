@@ -109,6 +109,40 @@ def tbl_delete_theta(t):
     return T.delete_theta(t.customer, events, "c_acctbal", "<", "half").select("c_custkey")
 
 
+@query(
+    "tbl_delete_mixed",
+    """SELECT c_custkey FROM customer WHERE NOT EXISTS
+    (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND c_acctbal < o_totalprice / 64)""",
+)
+def tbl_delete_mixed(t):
+    events = t.orders.withColumn("bound", F.col("o_totalprice") / 64)
+    return T.delete_theta(t.customer, events, "c_acctbal", "<", "bound", [("c_custkey", "o_custkey")]).select("c_custkey")
+
+
+@query(
+    "tbl_update_theta",
+    """SELECT c_custkey, coalesce(s, c_mktsegment) AS c_mktsegment FROM customer LEFT JOIN
+    (SELECT c_custkey AS k, max_by(o_orderstatus || o_orderkey, (o_orderdate, o_orderkey)) AS s FROM customer JOIN orders
+     ON o_custkey = c_custkey AND c_acctbal < o_totalprice / 64 GROUP BY c_custkey) ON k = c_custkey""",
+)
+def tbl_update_theta(t):
+    events = t.orders.select(
+        "o_custkey", (F.col("o_totalprice") / 64).alias("bound"), F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("seq"),
+        F.concat("o_orderstatus", F.col("o_orderkey")).alias("c_mktsegment"),
+    )
+    out = T.update_theta(t.customer, events, [("c_custkey", "o_custkey")], "c_acctbal", "<", "bound")
+    return out.select("c_custkey", "c_mktsegment")
+
+
+@query(
+    "prd_in_table_mixed",
+    "SELECT event_id FROM events WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND value * 64 > c_acctbal)",
+)
+def prd_in_table_mixed(t):
+    rows = t.events.withColumn("scaled", F.col("value") * 64)
+    return sel.in_table_theta(rows, t.customer, "scaled", ">", "c_acctbal", [("user_id", "c_custkey")]).select("event_id")
+
+
 @query("tbl_contains", "SELECT event_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
 def tbl_contains(t):
     rich = t.customer.filter(F.col("c_acctbal") > 5000)

@@ -64,17 +64,22 @@ def parse_mobile(df: DataFrame, column: str = "value") -> DataFrame:
     ).filter(F.col("key").isNotNull())
 
 
-def to_messages(df: DataFrame, topic: str | None = None, *, route: str | None = None) -> DataFrame:
-    """Rows as JSON text in ``value``, with a ``topic`` column for the sink.
+def to_messages(
+    df: DataFrame, topic: str | None = None, *, route: str | None = None, key: str | None = None
+) -> DataFrame:
+    """Rows as JSON text in ``value``, with a ``topic`` and a ``key`` column for the sink where asked.
 
     ``route`` names a column that holds each row's own topic; rows without one are skipped.
+    ``key`` names the column whose text becomes the message key; it stays in the message.
     """
-    if route is not None:
-        body = [c for c in df.columns if c != route]
-        routed = df.filter(F.col(route).isNotNull())
-        return routed.select(F.col(route).alias("topic"), F.to_json(F.struct(*body)).alias("value"))
-    value = F.to_json(F.struct("*")).alias("value")
-    return df.select(value) if topic is None else df.select(F.lit(topic).alias("topic"), value)
+    body = [c for c in df.columns if c != route]
+    rows = df if route is None else df.filter(F.col(route).isNotNull())
+    out = [F.to_json(F.struct(*body)).alias("value")]
+    if key is not None:
+        out.insert(0, F.col(key).cast("string").alias("key"))
+    if route is not None or topic is not None:
+        out.insert(0, (F.col(route) if route is not None else F.lit(topic)).alias("topic"))
+    return rows.select(*out)
 
 
 def replay(spark, rows: list[tuple], schema: str) -> DataFrame:
