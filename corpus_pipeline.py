@@ -36,11 +36,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     alone = found.filter("node is null or doc_id is null").select("doc_id", "text_key", F.lit(False).alias("several")).distinct()
     stay = (
         found.filter("node is not null and doc_id is not null and kept")
-        .groupBy("component_id", "text_key")
+        .groupBy("group", "doc_id", "text_key")
         .agg(F.count("*").alias("n"))
-        .groupBy("component_id")
-        .agg(F.min(F.struct("text_key", "n")).alias("one"))
-        .select(F.col("component_id").alias("doc_id"), "one.text_key", (F.col("one.n") > 1).alias("several"))
+        .groupBy("group")
+        .agg(F.min(F.struct("doc_id", "text_key", "n")).alias("one"))
+        .select("one.doc_id", "one.text_key", (F.col("one.n") > 1).alias("several"))
     )
     stay = saved(stay.unionByName(alone), "near-duplicates-kept")
     keys = stay.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("several").alias("__several"))

@@ -197,7 +197,10 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, text_key, n_shingles, component_id, kept, node."""
+    """One row per document: doc_id, text_key, n_shingles, component_id, kept, node, group.
+
+    ``group`` is the component itself; where ids repeat, two groups can have the same smallest id.
+    """
     rows = documents.select(documents[id_column].cast("long").alias("doc_id"), text_column(documents, text).alias("text"))
     keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     features = saved(
@@ -265,14 +268,14 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str =
         groups, F.col("_node") == F.col("node"), "left"
     ).select("_node", "first_id", F.coalesce("component", "_node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "component").select("_node", "component_id")
+    named = named.join(smallest, "component").select("_node", F.col("component").alias("group"), "component_id")
     out = features.select("doc_id", "text_key", "n_shingles", "node").join(
         named, (F.col("node") == F.col("_node")) & F.col("doc_id").isNotNull(), "left"
     )
     component = F.coalesce("component_id", "doc_id")
     return out.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "node",
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "node", "group",
     )
 
 
