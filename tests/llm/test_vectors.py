@@ -97,6 +97,25 @@ def test_links_against_brute_force(shared, window, passes):
         assert total == all_
 
 
+def test_dense_group_of_many_windows(shared, monkeypatch):
+    """Every link of 500 different vectors, over 15 windows and several blocks large; and a pair at the limit."""
+    monkeypatch.setattr(vector_dedup, "BLOCK_ROWS", 60, raising=False)
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=24)
+    x = np.concatenate([base + 0.06 * rng.normal(size=(500, 24)), rng.normal(size=(300, 24))])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    df = shared.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sorted(tuple(r)[:3] for r in vector_dedup.near_duplicates(df, window=32).collect())
+    assert found == expected_links(rows, 0.95)
+
+
+def test_passes_keep_the_miss_bound():
+    for classes in (10**3, 10**5, 10**7, 10**9):
+        bits, passes = vector_dedup.plan(classes, 0.95)
+        met = (1 - math.acos(0.95) / math.pi) ** bits
+        assert classes / 2**bits <= vector_dedup.WINDOW and (1 - met) ** passes <= vector_dedup.MISS
+
+
 def test_no_vectors(shared):
     assert vector_dedup.near_duplicates(shared.createDataFrame([], SCHEMA)).count() == 0
 

@@ -1,14 +1,16 @@
 """Near-duplicate vectors by sorted projection passes.
 
-Equal vectors are one class from the start. In each pass the classes are ordered by the concatenated signs of random
-projections, other ones in every pass, and cut into blocks of ``window`` neighbours; a class is compared with its own and the
-two neighbouring blocks by exact cosine in double precision. A pair that several passes bring together counts in the
-first of them only, which either side sees from the block numbers it carries, so links are counted without listing
-pairs. Links of a block are joined on the spot and leave it as one edge per class; components join them across
-blocks and passes.
-
-The order is cut into blocks by position, so a very frequent vector (one class) or a dense region (many blocks) never
-makes a large group. Work is passes * rows * window, whatever the data.
+Equal vectors are one class from the start. In each pass a class has a code of the signs of random projections, other ones
+in every pass, and the classes of one code are a region. Every two classes of a region are compared by exact cosine in
+double precision. A pair that several passes bring together counts in the first of them only, which the codes that
+every class carries tell, so links are counted without listing pairs. Links of a task leave it as one edge per class;
+components join them across tasks and passes.
+
+Codes have as many signs as bring a region to about ``window`` classes if they were spread evenly, and passes grow with the
+signs: two vectors at the limit share no region of any pass with probability ``MISS`` at most, less above the limit,
+however many rows there are and however dense they lie. A region of more than ``BLOCK_ROWS`` classes is cut into blocks
+that all meet each other, one task for two blocks, so a dense group is compared whole and spread over tasks. Work is
+passes * rows * window, and for regions above that the square of their size.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component link with nothing, nor do rows
 without an id; a shorter vector counts as filled up with zeros; each row is a vector of its own, so rows that repeat an
@@ -17,22 +19,26 @@ id are copies of each other where their vectors are equal; other columns are ign
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, joined
 from tidemark.llm.storage import saved
 
+#: Fewest passes where there is more than one region.
 PASSES = 8
+#: Classes of a region, if codes were spread evenly.
 WINDOW = 1024
-BITS = 32
+#: Probability that a pair at the limit meets in no pass, at most.
+MISS = 1e-6
+#: Classes of a block; a task compares two blocks.
+BLOCK_ROWS = 4096
 
 
 def unit_rows(vectors: list, width: int) -> np.ndarray:
@@ -44,11 +50,20 @@ def unit_rows(vectors: list, width: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def sign_codes(x: np.ndarray, passes: int, seed: int) -> np.ndarray:
-    """One code of ``BITS`` signs per row and pass. The projections of a component do not depend on the width."""
-    planes = np.random.default_rng(seed).normal(size=(x.shape[1], passes * BITS))
-    bits = (x @ planes > 0).reshape(len(x), passes, BITS)
-    return (bits * (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))).sum(2)
+def plan(classes: int, cosine: float, passes: int = PASSES, window: int = WINDOW) -> tuple[int, int]:
+    """(signs of a code, passes)."""
+    bits = min(31, max(0, math.ceil(math.log2(max(1, classes) / window))))
+    if not bits:
+        return 0, 1
+    met = (1 - math.acos(min(1.0, max(-1.0, cosine))) / math.pi) ** bits
+    return bits, max(passes, math.ceil(math.log(MISS) / math.log1p(-met))) if met < 1 else passes
+
+
+def sign_codes(x: np.ndarray, passes: int, bits: int, seed: int) -> np.ndarray:
+    """One code of ``bits`` signs per row and pass. The projections of a component do not depend on the width."""
+    planes = np.random.default_rng(seed).normal(size=(x.shape[1], passes * bits))
+    signs = (x @ planes > 0).reshape(len(x), passes, bits)
+    return (signs * (np.int64(1) << np.arange(bits, dtype=np.int64))).sum(2)
 
 
 def _classes(vectors: DataFrame, id_column: str, vector: str) -> tuple[DataFrame, DataFrame]:
@@ -62,57 +77,55 @@ def _classes(vectors: DataFrame, id_column: str, vector: str) -> tuple[DataFrame
     return rows, classes
 
 
-def _positions(codes: DataFrame, window: int) -> DataFrame:
-    """(rep, code of each pass) -> (rep, blocks): the number of the block that holds the class in each pass."""
-    long = codes.select("rep", F.posexplode("codes").alias("pass", "code"))
-    ordered = long.repartitionByRange("pass", "code", "rep").sortWithinPartitions("pass", "code", "rep")
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, at = TaskContext.get().partitionId(), -1, 0
-        for batch in batches:
-            passes = batch.column(1).to_numpy()
-            place = np.arange(len(passes))
-            new = np.flatnonzero(np.diff(passes, prepend=last))
-            offset = np.full(len(passes), at)
-            for start in new.tolist():
-                offset[start:] = -start
-            place = place + offset
-            if len(passes):
-                last, at = int(passes[-1]), int(place[-1]) + 1
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.full(len(passes), part, np.int64)), pa.array(place.astype(np.int64))],
-                names=["rep", "pass", "part", "place"],
-            )
-
-    placed = saved(ordered.mapInArrow(number, "rep long, pass int, part long, place long"), "passes")
-    before = Win.partitionBy("pass").orderBy("part").rowsBetween(Win.unboundedPreceding, -1)
-    starts = placed.groupBy("pass", "part").agg(F.count("*").alias("n")).select(
-        "pass", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+def _tasks(coded: DataFrame) -> DataFrame:
+    """(rep, copies, v, codes) -> one row per class and comparison it takes part in: also pass, code, own block, i, k."""
+    long = coded.select("rep", F.posexplode("codes").alias("pass", "code"))
+    sizes = long.groupBy("pass", "code").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = sizes.select("pass", "code", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    places = long.join(sizes, ["pass", "code"]).groupBy("rep").agg(F.collect_list(F.struct("pass", "code", "blocks")).alias("places"))
+    rows = coded.join(places, "rep").select("rep", "copies", "v", "codes", F.explode("places").alias("at"))
+    rows = rows.select("rep", "copies", "v", "codes", "at.*").withColumn(
+        "own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     )
-    block = F.floor((F.col("before") + F.col("place")) / window).cast("long")
-    numbered = placed.join(starts, ["pass", "part"]).select("rep", "pass", block.alias("block"))
-    by_pass = F.sort_array(F.collect_list(F.struct("pass", "block")))
-    return numbered.groupBy("rep").agg(F.transform(by_pass, lambda s: s["block"]).alias("blocks"))
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    with_others = F.transform(others, lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("k")))
+    rows = rows.select("rep", "copies", "v", "codes", "pass", "code", "own", F.explode(with_others).alias("two"))
+    return rows.select("rep", "copies", "v", "codes", "pass", "code", "own", "two.i", "two.k")
+
 
+def new_links(
+    x: np.ndarray, copies: np.ndarray, codes: np.ndarray, of_pass: int, here: np.ndarray, there: np.ndarray | None, cosine: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links per row that no earlier pass has counted, and the smallest row each is joined with.
 
-def new_links(x: np.ndarray, blocks: np.ndarray, of_pass: int, home: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of a block with itself and the next one that no earlier pass has compared."""
-    here, there = np.flatnonzero(home), np.flatnonzero(~home)
-    found = []
+    The rows of ``here`` meet those of ``there``, or each other if that is None.
+    """
+    links, label = np.zeros(len(x)), np.arange(len(x))
+    weight = copies.astype(float)
     for low in range(0, len(here), 256):
         part = here[low : low + 256]
-        for others, same in ((here, True), (there, False)):
-            if not len(others):
-                continue
-            i, j = np.nonzero(x[part] @ x[others].T >= cosine)
+        others = here[low:] if there is None else there
+        near = x[part] @ x[others].T >= cosine
+        if there is None:
+            near &= np.arange(len(part))[:, None] < np.arange(len(others))[None]
+        if np.count_nonzero(near) > near.size // 16:
+            for before in range(of_pass):
+                near &= codes[part, before][:, None] != codes[others, before][None]
+            new = near.astype(float)
+            links[part] += new @ weight[others]
+            links[others] += weight[part] @ new
+            i, j = np.nonzero(near & (label[part][:, None] != label[others][None]))
             i, j = part[i], others[j]
-            keep = i < j if same else np.ones(len(i), bool)
-            if of_pass:
-                keep &= (np.abs(blocks[i, :of_pass] - blocks[j, :of_pass]) > 1).all(1)
-            found.append((i[keep], j[keep]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+        else:
+            i, j = np.nonzero(near)
+            i, j = part[i], others[j]
+            new = (codes[i, :of_pass] != codes[j, :of_pass]).all(1)
+            i, j = i[new], j[new]
+            np.add.at(links, i, weight[j])
+            np.add.at(links, j, weight[i])
+        if len(i):
+            label = joined(len(x), np.append(i, np.arange(len(x))), np.append(j, label))
+    return links.astype(np.int64), label
 
 
 def near_duplicates(
@@ -124,37 +137,31 @@ def near_duplicates(
     classes = saved(classes, "vector-classes")
     width = classes.agg(F.max(F.size("v"))).head()[0] or 0
 
+    bits, passes = plan(classes.count(), cosine, passes, window)
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = sign_codes(unit_rows([v.as_py() for v in batch.column(1)], width), passes, seed)
+            codes = sign_codes(unit_rows([v.as_py() for v in batch.column(2)], width), passes, bits, seed)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(codes.tolist(), pa.list_(pa.int64()))], names=["rep", "codes"]
+                [*batch.columns, pa.array(codes.tolist(), pa.list_(pa.int32()))], names=["rep", "copies", "v", "codes"]
             )
 
-    placed = _positions(classes.select("rep", "v").mapInArrow(code, "rep long, codes array<long>"), window)
-    full = placed.join(classes, "rep")
-    dealt = full.select(
-        "rep", "copies", "v", "blocks", F.posexplode("blocks").alias("pass", "own")
-    ).withColumn("block", F.explode(F.array(F.col("own"), F.col("own") - 1))).filter("block >= 0")
+    coded = classes.select("rep", "copies", "v").mapInArrow(code, "rep long, copies long, v array<double>, codes array<int>")
+    dealt = _tasks(saved(coded, "vector-codes"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        names = ["rep", "root", "links"]
-        home = (frame["own"] == frame["block"]).to_numpy()
-        empty = pd.DataFrame({name: pd.Series([], dtype="int64") for name in names})
-        if not home.any():
-            return empty
-        x, ids = unit_rows(list(frame["v"]), width), frame["rep"].to_numpy()
-        i, j = new_links(x, np.stack(list(frame["blocks"])), int(frame["pass"].iloc[0]), home, cosine)
-        if not len(i):
-            return empty
-        copies, links = frame["copies"].to_numpy(), np.zeros(len(ids), np.int64)
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        label = joined(len(ids), i, j)
+        first, second, own = frame["i"].iloc[0], frame["k"].iloc[0], frame["own"].to_numpy()
+        here, there = np.flatnonzero(own == first), np.flatnonzero(own == second) if first < second else None
+        codes, of_pass = np.stack(list(frame["codes"])), int(frame["pass"].iloc[0])
+        met_before = (codes[:, :of_pass] == codes[0, :of_pass]).all(0).any()
+        if met_before or not len(here) or (there is not None and not len(there)):
+            return pd.DataFrame({name: pd.Series([], dtype="int64") for name in ("rep", "root", "links")})
+        x, ids, copies = unit_rows(list(frame["v"]), width), frame["rep"].to_numpy(), frame["copies"].to_numpy()
+        links, label = new_links(x, copies, codes, of_pass, here, there, cosine)
         hit = np.flatnonzero(links)
         return pd.DataFrame({"rep": ids[hit], "root": ids[label[hit]], "links": links[hit]})
 
-    found = saved(dealt.groupBy("pass", "block").applyInPandas(compare, "rep long, root long, links long"), "vector-links")
+    found = saved(dealt.groupBy("pass", "code", "i", "k").applyInPandas(compare, "rep long, root long, links long"), "vector-links")
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("links").alias("others"))
     known = (
