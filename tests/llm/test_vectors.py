@@ -109,6 +109,20 @@ def test_dense_group_of_many_windows(shared, monkeypatch):
     assert found == expected_links(rows, 0.95)
 
 
+@pytest.mark.parametrize("window", [1024, 8])
+def test_one_id_with_different_vectors(shared, window):
+    """Linked rows of one id, rows of one id in two components, and one that is alone."""
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(2, 10))
+    ids = [7, 7, 8, 7, 7, 9, 5, 5, 5] + list(range(20, 60))
+    x = [a, a + 0.01, a + 0.02, b, b + 0.01, b + 0.02, b, rng.normal(size=10), a + 0.01, *rng.normal(size=(40, 10))]
+    rows = [(i, v.tolist(), 0) for i, v in zip(ids, x, strict=True)]
+    df = shared.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = vector_dedup.near_duplicates(df, window=window).collect()
+    assert sorted(tuple(r)[:3] for r in found) == expected_links(rows, 0.95)
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
+
+
 def test_passes_keep_the_miss_bound():
     for classes in (10**3, 10**5, 10**7, 10**9):
         bits, passes = vector_dedup.plan(classes, 0.95)

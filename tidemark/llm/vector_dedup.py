@@ -67,13 +67,13 @@ def sign_codes(x: np.ndarray, passes: int, bits: int, seed: int) -> np.ndarray:
 
 
 def _classes(vectors: DataFrame, id_column: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """All rows (vec_id, v or null), and the classes of equal vectors (rep, copies, v)."""
+    """All rows (vec_id, v or null), and the classes of equal vectors (first_id, copies, v)."""
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists(vector, lambda x: x != 0)
     fits = F.col(id_column).isNotNull() & F.col(vector).isNotNull() & ~F.coalesce(odd | zero, F.lit(True))
     v = F.transform(vector, lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.when(fits, v).alias("v"))
-    classes = rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    classes = rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     return rows, classes
 
 
@@ -134,7 +134,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows, classes = _classes(vectors, id_column, vector)
-    classes = saved(classes, "vector-classes")
+    # A number of its own names a class, as ids can repeat with different vectors; it is fixed by being saved.
+    classes = saved(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     width = classes.agg(F.max(F.size("v"))).head()[0] or 0
 
     bits, passes = plan(classes.count(), cosine, passes, window)
@@ -164,15 +165,16 @@ def near_duplicates(
     found = saved(dealt.groupBy("pass", "code", "i", "k").applyInPandas(compare, "rep long, root long, links long"), "vector-links")
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("links").alias("others"))
-    known = (
-        classes.select("rep", "copies", F.col("v").alias("_v"))
+    # A component is named by its smallest id.
+    named = (
+        classes.select("rep", "first_id", "copies", F.col("v").alias("_v"))
         .join(counts, "rep", "left")
         .join(linked, F.col("rep") == F.col("node"), "left")
-        .select(
-            "_v",
-            (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
-        )
+        .withColumn("component", F.coalesce("component", "rep"))
+    )
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    known = named.join(smallest, "component").select(
+        "_v", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"
     )
     out = rows.join(known, F.col("v") == F.col("_v"), "left")
     component = F.coalesce("component_id", "vec_id")
