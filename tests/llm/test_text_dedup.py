@@ -137,6 +137,20 @@ def test_passages_against_brute_force(shared, monkeypatch, crowded, bucket, segm
     assert mine == expected_cut(rows)
 
 
+def test_texts_of_one_id_stay_apart(shared):
+    """Two texts of one id whose hashes agree in their last 20 bits; each has a passage of another document."""
+    import xxhash
+
+    one, two, mask = words(70, 30), words(71, 30), (1 << 20) - 1
+    low = {xxhash.xxh64_intdigest(t, seed=42) & mask: t for t in (f"{words(72, 20)} {one[5:]} {i}" for i in range(4000))}
+    pairs = ((low.get(xxhash.xxh64_intdigest(t, seed=42) & mask), t) for t in (f"{i} {two[9:]} {words(73, 40)}" for i in range(4000)))
+    a, b = next(pair for pair in pairs if pair[0])
+    rows = [(1, one), (2, "x" + two), (5, a), (5, b), (6, a[20:]), (7, "y" + b[9:])]
+    left = passage_dedup.remove_passages(shared.createDataFrame(rows, "doc_id long, text string")).collect()
+    mine = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept_bytes"]).hexdigest()) for r in left)
+    assert mine == expected_cut(rows)
+
+
 def test_kept_text_is_valid(shared):
     docs = shared.createDataFrame([(1, "é" * 40), (2, "a" + "é" * 40 + "b")], "doc_id long, text string")
     rows = {r["doc_id"]: r["kept_text"] for r in passage_dedup.remove_passages(docs, as_text=True).collect()}

@@ -45,7 +45,6 @@ _SEGMENT = 1 << 19
 _LOW = np.uint64((1 << 20) - 1)
 _FIXED = np.random.default_rng(29)
 _ODD = _FIXED.integers(1 << 62, size=16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_VARIANT_BITS = 20
 #: Bits of gram and context hashes that are kept; contexts are compared within a gram only.
 _KEPT = np.uint64((1 << 48) - 1)
 #: In place of a context hash: the row is settled already.
@@ -107,15 +106,15 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return place, first, last, h[place] & _KEPT, _mixed(context) & _KEPT
 
 
-def _info(first: np.ndarray, last: np.ndarray, variant: np.ndarray) -> np.ndarray:
-    """variant, first window and number of windows in one integer."""
-    return (variant << np.int64(43)) | (first << np.int64(6)) | (last - first)
+def _info(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """First window and number of windows in one integer."""
+    return (first << np.int64(6)) | (last - first)
 
 
-def _unpack(info: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(variant, first window, last window)."""
-    first = (info >> np.int64(6)) & np.int64((1 << 37) - 1)
-    return info >> np.int64(43), first, first + (info & np.int64(63))
+def _unpack(info: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, last window)."""
+    first = info >> np.int64(6)
+    return first, first + (info & np.int64(63))
 
 
 def _groups(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -154,7 +153,7 @@ def settled_here(gram: np.ndarray, context: np.ndarray, doc: np.ndarray) -> np.n
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, variant, text -> gram, context, doc_id, info.
+    """doc_id, variant, text -> gram, context, doc_id, variant, info.
 
     What a group of documents settles among itself need not meet the other rows of its gram: it is dealt by place, so that
     very frequent contexts do not come together.
@@ -170,28 +169,30 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             member = np.searchsorted(ends, first, "right")
             rows = np.array([row for row, _, _ in group])[member]
             shift = (np.array([start for _, start, _ in group]) - np.concatenate(([0], ends[:-1])))[member]
-            info = _info(first + shift, last + shift, variants[rows])
+            info = _info(first + shift, last + shift)
             settled = settled_here(gram, context, docs[rows])
-            dealt = np.where(settled, _mixed(info.astype(np.uint64) ^ docs[rows].astype(np.uint64)) & np.uint64(0xFFF), gram)
+            of_row = (info ^ docs[rows] ^ variants[rows]).astype(np.uint64)
+            dealt = np.where(settled, _mixed(of_row) & np.uint64(0xFFF), gram)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(dealt.astype(np.int64)),
                     pa.array(np.where(settled, _SETTLED, context.astype(np.int64))),
                     pa.array(docs[rows]),
+                    pa.array(variants[rows]),
                     pa.array(info),
                 ],
-                names=["gram", "context", "doc_id", "info"],
+                names=["gram", "context", "doc_id", "variant", "info"],
             )
 
 
 # Sorted runs
 
 
-_RUN_FIELDS = ["gram", "doc_id", "info", "open"]
+_RUN_FIELDS = ["gram", "doc_id", "variant", "info", "open"]
 
 
 class _Runs:
-    """Rows sorted by (gram, context, doc_id, info), a batch at a time.
+    """Rows sorted by (gram, context, doc_id, variant, info), a batch at a time.
 
     A row whose context has a smaller document is settled. The rows of a context's first document are open if the gram
     has another context; until that is known those of the last gram are held.
@@ -200,10 +201,10 @@ class _Runs:
     def __init__(self):
         self.gram = self.context = self.first = None
         self.several = False
-        self.held: list[tuple[int, int, int]] = []
+        self.held: list[tuple[int, ...]] = []
 
-    def feed(self, gram, context, doc, info) -> tuple[np.ndarray, ...]:
-        """(gram, doc, info, open) of the rows that are now known to matter."""
+    def feed(self, gram, context, doc, *others) -> tuple[np.ndarray, ...]:
+        """(gram, doc, others, open) of the rows that are now known to matter."""
         new_gram = np.diff(gram, prepend=gram[0]) != 0
         new_context = new_gram | (np.diff(context, prepend=context[0]) != 0)
         same_gram = self.gram is not None and gram[0] == self.gram
@@ -231,11 +232,11 @@ class _Runs:
         if of_gram[-1] > 0:
             held = []
         if wait.any():
-            held = held + list(zip(gram[wait].tolist(), doc[wait].tolist(), info[wait].tolist(), strict=True))
+            held = held + list(zip(*(c[wait].tolist() for c in (gram, doc, *others)), strict=True))
         self.gram, self.context, self.first = gram[-1], context[-1], first[-1]
         self.several, self.held = bool(several[of_gram[-1]]), held
         keep = settled | open_
-        out = [gram[keep], doc[keep], info[keep], open_[keep]]
+        out = [c[keep] for c in (gram, doc, *others, open_)]
         if flushed:
             more = [np.array(c, np.int64) for c in zip(*flushed, strict=True)]
             out = [np.concatenate(pair) for pair in zip(out, [*more, np.ones(len(flushed), bool)], strict=True)]
@@ -245,16 +246,16 @@ class _Runs:
 def _read_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     runs = _Runs()
     for batch in batches:
-        gram, context, doc, info = (column.to_numpy() for column in batch.columns)
+        gram, context, *rest = (column.to_numpy() for column in batch.columns)
         before = context == _SETTLED
         if before.any():
-            doc_, info_ = doc[before], info[before]
-            none = np.zeros(len(doc_), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (none, doc_, info_, none == 1)], names=_RUN_FIELDS)
-            gram, context, doc, info = gram[~before], context[~before], doc[~before], info[~before]
+            settled = [column[before] for column in rest]
+            none = np.zeros(len(settled[0]), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (none, *settled, none == 1)], names=_RUN_FIELDS)
+            gram, context, *rest = (column[~before] for column in (gram, context, *rest))
         if len(gram):
-            gram, doc, info, still = runs.feed(gram, context, doc, info)
-            found = np.where(still, gram, 0), doc, info, still
+            gram, *rest, still = runs.feed(gram, context, *rest)
+            found = np.where(still, gram, 0), *rest, still
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=_RUN_FIELDS)
 
 
@@ -389,7 +390,7 @@ def _same_text():
 
 def _variant(text):
     """Tells texts of one id apart."""
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << _VARIANT_BITS) - 1)).cast("long")
+    return F.xxhash64(text)
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
@@ -401,7 +402,7 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[p
             if not wanted:
                 continue
             raw, doc, variant = _utf8(text.as_py() or ""), doc.as_py(), variant.as_py()
-            _, first, last = _unpack(np.array([w["info"] for w in wanted], np.int64))
+            first, last = _unpack(np.array([w["info"] for w in wanted], np.int64))
             for w, low, high in zip(wanted, first.tolist(), last.tolist(), strict=True):
                 out.append((w["gram"], doc, variant, low, raw[low : high + LENGTH]))
         if out:
@@ -420,18 +421,16 @@ def repeated_ranges(keyed: DataFrame, text: str, crowded: int = CROWDED, bucket_
     usable = keyed.filter("__doc is not null")
     ids_repeat = not usable.groupBy("__doc").count().filter("count > 1").isEmpty()
     texts = usable.select("__doc", "__variant", text_column(usable, text).alias("text"))
-    rows = texts.mapInArrow(_anchor_rows, "gram long, context long, doc_id long, info long")
+    rows = texts.mapInArrow(_anchor_rows, "gram long, context long, doc_id long, variant long, info long")
     if ids_repeat:
         rows = rows.distinct()
-    sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc_id", "info")
-    runs = saved(sorted_rows.mapInArrow(_read_runs, "gram long, doc_id long, info long, open boolean"), "passage-runs")
-    first = F.shiftright("info", 6).bitwiseAND(F.lit((1 << 37) - 1))
+    sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc_id", "variant", "info")
+    runs = saved(sorted_rows.mapInArrow(_read_runs, "gram long, doc_id long, variant long, info long, open boolean"), "passage-runs")
+    first = F.shiftright("info", 6)
     end = first + F.col("info").bitwiseAND(F.lit(63)) + LENGTH
-    settled = runs.filter("not open").select(
-        "doc_id", F.shiftright("info", 43).alias("variant"), first.alias("start"), end.alias("end")
-    )
+    settled = runs.filter("not open").select("doc_id", "variant", first.alias("start"), end.alias("end"))
 
-    still = runs.filter("open").select("gram", "doc_id", F.shiftright("info", 43).alias("variant"), "info")
+    still = runs.filter("open").select("gram", "doc_id", "variant", "info")
     buckets = max(1, -(-still.count() // bucket_contexts))
     full = saved(still.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > crowded).select("gram"), "passage-crowded")
     some_full = not full.isEmpty()
