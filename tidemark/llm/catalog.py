@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, mixing, packing, passage_dedup, quality, text_dedup, token_index, top_k, toxicity, vector_dedup
+from tidemark.llm import (
+    archives, collocations, filter_audit, mixing, packing, passage_dedup, quality, secret_spans, text_dedup, token_index, top_k,
+    toxicity, vector_dedup,
+)
 from tidemark.llm.labelled import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +223,116 @@ def op7_passage_dedup(spark, documents, folder):
     """What is left of every document without passages of earlier ones."""
     left = passage_dedup.remove_passages(documents.select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@_query(
+    "op11_collocations",
+    "documents",
+    r"""
+    WITH p AS (
+      SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p
+      FROM documents
+    ),
+    u AS (SELECT lang, unnest(p) AS p FROM p),
+    w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM u),
+    g AS (
+      SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS g
+      FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
+    ),
+    f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+    n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS s FROM f WHERE k >= 2 AND f >= 10),
+    x AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+    y AS (
+      SELECT x.*, l.f AS l, r.f AS r,
+             CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.g = array_to_string(s[1:cut], ' ') AND l.k = cut
+             JOIN f r ON r.lang = x.lang AND r.g = array_to_string(s[cut + 1:], ' ') AND r.k = x.k - cut
+    ),
+    z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, k, g ORDER BY score, cut) = 1),
+    o AS (
+      SELECT lang, array_to_string(s[1:2], ' ') AS g, a FROM c WHERE k = 3
+      UNION ALL SELECT lang, array_to_string(s[2:3], ' '), a FROM c WHERE k = 3
+    ),
+    m AS (SELECT lang, g, max(a) AS m FROM o GROUP BY ALL),
+    k AS (
+      SELECT z.* FROM z LEFT JOIN m ON m.lang = z.lang AND m.g = z.g
+      WHERE z.k = 3 OR m.m IS NULL OR 100 * m.m < 50 * z.a
+    )
+    SELECT k.lang AS lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(g)) AS rank,
+           g AS phrase, a, l, r, n.n AS n, score
+    FROM k JOIN n ON n.lang = k.lang QUALIFY rank <= 2000
+    """,
+)
+def op11_collocations(spark, documents, folder):
+    """The first 2,000 phrases of every language."""
+    return collocations.collocations(documents)
+
+
+@_query(
+    "op12_filter_audit",
+    "documents",
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+             min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+      FROM documents
+    ),
+    y AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+    m AS (
+      SELECT part, coalesce(quality = 1, FALSE) AS good, coalesce(toxic = 1, FALSE) AS toxic, [
+        len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+        100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > least, FALSE)
+      ] AS f
+      FROM d LEFT JOIN y ON y.doc_id = d.doc_id
+    ),
+    c AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+    l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+    o AS (
+      SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+    ),
+    s AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+    r AS (
+      SELECT part, o, step, o[step] AS me, n, good, toxic, f[o[step]] AS fails,
+             len([x FOR x IN o[1:step - 1] IF f[x]]) > 0 AS gone, len([x FOR x IN f IF x]) = 1 AS alone
+      FROM c, s
+    ),
+    t AS (
+      SELECT part, o, step, me,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (gone AND fails), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (alone AND fails), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(good) FILTER (NOT gone AND fails), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (NOT gone AND fails), 0) AS BIGINT) AS toxic_lost
+      FROM r GROUP BY part, o, step, me
+    )
+    SELECT part, array_to_string([substr('ABCDE', x, 1) FOR x IN o], '') AS filter_order, step, kept, removed, redundant,
+           unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, me) AS BIGINT) AS shapley
+    FROM t
+    """,
+)
+def op12_filter_audit(spark, documents, folder):
+    """Five filters in all 120 orders, by source."""
+    return filter_audit.audit(documents, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@_query("op13_secrets", "documents")
+def op13_secrets(spark, documents, folder):
+    """Secrets of every document by patterns and by a conditional random field."""
+    found = secret_spans.find(documents.select("doc_id", "text"), secret_spans.train(documents))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of("assign", "access", "hex")
+    return found.select(
+        "doc_id", *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
