@@ -7,9 +7,8 @@ Weights are hashed and trained in numpy by the gradient of the exact likelihood
 are found by Viterbi.
 
 Learning takes windows of ``WINDOW`` tokens from at most ``SAMPLE_TEXTS`` different texts with a match and as many without,
-smallest hashes first. Tags are the matches of the patterns; words of the second kind are used once as they are, once with a
-random secret and once with a harmless look-alike planted in them, so that the model also knows forms that the patterns
-lack. Everything else reads all of every text.
+smallest hashes first. Tags are the matches of the patterns; windows of the second kind are used once as they are and once
+with a random secret and a harmless look-alike planted in them, so that the model also knows forms that the patterns lack. Everything else reads all of every text.
 
 Decoding is exact and reads a text in blocks: a token whose score as outside exceeds both others by more than any change of
 transitions can give back is outside on the best path, so paths are searched only between such tokens.
@@ -25,6 +24,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,11 +44,13 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Any text with a match of a pattern has one of this, which Spark can filter by.
 ROUGH = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
 
-SAMPLE_TEXTS = 1_200
+SAMPLE_TEXTS = 800
 WINDOWS_PER_TEXT = 2
 WINDOW = 32
 PLACES = 1 << 15
-STEPS = 80
+STEPS = 60
+#: Longer tokens are known by their shape alone.
+LONGEST_WORD = 16
 OFFSETS = (-3, -2, -1, 0, 1, 2)
 BEFORE, BEHIND = 3, 2
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
@@ -61,15 +63,22 @@ _CUT = re.compile(r"\s(?=\S)").search
 _CLASSES = str.maketrans({**dict.fromkeys(map(chr, range(97, 123)), "a"), **dict.fromkeys(map(chr, range(65, 91)), "A"), **dict.fromkeys("0123456789", "0")})
 _RUNS = re.compile(r"(.)\1*", re.DOTALL)
 _HEXES = re.compile(r"[0-9a-f]+|[0-9A-F]+").fullmatch
+_NAMED = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 
 # --- patterns ---------------------------------------------------------------------------------
 
 
+def _assigned(text: str) -> Iterator[re.Match]:
+    low = text.lower()
+    if any(name in low for name in _NAMED):  # far cheaper than the pattern
+        yield from (m for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"])
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """Matches of the patterns as (start, end, kind), in order of start and kind."""
-    found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
+    found = [(m.start(), m.end(), "assign") for m in _assigned(text)]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     # Runs of this class are maximal, so the short ones can be left out by the pattern itself.
     found += [(m.start(), m.end(), "hex") for m in _LONG_HEX.finditer(text)]
@@ -78,7 +87,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def _values(text: str) -> list[tuple[int, int]]:
     """The secret parts of the matches, joined where they overlap."""
-    found = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
+    found = [m.span(2) for m in _assigned(text)]
     found += [span[:2] for span in base_spans(text) if span[2] != "assign"]
     out: list[tuple[int, int]] = []
     for start, end in sorted(found):
@@ -103,24 +112,29 @@ def _bucket(share: float) -> int:
     return min(int(share * 5), 4)
 
 
-def own_features(core: str) -> list[str]:
-    """What the shape of a token says about it."""
+def shape(core: str) -> tuple:
+    """Kind, size, changes of class, share of digits, variety and first classes of a token."""
+    size, variety = min(len(core).bit_length(), 7), _bucket(len(set(core)) / max(len(core), 1))
+    if core.isalpha():  # most words, letters of any alphabet
+        if core.islower():
+            return "a", size, 1, 0, variety, "a"
+        if core[1:].islower():
+            return "Aa", size, 2, 0, variety, "Aa"
     classes = core.translate(_CLASSES)
-    size, kind = min(len(core).bit_length(), 7), _kind(core, classes)
     runs = [m[1] if m[1] in "aA0" else "-" for m in _RUNS.finditer(classes[:256])]
-    turns = min(len(runs), 9)
-    digits, variety = _bucket(classes.count("0") / max(len(core), 1)), _bucket(len(set(core)) / max(len(core), 1))
-    out = [
-        "one", f"n{size}", f"k{kind}", f"kn{kind}|{size}", f"t{turns}", f"tn{turns}|{size}", f"d{digits}|{size}", f"v{variety}|{size}",
-        "s" + "".join(runs[:6]),
-    ]
-    return [*out, "w" + core.lower()] if len(core) <= 16 else out
+    digits = _bucket(classes.count("0") / max(len(core), 1))
+    return _kind(core, classes), size, min(len(runs), 9), digits, variety, "".join(runs[:6])
+
 
+def shape_features(of: tuple) -> list[str]:
+    """What the shape of a token says about itself."""
+    kind, size, turns, digits, variety, runs = of
+    return ["one", f"n{size}", f"k{kind}", f"kn{kind}|{size}", f"t{turns}", f"tn{turns}|{size}", f"d{digits}|{size}", f"v{variety}|{size}", f"s{runs}"]
 
-def near_features(core: str) -> list[str]:
-    """What a token says about one near it."""
-    out = ["k" + _kind(core, core.translate(_CLASSES))]
-    return [*out, "w" + core.lower()] if len(core) <= 16 else out
+
+def word_of(core: str) -> str:
+    """The form under which short tokens are known by name; empty for long ones."""
+    return core.lower() if len(core) <= LONGEST_WORD else ""
 
 
 def text_features(text: str) -> list[str]:
@@ -135,12 +149,14 @@ def _place(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % PLACES
 
 
-def token_places(core: str) -> list[list[int]]:
-    """Weight places of a token for the one that lies ``-offset`` away, by offset; none for the margin of a text."""
-    if not core:
-        return [[] for _ in OFFSETS]
-    near = near_features(core)
-    return [[_place(f"{o}{f}") for f in (own_features(core) if o == 0 else near)] for o in OFFSETS]
+def shape_places(of: tuple) -> list[list[int]]:
+    """Weight places of a shape for the token that lies ``-offset`` away, by offset."""
+    return [[_place(f"{o}{f}") for f in (shape_features(of) if o == 0 else [f"k{of[0]}"])] for o in OFFSETS]
+
+
+def word_places(word: str) -> list[int]:
+    """The same for a word known by name, one place an offset."""
+    return [_place(f"{o}w{word}") for o in OFFSETS]
 
 
 # --- model ------------------------------------------------------------------------------------
@@ -151,7 +167,8 @@ class SecretModel:
     """Weights by place and tag, and transitions from tag to tag; a text begins and ends outside."""
 
     weights: np.ndarray = field(default_factory=lambda: np.zeros((PLACES, 3), np.float32))
-    moves: np.ndarray = field(default_factory=lambda: np.array([[4.0, 0, -4], [4, -4, 0], [4, -4, 0]]))
+    moves: np.ndarray = field(default_factory=lambda: np.zeros((3, 3)))
+    words: frozenset[str] = frozenset()
     trained: bool = False
 
     def slack(self) -> float:
@@ -162,28 +179,37 @@ class SecretModel:
 
 
 class _Table(dict):
-    """Token with its white space -> row of scores, by offset and tag."""
+    """Token with its white space -> row of scores, by offset and tag. Rows belong to pairs of shape and known word."""
 
-    def __init__(self, weights: np.ndarray):
-        super().__init__()
-        self._weights = weights
-        self.rows = np.zeros((1024, len(OFFSETS) * 3), np.float32)
-        self.sizes = np.zeros(1024, np.int64)
-        self[""] = 0
+    def __init__(self, model: SecretModel):
+        super().__init__({"": 0})
+        self._model, self._pairs = model, {None: 0}
+        self.rows = np.zeros((64, len(OFFSETS) * 3), np.float32)
 
     def __missing__(self, token: str) -> int:
-        row = len(self)
-        if row >= len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
         core = token.rstrip()
-        self.sizes[row] = len(core)
-        for o, places in enumerate(token_places(core)):
-            if places:
-                self.rows[row, 3 * o : 3 * o + 3] = self._weights[places].sum(0)
+        word = word_of(core)
+        pair = (shape(core), word if word in self._model.words else "") if core else None
+        row = self._pairs.get(pair)
+        if row is None:
+            row = self._pairs[pair] = len(self._pairs)
+            if row >= len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            weights = self._model.weights
+            scores = np.stack([weights[places].sum(0) for places in shape_places(pair[0])])
+            if pair[1]:
+                scores = scores + weights[word_places(pair[1])]
+            self.rows[row] = scores.ravel()
         self[token] = row
         return row
 
+    def forget(self) -> None:
+        """Drop the remembered tokens, and the rows where they are many."""
+        self.clear()
+        self[""] = 0
+        if len(self._pairs) > REMEMBERED:
+            self._pairs = {None: 0}
+
 
 def _text_blocks(text: str) -> Iterator[str]:
     start = 0
@@ -198,7 +224,7 @@ class Tagger:
     """Finds tagged spans of texts with a trained model."""
 
     def __init__(self, model: SecretModel):
-        self._model, self._table, self._slack = model, _Table(model.weights), model.slack()
+        self._model, self._table, self._slack = model, _Table(model), model.slack()
 
     def _scores(self, ids: np.ndarray, first: int, last: int, offset: np.ndarray) -> np.ndarray:
         rows, out = self._table.rows, np.broadcast_to(offset, (last - first, 3)).copy()
@@ -219,7 +245,7 @@ class Tagger:
         while block is not None:
             following = next(blocks, None)
             if len(self._table) > REMEMBERED:
-                self._table = _Table(self._model.weights)
+                self._table.forget()
             fresh = _TOKEN(block)
             tokens = carried + fresh
             starts = np.concatenate([np.array(carried_at, np.int64), at + np.cumsum([0, *map(len, fresh)])])[: len(tokens)]
@@ -231,8 +257,8 @@ class Tagger:
             scores = self._scores(ids, BEFORE, last, offset)
             loose = np.flatnonzero(scores[:, OUTSIDE] - scores[:, 1:].max(1) <= self._slack) if len(scores) else np.zeros(0, np.int64)
             inner = starts[BEFORE:last]
-            ends = inner + self._table.sizes[ids[BEFORE:last]]
-            found.append((number + loose, inner[loose], ends[loose], scores[loose]))
+            sizes = np.array([len(tokens[BEFORE + k].rstrip()) for k in loose], np.int64)
+            found.append((number + loose, inner[loose], inner[loose] + sizes, scores[loose]))
             number += last - BEFORE
             carried = tokens[last - BEFORE :]
             carried_at = starts[last - BEFORE :].tolist()
@@ -414,8 +440,8 @@ def training_rows(windows: list[tuple]) -> list[tuple[list[str], list[int], list
     for has, _, _, tokens, tags, features in windows:
         out.append((tokens, tags, features))
         if not has:
-            out.append((*_with(tokens, tags, rng, planted_secret(rng)), features))
-            out.append((*_with(tokens, tags, rng, ("", "", planted_look_alike(rng))), features))
+            planted = _with(tokens, tags, rng, ("", "", planted_look_alike(rng)))
+            out.append((*_with(*planted, rng, planted_secret(rng)), features))
     return out
 
 
@@ -425,15 +451,23 @@ def fit(rows: list[tuple[list[str], list[int], list[str]]], steps: int = STEPS)
     rows = [r for r in rows if any(t >= 0 for t in r[1])]
     if not any(BEGIN in r[1] for r in rows):
         return model
-    known: dict[str, int] = {"": 0}
+    names = Counter(w for tokens, _, _ in rows for w in {word_of(t.rstrip()) for t in tokens})
+    words = frozenset(w for w, n in names.items() if w and n > 2)  # a window may come twice, once planted
+    known: dict[tuple | None, int] = {None: 0}
     most = max(len(r[0]) for r in rows) + BEFORE + BEHIND
     ids = np.zeros((len(rows), most), np.int64)
     tags = np.full((len(rows), most), -1, np.int64)
     for k, (tokens, marks, _) in enumerate(rows):
-        cores = [t.rstrip() for t in tokens]
-        ids[k, BEFORE : BEFORE + len(cores)] = [known.setdefault(c, len(known)) for c in cores]
-        tags[k, BEFORE : BEFORE + len(cores)] = marks
-    pairs = [(t, o, place) for core, t in known.items() for o, places in enumerate(token_places(core)) for place in places]
+        for n, (core, mark) in enumerate(zip([t.rstrip() for t in tokens], marks), BEFORE):
+            word = word_of(core)
+            ids[k, n] = known.setdefault((shape(core), word if word in words else "") if core else None, len(known))
+            tags[k, n] = mark
+    pairs = [
+        (t, o, place)
+        for pair, t in known.items() if pair
+        for o, places in enumerate(shape_places(pair[0]))
+        for place in (*places, *([word_places(pair[1])[o]] if pair[1] else []))
+    ]
     token, side, place = map(np.array, zip(*pairs))
     slot = token * len(OFFSETS) + side
     by_text = np.array([[_place(f) for f in features] for _, _, features in rows])
@@ -452,7 +486,7 @@ def fit(rows: list[tuple[list[str], list[int], list[str]]], steps: int = STEPS)
     for step in range(1, steps + 1):
         table = np.stack([np.bincount(slot, weights[place, tag], size) for tag in range(3)], 1)
         score = table[around].sum(2) + weights[by_text].sum(1)[:, None, :]
-        ahead, marginal, pair = _sums(score, moves, live)
+        marginal, pair = _sums(score, moves, live)
         error = -marginal
         error[np.arange(n_rows)[:, None], np.arange(n_steps)[None, :], gold] += 1
         error *= live[..., None]
@@ -470,7 +504,7 @@ def fit(rows: list[tuple[list[str], list[int], list[str]]], steps: int = STEPS)
             first[name] = 0.9 * first[name] + 0.1 * change
             second[name] = 0.99 * second[name] + 0.01 * change**2
             value += 0.1 * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
-    return SecretModel(weights.astype(np.float32), moves, True)
+    return SecretModel(weights.astype(np.float32), moves, words, True)
 
 
 def _gold_moves(gold: np.ndarray, live: np.ndarray) -> np.ndarray:
@@ -480,34 +514,35 @@ def _gold_moves(gold: np.ndarray, live: np.ndarray) -> np.ndarray:
     return np.bincount((held[:, :-1] * 3 + held[:, 1:])[valid], minlength=9).reshape(3, 3).astype(float)
 
 
-def _sums(score: np.ndarray, moves: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log likelihood sums, tag marginals and expected transitions; windows begin and end outside."""
+def _sums(score: np.ndarray, moves: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tag marginals and expected transitions; windows begin and end outside. Sums are scaled step by step."""
     rows, steps, _ = score.shape
-
-    def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-        top = x.max(axis, keepdims=True)
-        return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
-
-    forward = np.zeros((rows, steps, 3))
-    backward = np.zeros((rows, steps, 3))
-    forward[:, 0] = moves[OUTSIDE] + score[:, 0]
-    for t in range(1, steps):
-        reached = log_sum(forward[:, t - 1, :, None] + moves, 1) + score[:, t]
-        forward[:, t] = np.where(live[:, t, None], reached, forward[:, t - 1])
-    backward[:, -1] = moves[:, OUTSIDE]
-    for t in range(steps - 2, -1, -1):
-        left = log_sum(moves + (score[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
-        backward[:, t] = np.where(live[:, t + 1, None], left, moves[:, OUTSIDE])
-    total = log_sum(forward[:, -1] + moves[:, OUTSIDE], 1)
-    marginal = np.exp(forward + backward - total[:, None, None]) * live[..., None]
-    pair = np.zeros((3, 3))
+    jump = np.exp(moves)
+    here = np.exp(score - score.max(2, keepdims=True))
+    forward, backward = np.zeros((rows, steps, 3)), np.zeros((rows, steps, 3))
+    scale = np.ones((rows, steps))
+    now = np.repeat(jump[None, OUTSIDE], rows, 0) * here[:, 0]
+    for t in range(steps):
+        if t:
+            now = np.where(live[:, t, None], (now @ jump) * here[:, t], now)
+        total = now.sum(1)
+        scale[:, t] = np.where(live[:, t], total, 1.0)
+        now = np.where(live[:, t, None], now / total[:, None], now)
+        forward[:, t] = now
+    behind = np.repeat(jump[None, :, OUTSIDE], rows, 0)
+    for t in range(steps - 1, -1, -1):
+        backward[:, t] = behind
+        into = here[:, t] * behind / scale[:, t, None]
+        behind = np.where(live[:, t, None], into @ jump.T, behind)
+    marginal = forward * backward
+    whole = marginal.sum(2, keepdims=True)
+    marginal = marginal / whole * live[..., None]
+    into = here * backward / scale[..., None] / whole * live[..., None]
+    pair = np.einsum("nta,ntb->ab", forward[:, :-1], into[:, 1:]) * jump
     pair[OUTSIDE] += marginal[:, 0].sum(0)
-    for t in range(1, steps):
-        both = forward[:, t - 1, :, None] + moves + (score[:, t] + backward[:, t])[:, None, :] - total[:, None, None]
-        pair += (np.exp(both) * live[:, t, None, None]).sum(0)
     last = marginal[np.arange(rows), live.sum(1) - 1]
     pair[:, OUTSIDE] += last.sum(0)
-    return total, marginal, pair
+    return marginal, pair
 
 
 def train(documents: DataFrame, texts: int = SAMPLE_TEXTS) -> SecretModel:
