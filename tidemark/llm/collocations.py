@@ -1,13 +1,17 @@
 r"""Phrases whose words keep together, mined with stripes.
 
-A stripe belongs to a prefix of one or two words and counts the words that follow it, the end of a piece included. Tasks
+A stripe belongs to a prefix of no, one or two words and counts the words that follow it, the end of a piece included. Tasks
 fill stripes from their texts and send them on whole; stripes of one prefix are merged elementwise. A merged stripe holds all
 that is asked: its entries are the counts of the extensions, its total is the count of the prefix itself, and its largest
 entry says whether one extension takes the prefix over.
 
-A stripe of a prefix with more than ``HOT_SHARE`` of the followers in a sample goes to ``SECTIONS`` places by the hash of
-the next word. The sample decides only where entries are merged, never a count. Elementwise merging is a spilling aggregation
-inside the partition of the prefix; no stripe is held whole.
+Levels are mined one after another: a phrase of ``LEAST`` occurrences has a first and a last part of as many, so a stripe is
+kept for frequent prefixes alone, and words that cannot extend it are counted together as its rest; totals stay exact.
+Frequent parts are known to the tasks by a bit table of at most ``MOST_BITS`` bits; a wrong hit costs an entry, never a count.
+
+A stripe of a prefix with more than ``HOT_SHARE`` of all words goes to ``SECTIONS`` places by the hash of the next word (there
+are few such prefixes, and the level below counts them). Elementwise merging is a spilling aggregation inside the partition
+of the prefix; no stripe is held whole.
 
 Defined cases: A-Z are lower-cased; pieces end at ``[.,;:!?\x0A-\x0D]``, words are runs without space and tab; a null text
 is the empty text and has no words; a null lang is ``und``; equal rows count as often as they come; ids are not read, nor
@@ -17,9 +21,10 @@ any other column, whatever its name; an empty table gives no rows. Scores are ex
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
@@ -31,136 +36,227 @@ from tidemark.llm.storage import saved, text_column
 LEAST = 10
 OVER = 50
 TOP = 2000
-#: Entries a task holds before it sends its stripes on.
-HELD = 500_000
-#: Rows of the sample, its share from which a prefix is hot, and the sections of hot stripes.
-SAMPLE_ROWS = 4_000
+#: Tokens of a language that a task counts at once, and words it numbers.
+HELD = 1 << 20
+NUMBERED = 1 << 20
 HOT_SHARE = 1e-3
 SECTIONS = 256
-END = b"\xff"
+MOST_BITS = 1 << 27
 
+_END, _REST = 0, 1
+#: In stripes: the end of a piece, and all words that cannot extend the prefix.
+END, REST = "", "\n"
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(
     bytes(range(ord("A"), ord("Z") + 1)) + _SEPARATORS,
-    bytes(range(ord("a"), ord("z") + 1)) + END * len(_SEPARATORS),
+    bytes(range(ord("a"), ord("z") + 1)) + b"\xff" * len(_SEPARATORS),
 )
+STRIPE = "lang string, prefix string, section int, following array<string>, counts array<long>"
 
 
 def tokens(raw: bytes) -> list[bytes]:
     """Words and ends of pieces; 0xFF is in no UTF-8 text."""
-    return raw.translate(_TABLE).replace(END, b" \xff ").split()
-
-
-class _Stripes:
-    """Counters of (prefix, next word) for one or two words, by language."""
-
-    def __init__(self):
-        self.one: dict[str, Counter] = {}
-        self.two: dict[str, Counter] = {}
-
-    def add(self, lang: str, raw: bytes) -> None:
-        one, two = self.one.setdefault(lang, Counter()), self.two.setdefault(lang, Counter())
-        tail: list[bytes] = []
+    return raw.translate(_TABLE).replace(b"\xff", b" \xff ").split()
+
+
+@dataclass
+class Bits:
+    """A set of phrases by the crc32 of language and phrase."""
+
+    words: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+
+    def has(self, crc: np.ndarray) -> np.ndarray:
+        place = crc.astype(np.int64) % (len(self.words) * 64)
+        return (self.words[place >> 6] >> (place & 63)) & 1 == 1
+
+
+def bit_table(phrases: DataFrame) -> Bits:
+    """The bits of (lang, phrase) rows: 16 for each, ``MOST_BITS`` at most."""
+    size = 64
+    while size < min(16 * phrases.count(), MOST_BITS):
+        size *= 2
+    place = F.crc32(F.concat(F.col("lang"), F.lit("\n"), F.col("phrase")).cast("binary")) % size
+    bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(place % 64 AS INT))")
+    rows = phrases.select(place.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("at")).agg(F.bit_or(bit).alias("bits"))
+    held = rows.toPandas()
+    out = np.zeros(size // 64, np.int64)
+    out[held["at"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
+    return Bits(out)
+
+
+class _Words(dict):
+    """Word -> number, with the word's crc and whether it is frequent."""
+
+    def __init__(self, lang: str, frequent: Bits | None):
+        super().__init__({b"\xff": _END})
+        self._head, self._frequent = zlib.crc32(lang.encode() + b"\n"), frequent
+        self.names: list[bytes] = [b"", REST.encode()]
+        self.crcs: list[int] = [0, 0]
+        self._known = np.zeros(0, bool)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.names)
+        self.names.append(word)
+        self.crcs.append(zlib.crc32(word, self._head))
+        return number
+
+    def frequent(self) -> np.ndarray:
+        """A flag for every number."""
+        if len(self._known) < len(self.names):
+            fresh = self._frequent.has(np.array(self.crcs[len(self._known) :], np.int64))
+            fresh[: max(0, 2 - len(self._known))] = False
+            self._known = np.concatenate([self._known, fresh])
+        return self._known
+
+
+class _Miner:
+    """Stripes of one level for the texts of one language."""
+
+    def __init__(self, lang: str, level: int, words: Bits | None, pairs: Bits | None, hot: frozenset[str]):
+        self.lang, self._level, self._frequent, self._pairs, self._hot = lang, level, words, pairs, hot
+        self._words = _Words(lang, words)
+        self._parts: list[np.ndarray] = []
+        self._held = 0
+
+    def add(self, raw: bytes) -> Iterator[pa.RecordBatch]:
+        """A text; stripes come out when enough is held."""
         for block in blocks(raw):
-            words = tail + tokens(block)
-            one.update(zip(words, words[1:]))
-            two.update(zip(words, words[1:], words[2:]))
-            tail = words[-2:]
-            if len(tail) == 2:  # the pair of the two is counted here, not again in the next block
-                one[tail[0], tail[1]] -= 1
-        tail = [*tail, END]
-        one.update(zip(tail, tail[1:]))
-        two.update(zip(tail, tail[1:], tail[2:]))
-
-    def __len__(self) -> int:
-        return sum(map(len, self.one.values())) + sum(map(len, self.two.values()))
-
-    def entries(self) -> Iterator[tuple[str, list[bytes], list[bytes], list[int]]]:
-        """Language, prefixes, next words (empty: end) and counts; at most ``HELD`` or one text at once."""
-        for lang, counter in self.one.items():
-            found = [(a, b if b != END else b"", n) for (a, b), n in counter.items() if a != END and n]
-            yield lang, *(map(list, zip(*found)) if found else ([], [], []))
-        for lang, counter in self.two.items():
-            found = [(a + b" " + b, c if c != END else b"", n) for (a, b, c), n in counter.items() if a != END and b != END and n]
-            yield lang, *(map(list, zip(*found)) if found else ([], [], []))
-
-
-def _stripes(hot: dict[tuple[str, str], bool]):
-    """Arrow batches of texts to stripes."""
-    spread = {(lang, prefix.encode()) for lang, prefix in hot}
-
-    def flush(held: _Stripes) -> Iterator[pa.RecordBatch]:
-        for lang, prefixes, following, counts in held.entries():
-            places = [zlib.crc32(w) % SECTIONS if (lang, p) in spread else 0 for p, w in zip(prefixes, following)]
-            table = pa.table(
-                {
-                    "prefix": pa.array(prefixes, pa.binary()).cast(pa.string()),
-                    "section": pa.array(places, pa.int32()),
-                    "following": pa.array(following, pa.binary()).cast(pa.string()),
-                    "counts": pa.array(counts, pa.int64()),
-                }
-            ).group_by(["prefix", "section"], use_threads=False).aggregate([("following", "list"), ("counts", "list")])
-            langs = pa.array([lang], pa.string()).take(pa.array([0] * table.num_rows, pa.int32()))
-            out = pa.table(
-                [langs, table["prefix"], table["section"], table["following_list"], table["counts_list"]],
-                names=["lang", "prefix", "section", "following", "counts"],
-            )
-            yield from out.combine_chunks().to_batches(20_000)
+            found = tokens(block)
+            self._parts.append(np.fromiter(map(self._words.__getitem__, found), np.int64, len(found)))
+            self._held += len(found)
+            if self._held > HELD:
+                yield from self.flush()
+        self._parts.append(np.zeros(1, np.int64))
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        """Stripes of all that is held; the tokens that may still be extended stay."""
+        row = np.concatenate(self._parts) if self._parts else np.zeros(0, np.int64)
+        names = self._words.names
+        if len(row) > self._level:
+            yield from self._stripes(row, names)
+        tail = row[len(row) - self._level :] if self._level else row[:0]
+        if len(names) > NUMBERED:
+            words = _Words(self.lang, self._frequent)
+            tail = np.array([words[names[t]] if t > _REST else _END for t in tail], np.int64)
+            self._words = words
+        self._parts, self._held = [tail], 0
+
+    def _stripes(self, row: np.ndarray, names: list[bytes]) -> Iterator[pa.RecordBatch]:
+        if self._level == 0:
+            prefix, following = np.zeros(len(row), np.int64), row
+            keep = row != _END
+            spell = lambda _: b""
+        elif self._level == 1:
+            frequent = self._words.frequent()
+            prefix, following, keep = row[:-1], self._extend(row[1:], frequent[row[1:]]), frequent[row[:-1]]
+            spell = names.__getitem__
+        else:
+            pairs, at = np.unique(row[:-1] << 32 | row[1:], return_inverse=True)
+            known = self._known_pairs(pairs)[at]
+            prefix, following, keep = at[:-1], self._extend(row[2:], known[1:]), known[:-1]
+            spell = lambda p: names[pairs[p] >> 32] + b" " + names[pairs[p] & 0xFFFFFFFF]
+        entries, counts = np.unique(prefix[keep] << 32 | following[keep], return_counts=True)
+        if not len(entries):
+            return
+        prefix, following = entries >> 32, entries & 0xFFFFFFFF
+        first = np.flatnonzero(np.diff(prefix, prepend=-1))
+        spelt = [spell(p) for p in prefix[first].tolist()]
+        section = np.zeros(len(entries), np.int64)
+        ends = np.append(first[1:], len(entries))
+        for start, end, name in zip(first, ends, spelt):
+            if name.decode() in self._hot:
+                section[start:end] = [zlib.crc32(names[f]) % SECTIONS for f in following[start:end]]
+        number = np.repeat(np.arange(len(first)), ends - first)
+        order = np.lexsort((section, number))
+        number, section, following, counts = number[order], section[order], following[order], counts[order]
+        starts = np.flatnonzero((np.diff(number, prepend=-1) != 0) | (np.diff(section, prepend=-1) != 0))
+        spellings = pa.array(names, pa.binary()).cast(pa.string())
+        offsets = pa.array(np.append(starts, len(number)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, v) for v in (spellings.take(pa.array(following)), pa.array(counts.astype(np.int64)))]
+        prefixes = pa.array(spelt, pa.binary()).cast(pa.string()).take(pa.array(number[starts]))
+        langs = pa.array([self.lang], pa.string()).take(pa.array(np.zeros(len(starts), np.int32)))
+        out = pa.table([langs, prefixes, pa.array(section[starts], pa.int32()), *lists], names=["lang", "prefix", "section", "following", "counts"])
+        yield from out.to_batches(20_000)
+
+    @staticmethod
+    def _extend(following: np.ndarray, fits: np.ndarray) -> np.ndarray:
+        return np.where(fits | (following == _END), following, _REST)
+
+    def _known_pairs(self, pairs: np.ndarray) -> np.ndarray:
+        frequent, crcs, names = self._words.frequent(), self._words.crcs, self._words.names
+        a, b = pairs >> 32, pairs & 0xFFFFFFFF
+        known = frequent[a] & frequent[b]
+        asked = np.flatnonzero(known)
+        found = [zlib.crc32(names[y], zlib.crc32(b" ", crcs[x])) for x, y in zip(a[asked].tolist(), b[asked].tolist())]
+        known[asked] = self._pairs.has(np.array(found, np.int64))
+        return known
+
+
+def _stripes(level: int, words: Bits | None, pairs: Bits | None, hot: dict[str, frozenset[str]]):
+    """Arrow batches of (lang, raw text) to stripes of one level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Stripes()
+        miners: dict[str, _Miner] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held.add(lang, text.as_py())
-                if len(held) > HELD:
-                    yield from flush(held)
-                    held = _Stripes()
-        yield from flush(held)
+                if lang not in miners:
+                    if len(miners) >= 64:  # many languages: the fullest goes first
+                        fullest = max(miners, key=lambda k: miners[k]._held)
+                        yield from miners.pop(fullest).flush()
+                    miners[lang] = _Miner(lang, level, words, pairs, hot.get(lang, frozenset()) if level else frozenset([""]))
+                yield from miners[lang].add(text.as_py())
+        for miner in miners.values():
+            yield from miner.flush()
 
     return run
 
 
-def _hot_prefixes(texts: DataFrame) -> dict[tuple[str, str], bool]:
-    """Prefixes with more than ``HOT_SHARE`` of a sample's followers: at most ``2 / HOT_SHARE``."""
-    total = texts.count()
-    share = min(1.0, SAMPLE_ROWS / max(total, 1))
-    drawn = texts.sample(fraction=share, seed=11).mapInArrow(_stripes({}), STRIPE)
-    sizes = drawn.groupBy("lang", "prefix").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
-    sizes = saved(sizes, "prefix-sample")
-    all_of_it = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    heavy = sizes.filter(F.col("n") > HOT_SHARE * all_of_it).select("lang", "prefix").collect()
-    return {(row["lang"], row["prefix"]): True for row in heavy}
-
-
-STRIPE = "lang string, prefix string, section int, following array<string>, counts array<long>"
-
-
-def merged_stripes(documents: DataFrame) -> DataFrame:
-    """(lang, prefix, section, total, largest, extensions): extensions are the entries of at least ``LEAST``.
-
-    Of two-word prefixes only those of at least ``LEAST`` occurrences are kept where one section has them all.
-    """
-    texts = documents.select(
-        F.coalesce(documents["lang"].cast("string"), F.lit("und")).alias("lang"),
-        text_column(documents, "text").cast("binary").alias("raw"),
-    )
-    hot = _hot_prefixes(texts)
-    stripes = texts.mapInArrow(_stripes(hot), STRIPE)
-    entries = (
+def _merged(stripes: DataFrame) -> DataFrame:
+    """Stripes of one prefix added elementwise: (lang, prefix, section, following, a)."""
+    return (
         stripes.repartition("lang", "prefix", "section")
         .select("lang", "prefix", "section", F.inline(F.arrays_zip("following", "counts")))
         .groupBy("lang", "prefix", "section", "following")
         .agg(F.sum("counts").alias("a"))
     )
-    word = F.col("following") != ""
+
+
+def _hot(counts: DataFrame, total: int) -> dict[str, frozenset[str]]:
+    """Phrases with more than ``HOT_SHARE`` of all words, by language: at most ``1 / HOT_SHARE``."""
+    found: dict[str, set[str]] = {}
+    for row in counts.filter(F.col("a") > HOT_SHARE * total).select("lang", "phrase").collect():
+        found.setdefault(row["lang"], set()).add(row["phrase"])
+    return {lang: frozenset(phrases) for lang, phrases in found.items()}
+
+
+def _level(texts: DataFrame, level: int, words: Bits, pairs: Bits | None, hot: dict) -> DataFrame:
+    """(lang, prefix, section, total, largest, extensions): extensions are the entries of at least ``LEAST``."""
+    entries = _merged(texts.mapInArrow(_stripes(level, words, pairs, hot), STRIPE))
+    word = ~F.col("following").isin(END, REST)
     found = entries.groupBy("lang", "prefix", "section").agg(
         F.sum("a").alias("total"),
         F.coalesce(F.max(F.when(word, F.col("a"))), F.lit(0).cast("long")).alias("largest"),
         F.collect_list(F.when(word & (F.col("a") >= LEAST), F.struct("following", "a"))).alias("extensions"),
     )
-    two_words = F.col("prefix").contains(" ")
-    spread = F.concat_ws("\n", "lang", "prefix").isin([f"{lang}\n{prefix}" for lang, prefix in sorted(hot)]) if hot else F.lit(False)
-    return found.filter(~two_words | (F.col("total") >= LEAST) | spread)
+    return saved(found, f"stripes-{level}")
+
+
+def mined_stripes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stripes of one-word and two-word prefixes, and the number of words by language (lang, n)."""
+    texts = documents.select(
+        F.coalesce(documents["lang"].cast("string"), F.lit("und")).alias("lang"),
+        text_column(documents, "text").cast("binary").alias("raw"),
+    )
+    words = saved(_merged(texts.mapInArrow(_stripes(0, None, None, {}), STRIPE)).withColumnRenamed("following", "phrase"), "words")
+    sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    frequent = words.filter(F.col("a") >= LEAST).select("lang", "phrase", "a")
+    bits = bit_table(frequent)
+    ones = _level(texts, 1, bits, None, _hot(frequent, total))
+    extended = ones.select("lang", "prefix", F.inline("extensions"))
+    pairs = extended.select("lang", F.concat_ws(" ", "prefix", "following").alias("phrase"), "a")
+    twos = _level(texts, 2, bits, bit_table(pairs), _hot(pairs, total))
+    return ones.unionByName(twos), sizes
 
 
 def _score(a: str, l: str, r: str) -> Column:
@@ -171,9 +267,9 @@ def _score(a: str, l: str, r: str) -> Column:
 
 def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    stripes = saved(merged_stripes(documents), "stripes")
+    stripes, sizes = mined_stripes(documents)
     counts = stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("f"), F.max("largest").alias("largest"))
-    words = stripes.filter(~F.col("prefix").contains(" ")).groupBy(F.col("lang").alias("n_lang")).agg(F.sum("total").alias("n"))
+    words = sizes.withColumnRenamed("lang", "n_lang")
     known = counts.filter(F.col("f") >= LEAST)
 
     def joined(rows: DataFrame, phrase: Column, out: str, *more: str) -> DataFrame:
