@@ -349,11 +349,8 @@ def sample_windows(documents: DataFrame, texts: int = SAMPLE_TEXTS) -> list[tupl
         {"__has": F.col("__text").rlike(ROUGH), "__hash": F.xxhash64("__text")}
     )
     marks = saved(read.select("__has", "__hash").distinct(), "secret-sample")
-    wanted = F.lit(False)
-    for has in (True, False):
-        lowest = marks.filter(F.col("__has") == has).orderBy("__hash").limit(texts).agg(F.max("__hash")).first()[0]
-        if lowest is not None:
-            wanted = wanted | ((F.col("__has") == has) & (F.col("__hash") <= lowest))
+    lowest = [marks.filter(F.col("__has") == has).orderBy("__hash").limit(texts).select("__hash") for has in (True, False)]
+    chosen = sorted({row["__hash"] for part in lowest for row in part.collect()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,7 +365,7 @@ def sample_windows(documents: DataFrame, texts: int = SAMPLE_TEXTS) -> list[tupl
     names = ["has", "hash", "nr", "tokens", "tags", "features"]
     kinds = [pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string())]
     schema = "has boolean, hash long, nr int, tokens array<string>, tags array<int>, features array<string>"
-    drawn = read.filter(wanted).select("__text", "__has", "__hash").mapInArrow(run, schema)
+    drawn = read.filter(F.col("__hash").isin(chosen)).select("__text", "__has", "__hash").mapInArrow(run, schema)
     rows = drawn.dropDuplicates(["hash", "nr"]).collect()
     return sorted(((r.has, r.hash, r.nr, list(r.tokens), list(r.tags), list(r.features)) for r in rows), key=lambda r: r[:3])
 
