@@ -36,9 +36,10 @@ from tidemark.llm.storage import saved, text_column
 LEAST = 10
 OVER = 50
 TOP = 2000
-#: Tokens of a language that a task counts at once, and words it numbers.
-HELD = 1 << 20
+#: Tokens that a task counts at once, and words of a language that it numbers.
+HELD = 1 << 22
 NUMBERED = 1 << 20
+MINERS = 64
 HOT_SHARE = 1e-3
 SECTIONS = 256
 MOST_BITS = 1 << 27
@@ -116,15 +117,15 @@ class _Miner:
         self.lang, self._level, self._frequent, self._pairs, self._hot = lang, level, words, pairs, hot
         self._words = _Words(lang, words)
         self._parts: list[np.ndarray] = []
-        self._held = 0
+        self.held = 0
 
     def add(self, raw: bytes) -> Iterator[pa.RecordBatch]:
         """A text; stripes come out when enough is held."""
         for block in blocks(raw):
             found = tokens(block)
             self._parts.append(np.fromiter(map(self._words.__getitem__, found), np.int64, len(found)))
-            self._held += len(found)
-            if self._held > HELD:
+            self.held += len(found)
+            if self.held > HELD:
                 yield from self.flush()
         self._parts.append(np.zeros(1, np.int64))
 
@@ -139,7 +140,7 @@ class _Miner:
             words = _Words(self.lang, self._frequent)
             tail = np.array([words[names[t]] if t > _REST else _END for t in tail], np.int64)
             self._words = words
-        self._parts, self._held = [tail], 0
+        self._parts, self.held = [tail], 0
 
     def _stripes(self, row: np.ndarray, names: list[bytes]) -> Iterator[pa.RecordBatch]:
         if self._level == 0:
@@ -199,10 +200,10 @@ def _stripes(level: int, words: Bits | None, pairs: Bits | None, hot: dict[str,
         miners: dict[str, _Miner] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if len(miners) > MINERS or sum(m.held for m in miners.values()) > HELD:
+                    fullest = max(miners, key=lambda k: miners[k].held)
+                    yield from (miners.pop(fullest) if len(miners) > MINERS else miners[fullest]).flush()
                 if lang not in miners:
-                    if len(miners) >= 64:  # many languages: the fullest goes first
-                        fullest = max(miners, key=lambda k: miners[k]._held)
-                        yield from miners.pop(fullest).flush()
                     miners[lang] = _Miner(lang, level, words, pairs, hot.get(lang, frozenset()) if level else frozenset([""]))
                 yield from miners[lang].add(text.as_py())
         for miner in miners.values():
@@ -270,7 +271,7 @@ def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     stripes, sizes = mined_stripes(documents)
     counts = stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("f"), F.max("largest").alias("largest"))
     words = sizes.withColumnRenamed("lang", "n_lang")
-    known = counts.filter(F.col("f") >= LEAST)
+    known = saved(counts.filter(F.col("f") >= LEAST), "prefixes")
 
     def joined(rows: DataFrame, phrase: Column, out: str, *more: str) -> DataFrame:
         right = known.select(
@@ -304,7 +305,12 @@ def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
         "lang", "phrase", "a", F.when(early, F.col("l_first")).otherwise(F.col("prefix_f")).alias("l"),
         F.when(early, F.col("r_two")).otherwise(F.col("r_last")).alias("r"), F.least("s1", "s2").alias("score"),
     )
-    place = Win.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc())
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(place).cast("long")).filter(F.col("rank") <= top)
+    # The first of each of 64 parts of a language, then the first of these.
+    first_come = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    best = two.unionByName(three).withColumn("part", part)
+    best = best.withColumn("rank", F.row_number().over(Win.partitionBy("lang", "part").orderBy(*first_come))).filter(F.col("rank") <= top)
+    place = F.row_number().over(Win.partitionBy("lang").orderBy(*first_come)).cast("long")
+    ranked = best.withColumn("rank", place).filter(F.col("rank") <= top)
     out = ranked.join(words, F.col("lang") == F.col("n_lang"))
     return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
