@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import intervals
 from tidemark.operators.windows import ARRIVAL_ORDER, CHANGE_ORDER, arrivals
 from tidemark.ordering import Run, Split, plan_split, positions, running
 
@@ -40,14 +41,19 @@ def over_changes(
     sums: dict[str, str] | None = None,
     averages: dict[str, str] | None = None,
     count: str | None = None,
+    lows: dict[str, str] | None = None,
+    highs: dict[str, str] | None = None,
     split: Split | None = None,
 ) -> DataFrame:
     """Window aggregates after each change, by adding current and subtracting expired rows.
 
-    The cost per row does not depend on how many rows are live.
+    The cost per row does not depend on how many rows are live. ``lows`` and ``highs`` are extremes over any kind of
+    window; they cannot be subtracted and come from the pieces of live intervals.
     """
     sums, averages = sums or {}, averages or {}
     runs = {"_n": Run("sum", F.col("_sign").cast("bigint"))}
+    if lows or highs:
+        runs["_pos"] = Run("count")
     for out, col in {**sums, **averages}.items():
         runs[f"_s_{out}"] = Run("sum", F.col("_sign") * F.col(col))
         runs[f"_n_{out}"] = Run("sum", F.when(F.col(col).isNotNull(), F.col("_sign")).otherwise(0).cast("bigint"))
@@ -59,6 +65,8 @@ def over_changes(
     }
     if count:
         cols[count] = F.col("_n")
+    if lows or highs:
+        out = intervals.extremes(out, group, lows=lows, highs=highs)
     return out.withColumns(cols).drop(*runs)
 
 
@@ -73,6 +81,8 @@ def over_window(
     sums: dict[str, str] | None = None,
     averages: dict[str, str] | None = None,
     count: str | None = None,
+    lows: dict[str, str] | None = None,
+    highs: dict[str, str] | None = None,
     split: Split | None = None,
     **options,
 ) -> DataFrame:
@@ -89,7 +99,7 @@ def over_window(
     changes = window(df, *args, ts=ts, seq=seq, **options)
     ranges = split if group == tuple(keys) else plan_split(base, group, ARRIVAL_ORDER)
     return over_changes(
-        changes, group, sums=sums, averages=averages, count=count, split=ranges.on(*CHANGE_ORDER)
+        changes, group, sums=sums, averages=averages, count=count, lows=lows, highs=highs, split=ranges.on(*CHANGE_ORDER)
     )
 
 

@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 
+from tidemark.operators.intervals import Mergeable
+
 _SCALAR: dict[str, Callable[..., Column]] = {}
 _AGGREGATE: dict[str, Callable[..., Column]] = {}
 _TRANSFORM: dict[str, Callable[..., DataFrame]] = {}
 _WINDOW: dict[str, Callable[..., DataFrame]] = {}
-_KINDS = {"scalar": _SCALAR, "aggregate": _AGGREGATE, "transform": _TRANSFORM, "window": _WINDOW}
+_MERGEABLE: dict[str, Callable[..., Mergeable]] = {}
+_KINDS = {"scalar": _SCALAR, "aggregate": _AGGREGATE, "transform": _TRANSFORM, "window": _WINDOW, "mergeable": _MERGEABLE}
 
 
 def extension(kind: str, name: str):
     """Register ``ns:fn``. Scalars and aggregates give Columns (built-ins or pandas UDFs),
-    transforms give DataFrames, windows give change streams."""
+    transforms give DataFrames, windows give change streams. Mergeable aggregates run in parts, over groups
+    and over the changes of any window."""
 
     def register(fn):
         _KINDS[kind][name] = fn

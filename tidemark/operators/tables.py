@@ -117,6 +117,99 @@ def delete_theta(
     return table.join(bounds, same & _holds(op, F.col(column), F.col("_bound")), "left_anti")
 
 
+# --- tables that change while they are read ----------------------------------------------------
+
+
+def change_log(
+    inserts: DataFrame, key: Sequence[str], *, updates: DataFrame | None = None, deletes: DataFrame | None = None, ts="ts", seq="seq"
+) -> DataFrame:
+    """One ordered log of what happens to a table: inserted rows, updates and deletes by key.
+
+    All three carry ``ts``, ``seq`` and the columns ``key``; an update also carries the columns that it sets. The log has
+    the key columns, ``_t``, ``_s``, ``_what``, ``_row`` (of an insert) and ``_set`` (of an update).
+    """
+    rest = [c for c in inserts.columns if c not in (*key, ts, seq)]
+    row_type = T.StructType([inserts.schema[c] for c in rest])
+    set_type = None
+    if updates is not None:
+        taken = [c for c in updates.columns if c in rest]
+        set_type = T.StructType([updates.schema[c] for c in taken])
+
+    def part(rows: DataFrame, what: str, row, values) -> DataFrame:
+        own = arrivals(rows, ts, seq)
+        out = own.select(*key, "_t", "_s", F.lit(what).alias("_what"), row.alias("_row"))
+        return out if set_type is None else own.select(*key, "_t", "_s", F.lit(what).alias("_what"), row.alias("_row"), values.alias("_set"))
+
+    no_row = F.lit(None).cast(row_type)
+    no_set = None if set_type is None else F.lit(None).cast(set_type)
+    log = part(inserts, "insert", F.struct(*rest), no_set)
+    if updates is not None:
+        log = log.unionByName(part(updates, "update", no_row, F.struct(*taken)))
+    if deletes is not None:
+        log = log.unionByName(part(deletes, "delete", no_row, no_set))
+    return log
+
+
+def _read_with(stream: DataFrame, log: DataFrame, on: Pairs, key: Sequence[str], ts: str, seq: str, runs: dict[str, Run]) -> DataFrame:
+    """Stream rows and log entries in one order per key, each with running facts about the log before it."""
+    probe = F.struct(*stream.columns)
+    own = arrivals(stream, ts, seq).select(
+        *[F.col(s).alias(k) for s, k in on], "_t", "_s", F.lit("probe").alias("_what"),
+        *[F.lit(None).cast(log.schema[c].dataType).alias(c) for c in log.columns if c in ("_row", "_set")], probe.alias("_probe"),
+    )
+    both = log.withColumn("_probe", F.lit(None).cast(own.schema["_probe"].dataType)).unionByName(own)
+    # At one place in the order the log comes first: a row sees what its own event did.
+    both = both.withColumn("_o", F.when(F.col("_what") == "probe", 1).otherwise(0))
+    return running(both, key, ("_t", "_s", "_o"), runs)
+
+
+def as_of_join(
+    stream: DataFrame, log: DataFrame, on: Pairs, *, how: str = "inner", ts="ts", seq="seq"
+) -> DataFrame:
+    """Stream rows with the table rows of their key as they were at that moment.
+
+    ``on`` pairs stream columns with the key of the log. A delete empties the key, so its count so far says to which
+    generation a row belongs; a row is alive for the probes of its generation that come after it. An update sets the
+    rows that are there, so a column is the last update's where that came after the insert. Table columns carry the
+    prefix ``t_``; null keys match nothing.
+    """
+    key = [k for _, k in on]
+    stream = stream.filter(reduce(lambda a, b: a & b, [F.col(s).isNotNull() for s, _ in on])) if how == "inner" else stream
+    at = F.struct("_t", "_s")
+    runs = {"_generation": Run("count", F.when(F.col("_what") == "delete", 1))}
+    if "_set" in log.columns:
+        runs["_last"] = Run("last", F.when(F.col("_what") == "update", F.struct(at.alias("at"), F.col("_set").alias("set"))))
+    read = _read_with(stream, log, on, key, ts, seq, runs)
+    probes = read.filter("_what = 'probe'").select(
+        *[F.col(k).alias(f"_pk{i}") for i, k in enumerate(key)], "_probe", F.struct("_t", "_s").alias("_seen"),
+        F.col("_generation").alias("_pg"), *(["_last"] if "_last" in runs else []),
+    )
+    rows = read.filter("_what = 'insert'").select(*key, F.col("_generation"), F.struct("_t", "_s").alias("_born"), "_row")
+    same = reduce(lambda a, b: a & b, [F.col(f"_pk{i}") == F.col(k) for i, k in enumerate(key)])
+    met = probes.join(rows, same & (F.col("_pg") == F.col("_generation")) & (F.col("_born") <= F.col("_seen")), how)
+    names = log.schema["_row"].dataType.fieldNames()
+    taken = log.schema["_set"].dataType.fieldNames() if "_set" in log.columns else []
+    changed = F.coalesce(F.col("_last.at") > F.col("_born"), F.lit(False)) if taken else None
+    values = [
+        (F.when(changed, F.col(f"_last.set.{c}")).otherwise(F.col(f"_row.{c}")) if c in taken else F.col(f"_row.{c}")).alias(f"t_{c}")
+        for c in names
+    ]
+    return met.select("_probe.*", *[F.col(k).alias(f"t_{k}") for k in key], *values)
+
+
+def as_of_in(stream: DataFrame, log: DataFrame, on: Pairs, *, negate: bool = False, ts="ts", seq="seq") -> DataFrame:
+    """Stream rows whose key is in the table at that moment (``negate``: is not): the last insert or delete decides."""
+    key = [k for _, k in on]
+    what = F.when(F.col("_what").isin("insert", "delete"), F.col("_what"))
+    read = _read_with(stream, log, on, key, ts, seq, {"_now": Run("last", what)}).filter("_what = 'probe'")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    there = known & F.coalesce(F.col("_now") == "insert", F.lit(False))
+    return read.filter(~there if negate else there).select("_probe.*")
+
+
+# --- stored tables ----------------------------------------------------------------------------
+
+
 def save(table: DataFrame, root: str, version: int, *, replace: bool = False) -> None:
     """Write a new version; it becomes current when the write commits. ``replace`` makes a
     repeated micro-batch write its version again."""

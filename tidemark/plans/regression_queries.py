@@ -100,6 +100,22 @@ def ts_season_disc(t):
     return _rounded(both.withColumn("beta0", F.col("beta0") + 0.0000013), "beta0")
 
 
+# Seconds since 1970 as x; the twin shifts them by whole seconds, which keeps its own sums exact.
+EPOCH = "(SELECT event_id, epoch_us(ts) AS us, user_id, (epoch_us(ts) // 1000000 - 1704067200) / 60.0 AS x, value + ((epoch_us(ts) // 1000000 - 1704067200) / 3600.0) AS y FROM events)"
+
+
+@query(
+    "ts_regress_epoch",
+    f"""WITH {_simple_sql('ROWS BETWEEN 29 PRECEDING AND CURRENT ROW', EPOCH)}
+    SELECT event_id, round(se, 5) AS "stdError", round(b1 / 60 * 1e6, 4) AS slope FROM fit""",
+)
+def ts_regress_epoch(t):
+    seconds = F.unix_seconds("ts")
+    p = t.events.select("event_id", "ts", "seq", "user_id", seconds.alias("x"), (F.col("value") + (seconds - 1_704_067_200) / 3600.0).alias("y"))
+    fit = G.regress(p, "y", ["x"], batch=30, keys=KEY)
+    return fit.select("event_id", F.round("stdError", 5).alias("stdError"), F.round(F.col("beta1") * 1e6, 4).alias("slope"))
+
+
 MULTI = """s AS (SELECT *, count(*) OVER w AS n, avg(x) OVER w AS mx, avg(z) OVER w AS mz, avg(y) OVER w AS my, var_pop(x) OVER w * count(*) OVER w AS sxx, var_pop(z) OVER w * count(*) OVER w AS szz,
       var_pop(y) OVER w * count(*) OVER w AS syy, covar_pop(x, z) OVER w * count(*) OVER w AS sxz, covar_pop(x, y) OVER w * count(*) OVER w AS sxy, covar_pop(z, y) OVER w * count(*) OVER w AS szy
       FROM (SELECT *, %s AS z FROM """ + POINTS + """) WINDOW w AS (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING)),

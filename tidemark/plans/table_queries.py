@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as A
 from tidemark.operators import extensions as X
+from tidemark.operators import intervals as I
 from tidemark.operators import partitions as Q
 from tidemark.operators import rates as R
 from tidemark.operators import select as sel
 from tidemark.operators import tables as T
 from tidemark.operators import windows as W
+from tidemark.operators.intervals import Mergeable
 from tidemark.ordering import Run
 from tidemark.plans.registry import query
 from tidemark.plans.rules import Rule, alerts
@@ -149,6 +151,48 @@ def tbl_contains(t):
     return sel.in_table(t.events, rich, [("user_id", "c_custkey")]).select("event_id")
 
 
+def account_log(t):
+    """Users sign up (a row), purchases change the row's value, errors remove the user's rows."""
+    e = cents(t).withColumnRenamed("user_id", "k")
+    kind = F.col("event_type")
+    inserts = e.filter(kind == "signup").select("ts", "seq", "k", F.col("event_id").alias("row_id"), "cents")
+    updates = e.filter(kind == "purchase").select("ts", "seq", "k", "cents")
+    return T.change_log(inserts, ["k"], updates=updates, deletes=e.filter(kind == "error").select("ts", "seq", "k"))
+
+
+ALIVE = f"""e AS {CENTS}, p AS (SELECT *, (us, event_id) AS o FROM e),
+    v AS (SELECT v.event_id, v.user_id, v.o AS o, i.event_id AS row_id, i.o AS born, i.cents AS cents FROM p v JOIN p i
+      ON v.event_type = 'view' AND i.event_type = 'signup' AND i.user_id = v.user_id AND i.o < v.o
+      WHERE NOT EXISTS (SELECT 1 FROM p d WHERE d.event_type = 'error' AND d.user_id = v.user_id AND d.o > i.o AND d.o < v.o))"""
+
+
+@query(
+    "tbl_as_of_join",
+    f"""WITH {ALIVE}, u AS (SELECT v.event_id, v.row_id, max_by(u.cents, u.o) AS cents FROM v JOIN p u
+      ON u.event_type = 'purchase' AND u.user_id = v.user_id AND u.o > v.born AND u.o < v.o GROUP BY ALL)
+    SELECT v.event_id, v.row_id, coalesce(u.cents, v.cents) AS cents FROM v LEFT JOIN u ON u.event_id = v.event_id AND u.row_id = v.row_id""",
+)
+def tbl_as_of_join(t):
+    views = t.events.filter("event_type = 'view'").select("event_id", "ts", "seq", "user_id")
+    out = T.as_of_join(views, account_log(t), [("user_id", "k")])
+    return out.select("event_id", F.col("t_row_id").alias("row_id"), F.col("t_cents").alias("cents"))
+
+
+@query("tbl_as_of_in", f"WITH {ALIVE} SELECT DISTINCT event_id FROM v")
+def tbl_as_of_in(t):
+    views = t.events.filter("event_type = 'view'").select("event_id", "ts", "seq", "user_id")
+    return T.as_of_in(views, account_log(t), [("user_id", "k")]).select("event_id")
+
+
+@query(
+    "tbl_as_of_not_in",
+    f"WITH {ALIVE} SELECT event_id FROM e WHERE event_type = 'view' AND event_id NOT IN (SELECT event_id FROM v)",
+)
+def tbl_as_of_not_in(t):
+    views = t.events.filter("event_type = 'view'").select("event_id", "ts", "seq", "user_id")
+    return T.as_of_in(views, account_log(t), [("user_id", "k")], negate=True).select("event_id")
+
+
 # --- output rates -----------------------------------------------------------------------------
 
 SLOTS = f"(SELECT *, (row_number() OVER (ORDER BY us, event_id) - 1) // 60 AS slot, (row_number() OVER (ORDER BY us, event_id) - 1) % 60 AS place, count(*) OVER () AS total FROM {CENTS})"
@@ -317,18 +361,20 @@ def discount(price, rate):
     return price * (F.lit(1) - rate)
 
 
-def spread_udf():
-    """A pandas aggregate: distance between the largest and the smallest value."""
+@X.extension("mergeable", "demo:spread")
+class Spread(Mergeable):
+    """Distance between the largest and the smallest value."""
 
-    def spread(values: pd.Series) -> float:
-        return float(values.max() - values.min())
+    width = 2
 
-    return F.pandas_udf(spread, "double")
+    def lift(self, values):
+        return np.stack([values, values], 1)
 
+    def merge(self, a, b):
+        return np.stack([np.minimum(a[:, 0], b[:, 0]), np.maximum(a[:, 1], b[:, 1])], 1)
 
-@X.extension("aggregate", "demo:spread")
-def spread_of(column):
-    return spread_udf()(column)
+    def finish(self, states):
+        return states[:, 1] - states[:, 0]
 
 
 @X.extension("transform", "demo:widen")
@@ -350,14 +396,21 @@ def udf_scalar(t):
 
 @query("udf_agg", "SELECT event_type, round(max(value) - min(value), 4) AS spread FROM events GROUP BY event_type")
 def udf_agg(t):
-    """A pandas aggregate sees a whole group, so groups are cut by day first and combined."""
-    parts = t.events.select("event_type", F.to_date("ts").alias("day"), "value")
-    bounds = parts.groupBy("event_type", "day").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    ends = bounds.select("event_type", F.explode(F.array("low", "high")).alias("value"))
-    out = ends.groupBy("event_type").agg(X.call("aggregate", "demo:spread", F.col("value")).alias("spread"))
+    out = I.user_aggregate(t.events, ["event_type"], "value", "spread", X.call("mergeable", "demo:spread"))
     return out.withColumn("spread", F.round("spread", 4))
 
 
+@query(
+    "udf_agg_window",
+    f"""SELECT event_id, CAST(max(cents) OVER w - min(cents) OVER w AS DOUBLE) AS spread FROM {CENTS}
+    WINDOW w AS (PARTITION BY event_type ORDER BY us, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+)
+def udf_agg_window(t):
+    changes = W.length(cents(t), 20, keys=["event_type"])
+    out = I.user_over_changes(changes, ["event_type"], "cents", "spread", X.call("mergeable", "demo:spread"))
+    return W.output(out, "current").select("event_id", "spread")
+
+
 @query("udf_transform", "SELECT event_id, user_id + 1000 AS user_id_wide FROM events")
 def udf_transform(t):
     return X.transform(t.events, "demo:widen", "user_id", 1000).select("event_id", "user_id_wide")

@@ -384,3 +384,43 @@ def agg_batch_row(t):
     rows = W.batches_by_time(cents(t), W.DAY)
     out = A.batch_rows(rows, {"total": F.sum("cents")}, ["event_type"], KEY)
     return out.withColumnRenamed("_batch", "batch")
+
+
+# --- extremes over windows that are not first-in-first-out ------------------------------------
+
+ORDERED = f"(SELECT *, row_number() OVER (ORDER BY us, event_id) AS p FROM {CENTS})"
+
+
+@query(
+    "agg_max_unique",
+    f"""WITH r AS (SELECT *, coalesce(lead(p) OVER (PARTITION BY user_id ORDER BY p), 1000000000000) AS gone FROM {ORDERED})
+    SELECT a.event_id, max(b.cents) AS high, min(b.cents) AS low, count(*) AS n FROM r a JOIN r b ON b.p <= a.p AND b.gone > a.p GROUP BY a.event_id""",
+)
+def agg_max_unique(t):
+    out = A.over_window(cents(t), W.unique, KEY, group=[], highs={"high": "cents"}, lows={"low": "cents"}, count="n")
+    return W.output(out, "current").select("event_id", "high", "low", "n")
+
+
+@query(
+    "agg_min_sort",
+    f"""WITH k AS (SELECT a.event_id, b.cents, row_number() OVER (PARTITION BY a.event_id ORDER BY b.value DESC, b.p) AS place
+      FROM {ORDERED} a JOIN {ORDERED} b ON a.user_id = b.user_id AND b.p <= a.p)
+    SELECT event_id, min(cents) AS low, max(cents) AS high FROM k WHERE place <= 5 GROUP BY event_id""",
+)
+def agg_min_sort(t):
+    out = A.over_window(cents(t), W.sort_window, 5, [("value", False)], keys=KEY, lows={"low": "cents"}, highs={"high": "cents"})
+    # One arrival may change the window twice; what counts is the content after its last change.
+    last = W.output(out, "all").groupBy(F.col("_by").alias("event_id")).agg(F.max_by(F.struct("low", "high"), F.struct("_tie")).alias("x"))
+    return last.select("event_id", "x.low", "x.high")
+
+
+@query(
+    "agg_max_batch",
+    f"""WITH b AS (SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY us, event_id) - 1) // 50 AS batch FROM {CENTS}),
+    f AS (SELECT event_type, batch, max(cents) AS high FROM b GROUP BY ALL HAVING count(*) = 50)
+    SELECT event_type, batch, high FROM f""",
+)
+def agg_max_batch(t):
+    changes = W.length_batch(cents(t), 50, keys=["event_type"])
+    out = A.over_changes(changes, ["event_type"], highs={"high": "cents"}, count="n")
+    return W.output(out, "current").filter("n = 50").select("event_type", F.col("_batch").alias("batch"), "high")
