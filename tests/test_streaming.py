@@ -188,3 +188,88 @@ def test_write_section_batch(spark, events):
     back = spark.read.parquet(root)
     assert back.agg(F.sum("events")).first()[0] == 1000
     assert back.filter("hour = floor(minute / 3600) * 3600").count() == back.count()
+
+
+# --- rows that arrive out of order --------------------------------------------------------------
+
+DELAY_DAYS = 12
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, events):
+    """Events in five files; a row lies up to 150 places from where its time puts it. Returns an opener and the last watermark."""
+    root = tempfile.mkdtemp(prefix="tidemark-shuffled-")
+    place = F.col("event_id") + F.pmod(F.xxhash64("event_id"), F.lit(300)) - 150
+    cell = F.least(F.greatest(F.floor(place / 200), F.lit(0)), F.lit(4))
+    for i in range(5):
+        events.filter(cell == i).orderBy(F.xxhash64("seq")).coalesce(1).write.mode("append").parquet(root)
+        time.sleep(1.1)
+
+    def open_stream():
+        return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+    return open_stream
+
+
+def passed(rows, of):
+    """Rows older than the watermark when the input ends."""
+    newest = of.agg(F.max(F.unix_millis("ts"))).first()[0] - DELAY_DAYS * W.DAY
+    return rows.filter(F.unix_millis("ts") < newest)
+
+
+OPTIONS = {"delay": f"{DELAY_DAYS} days", "ordered": True}
+
+
+def test_shuffled_lookup(shuffled, events):
+    def parts(d):
+        left = d.filter("event_type = 'view'").select("event_id", "ts", "seq", "user_id")
+        right = d.filter("event_type = 'signup'").select("ts", "seq", F.col("user_id").alias("k"), F.col("event_id").alias("s_id"))
+        return left, right
+
+    left, right = parts(shuffled())
+    out = run(S.lookup(left, right, "user_id", "k", ["s_id"], ttl_ms=2 * W.DAY, **OPTIONS))
+    l, r = parts(events)
+    batch = passed(E.lookup(l, r, "user_id", "k", ["s_id"], ttl_ms=2 * W.DAY), events.filter("event_type in ('view', 'signup')"))
+    found = rows(out, "event_id", "s_id", "ts")
+    assert found == rows(batch, "event_id", "s_id", "ts") and len(found) > 50
+
+
+def test_shuffled_pattern_and_sequence(shuffled, events):
+    options = {"keys": ["user_id"], "within_ms": 3 * W.DAY}
+    out = run(S.pattern(shuffled(), steps(), ["event_id", "value"], every=True, **OPTIONS, **options))
+    kinds = events.filter("event_type in ('error', 'purchase')")
+    batch = P.pattern(passed(events, kinds), steps(), ["event_id", "value"], every=True, **options)
+    found = rows(out, "e1.event_id", "e2.event_id")
+    assert found == rows(batch, "e1.event_id", "e2.event_id") and found
+    kind = F.col("event_type")
+    parts = [P.plus(P.step("e1", kind == "error")), P.step("e2", kind == "purchase")]
+    options = {"keys": ["user_id"], "within_ms": 30 * W.DAY}
+    out = run(S.sequence(shuffled(), parts, ["event_id"], **OPTIONS, **options))
+    batch = P.sequence(passed(events, events), parts, ["event_id"], **options)
+    found = rows(out, F.size("e1"), "e2.event_id")
+    assert found == rows(batch, F.size("e1"), "e2.event_id") and found
+
+
+def test_shuffled_changes(shuffled, events):
+    cols = ["event_id", "ts", "seq", "user_id"]
+    out = run(S.window_changes(shuffled().select(*cols), keys=["user_id"], length=3, **OPTIONS))
+    batch = W.length(passed(events, events).select(*cols), 3, keys=["user_id"])
+    assert rows(out, "event_id", "_kind", "_at") == rows(batch, "event_id", "_kind", "_at")
+    out = run(S.window_changes(shuffled().select(*cols), keys=["user_id"], millis=W.DAY, **OPTIONS))
+    kept = passed(events, events).select(*cols)
+    found = rows(out, "event_id", "_kind", "_at")
+    whole = {tuple(r) for r in W.time(kept, W.DAY).select("event_id", "_kind", "_at").collect()}
+    assert len(found) == len(set(found)) and set(found) <= whole
+    assert sum(r[1] == "current" for r in found) == kept.count()
+
+
+def test_shuffled_dwell(shuffled, events):
+    stamped = lambda d: moves(d.withColumn("ts", F.col("ts")))
+    # A quarter of an hour of events is a second there: the delay shrinks with it.
+    out = run(S.dwell(stamped(shuffled()), delay=f"{DELAY_DAYS * 96} seconds", ordered=True))
+    source = stamped(events)
+    newest = source.agg(F.max("timestamp")).first()[0] - DELAY_DAYS * 96
+    batch = R.dwell(source.filter(F.col("timestamp") < newest))
+    cols = ("client_mac", "timestamp", "client_floor_old", "client_floor_new", "client_floor", "wireless_station")
+    found = rows(out, *cols)
+    assert found == rows(batch, *cols) and len(found) > 100

@@ -105,3 +105,31 @@ def stream_rollup_flow(t):
         (F.col("event_id") * 97).alias("bytes"), (F.col("event_id") % 50).alias("pkts"),
     )
     return finished(t, U.flows(rows), "rollup")
+
+
+def _passed(sql: str, kinds: str) -> str:
+    """The rows that the watermark has passed when the input ends: one hour behind the newest."""
+    newest = f"SELECT max(us) // 1000 - 3600000 FROM {EV} WHERE event_type IN ({kinds})"
+    return f"SELECT * FROM ({sql}) WHERE event_id IN (SELECT event_id FROM {EV} WHERE us // 1000 < ({newest}))"
+
+
+@query("stream_enrich_ordered", _passed(ORACLES["jn_enrich"], "'view', 'signup'"))
+def stream_enrich_ordered(t):
+    e = events(t)
+    state = typed(e, "signup").select(
+        "ts", "seq", F.col("user_id").alias("k"), F.col("event_id").alias("s_id"), F.col("value").alias("s_value")
+    )
+    out = S.lookup(typed(e, "view"), state, "user_id", "k", ["s_id", "s_value"], ttl_ms=W.DAY, ordered=True)
+    return finished(t, out.select("event_id", "s_id", "s_value"), "lookup-ordered")
+
+
+@query(
+    "stream_win_length_ordered",
+    f"""WITH e AS (SELECT event_id, user_id, us FROM {EV} WHERE us // 1000 < (SELECT max(us) // 1000 - 3600000 FROM {EV}))
+    SELECT event_id, 'current' AS kind FROM e UNION ALL
+    SELECT event_id, 'expired' FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY us DESC, event_id DESC) > 5""",
+)
+def stream_win_length_ordered(t):
+    rows = events(t).select("event_id", "ts", "seq", "user_id")
+    out = finished(t, S.window_changes(rows, keys=["user_id"], length=5, ordered=True), "length-ordered")
+    return out.select("event_id", F.col("_kind").alias("kind"))

@@ -13,6 +13,9 @@ from tidemark.operators import records as R
 from tidemark.operators.windows import arrivals
 from tidemark.streaming.state import keyed_scan, timed
 
+#: Rows that travel as text keep their microseconds.
+MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def time_batches(
     df: DataFrame, millis: int, aggs: dict[str, Column], group: Sequence[str] = (), *, ts="ts", delay="1 hour"
@@ -70,16 +73,18 @@ def lookup(
     ts="ts",
     seq="seq",
     delay="1 hour",
+    ordered: bool = False,
 ) -> DataFrame:
     """Last-known-value lookup over streams: one keyed state per key with a time to live.
 
-    Rows with a null key find nothing and take no state.
+    Rows with a null key find nothing and take no state. ``ordered`` here and below: rows wait for the watermark and are
+    read in event-time order across micro-batches, see ``keyed_scan``.
     """
     fields, cols = list(fields), list(df.columns)
     row_type = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     left = df.select(
         F.col(key).alias("_key"), F.col(ts).cast("timestamp").alias("_time"), F.col(seq).alias("_s"), F.lit(1).alias("_o"),
-        F.to_json(F.struct(*cols)).alias("_row"), *[F.lit(None).cast(state.schema[f].dataType).alias(f"_k_{f}") for f in fields],
+        F.to_json(F.struct(*cols), MICROS).alias("_row"), *[F.lit(None).cast(state.schema[f].dataType).alias(f"_k_{f}") for f in fields],
     )
     right = state.select(
         F.col(state_key).alias("_key"), F.col(ts).cast("timestamp").alias("_time"), F.col(seq).alias("_s"), F.lit(0).alias("_o"),
@@ -104,8 +109,8 @@ def lookup(
 
         return step
 
-    seen = keyed_scan(merged, ["_key"], ["_time", "_o", "_s"], make, schema, ttl_ms=ttl_ms, millis="_ms")
-    found = seen.withColumn("_r", F.from_json("_row", row_type)).select("_r.*", *fields)
+    seen = keyed_scan(merged, ["_key"], ["_time", "_o", "_s"], make, schema, ttl_ms=ttl_ms, millis="_ms", ordered=ordered)
+    found = seen.withColumn("_r", F.from_json("_row", row_type, MICROS)).select("_r.*", *fields)
     missing = [F.lit(None).cast(state.schema[f].dataType).alias(f) for f in fields]
     return found.unionByName(df.filter(F.col(key).isNull()).select(*cols, *missing))
 
@@ -121,6 +126,7 @@ def pattern(
     ts="ts",
     seq="seq",
     delay="1 hour",
+    ordered: bool = False,
 ) -> DataFrame:
     """Pattern over a keyed stream. It needs a time bound, because without one the
     matches in progress would have to be kept forever."""
@@ -128,31 +134,32 @@ def pattern(
         raise ValueError("a streaming pattern needs a partition key and a time bound (within_ms)")
     again = (0, 0) if every is True else (every or None)
     shape = P._Shape(tuple(P._plain(p) for p in parts), within_ms * 1000, again, False)
-    return _read(df, parts, fields, keys, shape, within_ms if again else None, ts, seq, delay, gaps=True)
+    return _read(df, parts, fields, keys, shape, within_ms if again else None, ts, seq, delay, gaps=True, ordered=ordered)
 
 
 def sequence(
-    df: DataFrame, parts, fields: Sequence[str], *, keys: Sequence[str], within_ms: int, ts="ts", seq="seq", delay="1 hour"
+    df: DataFrame, parts, fields: Sequence[str], *, keys: Sequence[str], within_ms: int, ts="ts", seq="seq", delay="1 hour",
+    ordered: bool = False,
 ) -> DataFrame:
     """Strict sequence over a keyed stream, bounded in time."""
     if not keys:
         raise ValueError("a streaming sequence needs a partition key")
     shape = P._Shape(tuple(P._plain(p) for p in parts), within_ms * 1000, None, True)
-    return _read(df, parts, fields, keys, shape, within_ms, ts, seq, delay, gaps=False)
+    return _read(df, parts, fields, keys, shape, within_ms, ts, seq, delay, gaps=False, ordered=ordered)
 
 
-def _read(df, parts, fields, keys, shape, ttl_ms, ts, seq, delay, *, gaps: bool) -> DataFrame:
+def _read(df, parts, fields, keys, shape, ttl_ms, ts, seq, delay, *, gaps: bool, ordered: bool) -> DataFrame:
     rows = timed(P._flagged(df, parts, ts, seq), ts, delay)
     if gaps:
         rows = rows.filter(P._any_flag(parts))
     schema, make = P._step_function(rows.schema, parts, fields, keys, shape)
     slim = rows.select(*P._slim(rows, parts, fields, keys, keys).columns, *([ts] if ts not in fields else []), "_ms")
-    return keyed_scan(slim, keys, ["_t", "_s"], make, schema, ttl_ms=ttl_ms, millis="_ms")
+    return keyed_scan(slim, keys, ["_t", "_s"], make, schema, ttl_ms=ttl_ms, millis="_ms", ordered=ordered)
 
 
 def window_changes(
     df: DataFrame, *, keys: Sequence[str], length: int | None = None, millis: int | None = None,
-    ts="ts", seq="seq", delay="1 hour",
+    ts="ts", seq="seq", delay="1 hour", ordered: bool = False,
 ) -> DataFrame:
     """Change stream of a keyed length or time window: rows with ``_kind`` and ``_at`` (microseconds).
 
@@ -192,11 +199,13 @@ def window_changes(
         return [(*old, "expired", then + span) for then, old in memory.get("live", [])]
 
     if span is None:
-        return keyed_scan(rows, keys, ["_t", "_s"], make, schema, ttl_ms=None)
-    return keyed_scan(rows, keys, ["_t", "_s"], make, schema, ttl_ms=millis, millis="_ms", flush=flush)
+        return keyed_scan(rows, keys, ["_t", "_s"], make, schema, ttl_ms=None, millis="_ms", ordered=ordered)
+    return keyed_scan(rows, keys, ["_t", "_s"], make, schema, ttl_ms=millis, millis="_ms", flush=flush, ordered=ordered)
 
 
-def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq", delay="1 hour") -> DataFrame:
+def dwell(
+    df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq", delay="1 hour", ordered: bool = False
+) -> DataFrame:
     """Streaming twin of the debounced movement: state is the last report of each client."""
     places = ("client_floor", "client_zone", "client_building", "client_campus")
     every = (*places, "wireless_station")
@@ -214,5 +223,7 @@ def dwell(df: DataFrame, *, key="client_mac", ttl_s: int = 3600, seq="seq", dela
         ]
     )
     make = R.reporter(every, width, with_old=True)
-    before = keyed_scan(rows, [key], ["timestamp", seq], make, schema, ttl_ms=ttl_s * 1000, millis="_ms")
+    before = keyed_scan(
+        rows, [key], ["timestamp", seq], make, schema, ttl_ms=ttl_s * 1000, millis="_ms", ordered=ordered
+    )
     return R.dwell_rows(before, df.columns, ttl_s)
