@@ -63,24 +63,34 @@ def _segments(text: str) -> Iterator[str]:
 
 
 class _Known(dict):
-    """Remembers what ``learn`` gives for a key."""
+    """Remembers what ``learn`` gives for a key, but for keys with ``passing`` in them, which hardly come again. ``age``
+    keeps what was asked for since the last call and one turn longer."""
 
-    def __init__(self, learn):
+    def __init__(self, learn, passing: str = ""):
         super().__init__()
-        self._learn = learn
+        self._learn, self._older, self._passing = learn, {}, passing
 
     def __missing__(self, key):
-        value = self[key] = self._learn(key)
+        if self._passing and self._passing in key:
+            return self._learn(key)
+        value = self._older.get(key)
+        if value is None:
+            value = self._learn(key)
+        self[key] = value
         return value
 
+    def age(self):
+        self._older = dict(self)
+        self.clear()
+
 
 class PieceEncoder:
-    """Ids as little-endian unsigned integers of ``width`` bytes; about ``remembered`` words are kept at most.
+    """Ids as little-endian unsigned integers of ``width`` bytes; about twice ``remembered`` words are kept at most.
 
     With 2 bytes an id over 65535 is an error.
     """
 
-    def __init__(self, path: str, width: int = 4, remembered: int = 700_000):
+    def __init__(self, path: str, width: int = 4, remembered: int = 400_000):
         self._kind = {2: "H", 4: "I"}[width]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -91,7 +101,9 @@ class PieceEncoder:
         self._model = self._tokenizer.model.tokenize
         self._cut = (_SPACED if self._keeps_space else _UNSPACED).findall
         self._pieces = _Known(self._piece)
-        self._words = _Known(self._word)
+        self._words = _Known(self._word, "\n" if self._keeps_space else "")
+        self._firsts = _Known(self._joined)
+        self._line_end = self._direct("\n")
         self._remembered = remembered
 
     def _direct(self, text: str) -> bytes:
@@ -117,7 +129,14 @@ class PieceEncoder:
         return b"".join(map(self._pieces.__getitem__, self._cut(text)))
 
     def _word(self, word: str) -> bytes:
-        """A word without white space at its ends, after one space: often letters, or letters and a sign."""
+        """A word without white space at its ends, after one space: often letters, or letters and a sign.
+
+        Between two words a single line feed is a piece of its own.
+        """
+        if self._keeps_space and "\n" in word and "\n\n" not in word:
+            before, *after = word.split("\n")
+            if before and after[-1]:
+                return self._line_end.join([self._words[before], *map(self._firsts.__getitem__, after)])
         if _PLAIN_WORD(word):
             return self._merged(" " + word if self._keeps_space else word.lower())
         if word[-1] in ".,;:!?" and _PLAIN_WORD(word[:-1]):
@@ -136,9 +155,9 @@ class PieceEncoder:
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
         for text in texts:
-            for known in (self._words, self._pieces):
+            for known in (self._words, self._pieces, self._firsts):
                 if len(known) > self._remembered:
-                    known.clear()
+                    known.age()
             if any(mark in text for mark in self._marks) or _ODD.search(text):
                 yield self._direct(text)
             elif len(text) > _SEGMENT:
