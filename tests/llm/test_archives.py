@@ -81,3 +81,28 @@ def test_broken_files():
 
 def test_identifiers_are_the_same_in_every_run():
     assert archives.record_id(4, b"x" * 20) == archives.record_id(4, b"x" * 20) != archives.record_id(5, b"x" * 20)
+
+
+def test_as_many_warc_files_as_arc_files(shared):
+    pages = shared.createDataFrame([(i, f"http://a.example/{i % 7}", "word " * 300 + str(i % 40), None) for i in range(320)], PAGES)
+    arcs = archives.write_arc(pages.repartition(16))
+    assert arcs.count() == 16
+    warcs = archives.convert(arcs)
+    assert warcs.count() == 16 and warcs.agg({"records": "sum"}).first()[0] == 320
+    read = archives.read_warc(warcs)
+    assert read.rdd.getNumPartitions() == 16 and read.count() == 320
+
+
+def test_revisits_name_their_response(shared):
+    pages = shared.createDataFrame(rows(), PAGES)
+    seen, infos = {}, []
+    for file in archives.convert(archives.write_arc(pages)).collect():
+        with archives.open_stream(file["file"]) as stream:
+            for fields, _ in archives.warc_records(stream):
+                (infos.append(fields) if fields["WARC-Type"] == "warcinfo" else seen.setdefault(fields["WARC-Record-ID"], fields))
+    assert {i["WARC-Date"] for i in infos} == {"1998-01-01T00:00:00Z"}
+    revisits = [f for f in seen.values() if f["WARC-Type"] == "revisit"]
+    assert len(revisits) >= 3
+    for f in revisits:
+        assert f["WARC-Refers-To-Date"] == "1998-01-01T00:00:00Z" and f["WARC-Block-Digest"].startswith("sha1:")
+        assert f["WARC-Refers-To-Target-URI"].startswith("http://")

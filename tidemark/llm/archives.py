@@ -10,7 +10,7 @@ payloads of at least ``least`` bytes the one with the largest key is a response
 others are responses. Equal payloads are found by SHA-256 in a grouping with partial results, so a payload that most
 records share does not meet in one task; payloads never leave their files for that.
 
-Tasks write files under names of their own attempt; only files of committed rows are read again.
+Every file is read, and every WARC file written, by a task of its own. Tasks write files under names of their own attempt; only files of committed rows are read again.
 
 Defined cases: a null payload is empty; a null or empty URL is about:blank, white space and controls in a URL are percent
 encoded; a null key is written without a key and sorts below all others; records that repeat key and payload are one
@@ -25,10 +25,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from datetime import UTC, datetime
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import attempt_file, create, open_stream, saved
@@ -42,6 +44,8 @@ ARC_FIELDS = {
 KEY_HEADER = b"X-Archive-Key"
 LEAST = 1000
 _CHUNK = 1 << 16
+#: Rows about records that a task hands on at once.
+ROWS_AT_ONCE = 10_000
 
 
 # Streams of gzip members
@@ -228,31 +232,49 @@ def _key_of(fields: dict[bytes, bytes]) -> int | None:
     return int(fields[KEY_HEADER]) if KEY_HEADER in fields else None
 
 
-def describe_arc(files: DataFrame) -> DataFrame:
-    """One row per ARC record: file, nr, key, payload_bytes, sha256."""
+def _one_task_each(files: DataFrame) -> tuple[DataFrame, int]:
+    """(file, file_nr) with a task for every file, and their number. The list, one short row a file, is ordered once."""
+    listed = saved(
+        files.select("file").distinct().select("file", (F.row_number().over(Win.orderBy("file")) - 1).alias("file_nr")), "file-list"
+    )
+    count = listed.count()
+    return listed.repartitionById(max(count, 1), F.col("file_nr")), count
+
+
+def _in_parts(rows: Iterator[tuple], kinds: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded size."""
+    while part := list(islice(rows, ROWS_AT_ONCE)):
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*part, strict=True), kinds.values(), strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+
+def describe_arc(files: DataFrame) -> tuple[DataFrame, int]:
+    """One row per ARC record: file, file_nr, nr, key, payload_bytes, sha256, uri, date; and the number of files."""
+    kinds = {
+        "file": pa.string(), "file_nr": pa.int32(), "nr": pa.int64(), "key": pa.int64(), "payload_bytes": pa.int64(),
+        "sha256": pa.binary(), "uri": pa.string(), "date": pa.string(),
+    }
+
+    def records(file: str, file_nr: int) -> Iterator[tuple]:
+        with open_stream(file) as stream:
+            for nr, (header, block) in enumerate(read_arc(stream)):
+                _, payload, fields = split_http(block)
+                uri = header["URL"].decode("utf-8", "replace")
+                yield file, file_nr, nr, _key_of(fields), len(payload), hashlib.sha256(payload).digest(), uri, warc_date(header["Archive-date"])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file in batch.column(0).to_pylist():
-                rows = []
-                with open_stream(file) as stream:
-                    for nr, (_, block) in enumerate(read_arc(stream)):
-                        _, payload, fields = split_http(block)
-                        rows.append((file, nr, _key_of(fields), len(payload), hashlib.sha256(payload).digest()))
-                if rows:
-                    kinds = pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
-                        names=["file", "nr", "key", "payload_bytes", "sha256"],
-                    )
-
-    one_each = files.select("file").repartition("file")
-    return one_each.mapInArrow(describe, "file string, nr long, key long, payload_bytes long, sha256 binary")
+            for file, file_nr in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from _in_parts(records(file, file_nr), kinds)
+
+    one_each, count = _one_task_each(files)
+    schema = "file string, file_nr int, nr long, key long, payload_bytes long, sha256 binary, uri string, date string"
+    return one_each.mapInArrow(describe, schema), count
 
 
 def decide(records: DataFrame, least: int = LEAST) -> DataFrame:
-    """``records`` with ``revisits`` (key of the response, for revisits) and ``is_revisit``."""
-    mine = F.struct("key", "file", "nr")
+    """``records`` with ``revisits`` (key, uri and date of the response, for revisits) and ``is_revisit``."""
+    mine = F.struct("key", "file", "nr", "uri", "date")
     top = (
         records.filter(F.col("payload_bytes") >= least)
         .groupBy("sha256")
@@ -262,13 +284,15 @@ def decide(records: DataFrame, least: int = LEAST) -> DataFrame:
     )
     joined = records.join(top, F.col("sha256") == F.col("_sha"), "left")
     other = F.col("top").isNotNull() & ~((F.col("top.file") == F.col("file")) & (F.col("top.nr") == F.col("nr")))
-    return joined.select("file", "nr", other.alias("is_revisit"), F.when(other, F.col("top.key")).alias("revisits"))
+    response = F.struct(F.col("top.key").alias("key"), F.col("top.uri").alias("uri"), F.col("top.date").alias("date"))
+    return joined.select("file", "file_nr", "nr", other.alias("is_revisit"), F.when(other, response).alias("revisits"))
 
 
 def convert(files: DataFrame, least: int = LEAST) -> DataFrame:
     """WARC files of the ARC files; one row per WARC file: file, records."""
     folder = new_folder(files.sparkSession, "warc")
-    records = saved(describe_arc(files), "arc-records")
+    described, count_of_files = describe_arc(files)
+    records = saved(described, "arc-records")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -276,20 +300,6 @@ def convert(files: DataFrame, least: int = LEAST) -> DataFrame:
         name, source, arc, at = None, None, None, -1
         for batch in batches:
             for row in batch.to_pylist():
-                if out is None:
-                    out = create(target)
-                    members = MemberWriter(out)
-                    members.write(
-                        *_warc_record(
-                            [
-                                ("WARC-Type", "warcinfo"),
-                                ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
-                                ("WARC-Date", datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")),
-                                ("Content-Type", "application/warc-fields"),
-                            ],
-                            b"software: tidemark\r\nformat: WARC File Format 1.1\r\n",
-                        )
-                    )
                 if row["file"] != name:
                     if source is not None:
                         source.close()
@@ -298,6 +308,10 @@ def convert(files: DataFrame, least: int = LEAST) -> DataFrame:
                 while at < row["nr"]:
                     header, block = next(arc)
                     at += 1
+                if out is None:
+                    out = create(target)
+                    members = MemberWriter(out)
+                    members.write(*_warcinfo(part, warc_date(header["Archive-date"])))
                 members.write(*_converted(header, block, row["is_revisit"], row["revisits"]))
                 count += 1
         if source is not None:
@@ -306,11 +320,24 @@ def convert(files: DataFrame, least: int = LEAST) -> DataFrame:
             out.close()
             yield pa.RecordBatch.from_pydict({"file": [target], "records": pa.array([count], pa.int64())})
 
-    by_file = decide(records, least).repartition("file").sortWithinPartitions("file", "nr")
+    by_file = decide(records, least).repartitionById(max(count_of_files, 1), F.col("file_nr")).sortWithinPartitions("file", "nr")
     return saved(by_file.mapInArrow(write, "file string, records long"), "warc-files")
 
 
-def _converted(header: dict[str, bytes], block: bytes, is_revisit: bool, revisits: int | None) -> tuple[bytes, bytes, bytes]:
+def _warcinfo(part: int, date: str) -> tuple[bytes, bytes, bytes]:
+    """The first record of a file: of the date of its first page, so the same in every run."""
+    return _warc_record(
+        [
+            ("WARC-Type", "warcinfo"),
+            ("WARC-Record-ID", f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(b'warcinfo/%d' % part).digest()[:16], version=5)}>"),
+            ("WARC-Date", date),
+            ("Content-Type", "application/warc-fields"),
+        ],
+        b"software: tidemark\r\nformat: WARC File Format 1.1\r\n",
+    )
+
+
+def _converted(header: dict[str, bytes], block: bytes, is_revisit: bool, revisits: dict | None) -> tuple[bytes, bytes, bytes]:
     head, payload, fields = split_http(block)
     sha1 = hashlib.sha1(payload).digest()
     stored = [
@@ -324,10 +351,14 @@ def _converted(header: dict[str, bytes], block: bytes, is_revisit: bool, revisit
     ]
     if is_revisit:
         stored.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
-        stored.append(("WARC-Refers-To", record_id(revisits, sha1)))
-        if revisits is not None:
-            stored.append(("X-Refers-To-Key", str(revisits)))
-    return _warc_record(stored, head if is_revisit else block)
+        stored.append(("WARC-Refers-To", record_id(revisits["key"], sha1)))
+        stored.append(("WARC-Refers-To-Target-URI", revisits["uri"]))
+        stored.append(("WARC-Refers-To-Date", revisits["date"]))
+        if revisits["key"] is not None:
+            stored.append(("X-Refers-To-Key", str(revisits["key"])))
+    kept = head if is_revisit else block
+    stored.append(("WARC-Block-Digest", "sha1:" + base64.b32encode(hashlib.sha1(kept).digest()).decode()))
+    return _warc_record(stored, kept)
 
 
 def warc_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -351,36 +382,36 @@ def read_warc(files: DataFrame) -> DataFrame:
     Payloads are hashed again and compared with their record's digest.
     """
 
+    kinds = {
+        "page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(),
+        "refers_to": pa.int64(), "url": pa.string(), "record_id": pa.string(),
+    }
+
+    def records(file: str) -> Iterator[tuple]:
+        with open_stream(file) as stream:
+            for fields, block in warc_records(stream):
+                kind = fields["WARC-Type"]
+                if kind == "warcinfo":
+                    continue
+                if hashlib.sha1(block).digest() != base64.b32decode(fields["WARC-Block-Digest"].removeprefix("sha1:")):
+                    raise ValueError(f"{fields['WARC-Record-ID']}: the block is not that of its digest")
+                _, payload, http = split_http(block)
+                digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:"))
+                size = len(payload)
+                if kind == "revisit":
+                    size = int(http[b"Content-Length"])
+                elif hashlib.sha1(payload).digest() != digest:
+                    raise ValueError(f"{fields['WARC-Record-ID']}: the payload is not that of its digest")
+                refers = fields.get("X-Refers-To-Key")
+                url = fields["WARC-Target-URI"].encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+                yield _key_of(http), size, digest.hex(), kind, None if refers is None else int(refers), url, fields["WARC-Record-ID"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.column(0).to_pylist():
-                rows = []
-                with open_stream(file) as stream:
-                    for fields, block in warc_records(stream):
-                        kind = fields["WARC-Type"]
-                        if kind == "warcinfo":
-                            continue
-                        _, payload, http = split_http(block)
-                        digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:"))
-                        size = len(payload)
-                        if kind == "revisit":
-                            size = int(http[b"Content-Length"])
-                        elif hashlib.sha1(payload).digest() != digest:
-                            raise ValueError(f"{fields['WARC-Record-ID']}: the payload is not that of its digest")
-                        refers = fields.get("X-Refers-To-Key")
-                        rows.append(
-                            (_key_of(http), size, digest.hex(), kind, None if refers is None else int(refers),
-                             fields["WARC-Target-URI"].encode("utf-8", "surrogateescape").decode("utf-8", "replace"),
-                             fields["WARC-Record-ID"])
-                        )
-                if rows:
-                    kinds = pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
-                        names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id"],
-                    )
-
-    return files.select("file").repartition("file").mapInArrow(
+                yield from _in_parts(records(file), kinds)
+
+    return _one_task_each(files)[0].mapInArrow(
         read,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_id string",
     )
