@@ -152,3 +152,14 @@ def test_components(shared):
         parent[high] = low
     assert found == {n: root(n) for n in parent if any(n in e and e[0] != e[1] for e in edges)}
     assert components(shared.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_top_k_keeps_rows_that_repeat_an_id(shared):
+    rows = [(0, [1.0, 0.0]), (1, [0.9, 0.1]), (1, [0.5, 0.5]), (2, [0.1, 0.1])]
+    found = top_k.top_k(shared.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in found] == [(1, 1, 921 * 1024), (2, 1, 512 * 1024), (3, 2, 102 * 1024)]
+    twice = [(100, [1.0]), (100, [2.0]), (3, [1.0])]
+    found = top_k.top_k(shared.createDataFrame(twice, "vec_id long, embedding array<double>"), factor=1).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == [
+        (100, 1, 3, 2), (100, 1, 100, 2), (100, 2, 3, 1), (100, 2, 100, 2)
+    ]
