@@ -108,3 +108,15 @@ def test_whole_run_and_no_rows(shared, folder, tmp_path):
     shared.createDataFrame([], DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
     shared.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.pipeline(shared, str(tmp_path)).count() == 0
+
+
+def test_columns_named_like_results_pass_through(shared):
+    text = " ".join(f"word{i}" for i in range(40))
+    docs = shared.createDataFrame(
+        [(1, text, "en", "a", 1, "x", "y", "z"), (2, text + " end", "en", "a", 1, "u", "v", "w")],
+        "doc_id long, text string, lang string, source string, n_chars long, n_removed string, n_bytes string, kept_text string",
+    )
+    out = {r["doc_id"]: r for r in corpus_pipeline.cut_passages(shared, docs, "").collect()}
+    assert list(out[1].asDict()) == docs.columns
+    assert out[1]["text"] == text and out[2]["text"] == " end"
+    assert (out[2]["n_removed"], out[2]["n_bytes"], out[2]["kept_text"]) == ("u", "v", "w")

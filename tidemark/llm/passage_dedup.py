@@ -483,8 +483,9 @@ def remove_passages(
 ) -> DataFrame:
     """All columns of ``documents`` and n_bytes, n_removed, n_spans and the remaining bytes, as ``kept_bytes`` or ``kept_text``.
 
-    As text, the rest of a character that was cut apart is left out.
+    As text, the rest of a character that was cut apart is left out. Columns of these names in ``documents`` give way.
     """
+    documents = documents.drop(*[c for c in ("n_bytes", "n_removed", "n_spans", "kept_text" if as_text else "kept_bytes") if c not in (id_column, text)])
     doc = documents[id_column].cast("long")
     keyed = documents.select("*", doc.alias("__doc"), _variant(text_column(documents, text)).alias("__variant"))
     ranges = repeated_ranges(keyed, text, crowded)
