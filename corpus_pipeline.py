@@ -54,12 +54,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that documents of smaller ids have."""
-    left = passage_dedup.remove_passages(docs, as_text=True)
+    # Columns that are called like those of the operator stand aside meanwhile.
+    aside = {c: f"__aside_{i}" for i, c in enumerate(docs.columns) if c in ("n_bytes", "n_removed", "n_spans", "kept_text")}
+    left = passage_dedup.remove_passages(docs.withColumnsRenamed(aside), as_text=True)
     changed = F.col("n_removed") > 0
     out = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumns(out).select(*docs.columns)
+    changed_rows = left.withColumns(out)
+    return changed_rows.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
