@@ -152,11 +152,21 @@ class _Miner:
             prefix, following, keep = row[:-1], self._extend(row[1:], frequent[row[1:]]), frequent[row[:-1]]
             spell = names.__getitem__
         else:
-            pairs, at = np.unique(row[:-1] << 32 | row[1:], return_inverse=True)
-            known = self._known_pairs(pairs)[at]
+            frequent = self._words.frequent()[row]
+            both = frequent[:-1] & frequent[1:]
+            pairs, found = np.unique((row[:-1] << 32 | row[1:])[both], return_inverse=True)
+            at = np.zeros(len(both), np.int64)
+            at[both] = found
+            known = both.copy()
+            known[both] = self._known_pairs(pairs)[found]
             prefix, following, keep = at[:-1], self._extend(row[2:], known[1:]), known[:-1]
             spell = lambda p: names[pairs[p] >> 32] + b" " + names[pairs[p] & 0xFFFFFFFF]
-        entries, counts = np.unique(prefix[keep] << 32 | following[keep], return_counts=True)
+        if self._level == 0:  # numbers are small and dense
+            seen = np.bincount(following[keep])
+            entries = np.flatnonzero(seen)
+            counts = seen[entries]
+        else:
+            entries, counts = np.unique(prefix[keep] << 32 | following[keep], return_counts=True)
         if not len(entries):
             return
         prefix, following = entries >> 32, entries & 0xFFFFFFFF
@@ -184,13 +194,10 @@ class _Miner:
         return np.where(fits | (following == _END), following, _REST)
 
     def _known_pairs(self, pairs: np.ndarray) -> np.ndarray:
-        frequent, crcs, names = self._words.frequent(), self._words.crcs, self._words.names
-        a, b = pairs >> 32, pairs & 0xFFFFFFFF
-        known = frequent[a] & frequent[b]
-        asked = np.flatnonzero(known)
-        found = [zlib.crc32(names[y], zlib.crc32(b" ", crcs[x])) for x, y in zip(a[asked].tolist(), b[asked].tolist())]
-        known[asked] = self._pairs.has(np.array(found, np.int64))
-        return known
+        crcs, names = self._words.crcs, self._words.names
+        both = zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist())
+        found = [zlib.crc32(names[y], zlib.crc32(b" ", crcs[x])) for x, y in both]
+        return self._pairs.has(np.array(found, np.int64))
 
 
 def _stripes(level: int, words: Bits | None, pairs: Bits | None, hot: dict[str, frozenset[str]]):
