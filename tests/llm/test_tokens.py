@@ -90,6 +90,49 @@ def test_perfect_hash_round_trip(tmp_path):
         token_index.PerfectHash.build(np.repeat(hashes[:1], 2))
 
 
+class _Counted:
+    """A file that counts the bytes read."""
+
+    def __init__(self, raw):
+        self.raw, self.read_bytes = raw, 0
+
+    def read_at(self, n, at):
+        self.read_bytes += n
+        return self.raw[at : at + n]
+
+
+@pytest.mark.parametrize("count", [1, 700, 60_000])
+def test_one_key_reads_as_much_of_any_bucket(tmp_path, count):
+    hashes, marks = token_index.key_hashes([f"{i}/0" for i in range(count)])
+    table = token_index.PerfectHash.build(hashes)
+    slots = np.zeros(count, token_index._SLOT)
+    slots["fingerprint"][table.slots(hashes)] = marks
+    slots["offset"][table.slots(hashes)] = np.arange(count)
+    with open(tmp_path / "h", "wb") as out:
+        table.write(out)
+        out.write(slots.tobytes())
+    raw = (tmp_path / "h").read_bytes()
+    read = []
+    for i in range(0, count, max(1, count // 500)):
+        data = _Counted(raw)
+        assert token_index.read_slot(data, int(hashes[i]), int(marks[i]))["offset"] == i
+        read.append(data.read_bytes)
+    assert np.mean(read) < 520 + 24 + 3 * 72
+    other, mark = token_index.key_hashes([f"{i}/1" for i in range(300)])
+    assert all(token_index.read_slot(_Counted(raw), int(h), int(m)) is None for h, m in zip(other, mark, strict=True))
+
+
+def test_few_and_many_keys_of_a_bucket_find_the_same(shared):
+    rows = [(i, 0, i % 7, f"f{i % 7}", 3 * i, i % 11) for i in range(3000)]
+    manifest = shared.createDataFrame(rows, "doc_id long, copy long, shard long, file string, offset long, n_tokens long")
+    index = token_index.build_index(manifest, bucket_keys=5000)
+    assert index.count() == 1
+    every = {tuple(r) for r in token_index.look_up(manifest.select("doc_id", "copy"), index).collect()}
+    assert every == {(d, c, s, o, n) for d, c, s, _, o, n in rows}
+    few = token_index.look_up(manifest.filter("doc_id % 300 = 7").select("doc_id", "copy"), index).collect()
+    assert {tuple(r) for r in few} == {r for r in every if r[0] % 300 == 7} and len(few) == 10
+
+
 @pytest.mark.parametrize("width", [2, 4])
 def test_token_index_reads_back_every_document(documents, no_documents, width):
     manifest = token_index.write_shards(documents.repartition(3), width=width)

@@ -4,8 +4,9 @@ Writing: documents are dealt by ranges of (doc_id, row) and written in ascending
 raw little-endian ids and nothing else, of 2 bytes where the vocabulary allows and of 4 elsewhere. Index: keys are dealt to
 buckets of bounded size; each bucket's file holds a minimal perfect hash of its keys (levels of bits, an entry stays at
 the first level where no other key has its place, its rank among the set bits is its slot) and per slot a fingerprint,
-the shard, the place and the number of ids. Reading a key opens one bucket, finds one slot, compares the fingerprint and
-reads one stretch of one shard, whatever the size of the corpus.
+the shard, the place and the number of ids. Bits lie in blocks that begin with the rank so far, so reading one key takes
+the header of its bucket, a block per level tried (1.8 on average), one slot and one stretch of one shard, whatever the
+size of the bucket or of the corpus. Where a bucket is asked for many keys at once it is read whole.
 
 Lost tasks write again under another name; only files named by committed rows are read.
 
@@ -33,6 +34,13 @@ from tidemark.session import new_folder
 TOKENIZER = "byte_bpe_50k.json"
 #: Keys of an index bucket, on average.
 BUCKET_KEYS = 50_000
+#: A bucket is read whole where more than one of so many of its keys is asked for.
+SINGLE_SHARE = 64
+_LEVELS = 64
+_HEADER = 8 * (1 + _LEVELS)
+#: Bits of a block, and its bytes with the rank before it.
+_BLOCK_BITS = 512
+_BLOCK = 8 + _BLOCK_BITS // 8
 _EXTRA = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,16 +67,17 @@ def write_shards(
         for batch in batches:
             if out is None and batch.num_rows:
                 out = create(file)
-            docs, places, offsets, counts = batch.column(0).to_pylist(), [], [], []
+            docs, places, sizes = batch.column(0).to_pylist(), [], []
             for doc, raw in zip(docs, encode(value.as_py() for value in batch.column(1)), strict=True):
                 raw += end
                 out.write(raw)
                 place = place + 1 if doc == last else 0
                 last = doc
                 places.append(place)
-                offsets.append(at)
-                counts.append(len(raw) // width)
-                at += len(raw) // width
+                sizes.append(len(raw))
+            counts = np.array(sizes, np.int64) // width
+            offsets = at + np.cumsum(counts) - counts
+            at += int(counts.sum())
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(docs, pa.int64()),
@@ -154,7 +163,7 @@ class PerfectHash:
     def build(cls, hashes: np.ndarray, load: float = 1.7) -> PerfectHash:
         levels, left = [], hashes
         while len(left):
-            if len(levels) == 64:
+            if len(levels) == _LEVELS:
                 raise ValueError("two keys have the same hash")
             size = max(64, int(len(left) * load))
             places = (_mixed(left, len(levels)) % np.uint64(size)).astype(np.int64)
@@ -174,22 +183,52 @@ class PerfectHash:
         return found
 
     def write(self, out) -> None:
-        out.write(np.asarray([len(self.levels), *map(len, self.levels)], "<i8").tobytes())
-        for bits in self.levels:
-            out.write(np.packbits(bits).tobytes())
+        """A header of fixed size (the number of levels and their bits), then the blocks of every level."""
+        header = np.zeros(1 + _LEVELS, "<i8")
+        header[: 1 + len(self.levels)] = [len(self.levels), *map(len, self.levels)]
+        out.write(header.tobytes())
+        for bits, ranks in zip(self.levels, self._ranks, strict=True):
+            blocks = np.zeros((-(-len(bits) // _BLOCK_BITS), _BLOCK), np.uint8)
+            packed = np.packbits(np.pad(bits, (0, -len(bits) % _BLOCK_BITS)))
+            blocks[:, :8] = ranks[::_BLOCK_BITS].astype("<i8").view(np.uint8).reshape(-1, 8)
+            blocks[:, 8:] = packed.reshape(len(blocks), -1)
+            out.write(blocks.tobytes())
 
     @classmethod
     def read(cls, data) -> PerfectHash:
         levels = []
-        count = int(np.frombuffer(data.read(8), "<i8")[0])
-        for size in np.frombuffer(data.read(8 * count), "<i8").tolist():
-            levels.append(np.unpackbits(np.frombuffer(data.read((size + 7) // 8), np.uint8))[:size])
+        for size in _level_sizes(data.read(_HEADER)):
+            blocks = np.frombuffer(data.read(-(-size // _BLOCK_BITS) * _BLOCK), np.uint8).reshape(-1, _BLOCK)
+            levels.append(np.unpackbits(blocks[:, 8:].reshape(-1))[:size])
         return cls(levels)
 
 
+def _level_sizes(header: bytes) -> list[int]:
+    count, *sizes = np.frombuffer(header, "<i8").tolist()
+    return sizes[:count]
+
+
 _SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8")])
 
 
+def read_slot(data, hash_: int, mark: int) -> np.void | None:
+    """The slot of one key from an open bucket file, or None; reads a block per level tried and the slot."""
+    sizes = _level_sizes(data.read_at(_HEADER, 0))
+    blocks = [-(-size // _BLOCK_BITS) for size in sizes]
+    slots_at = _HEADER + sum(blocks) * _BLOCK
+    start, one = _HEADER, np.array([hash_], np.uint64)
+    for level, size in enumerate(sizes):
+        block, bit = divmod(int(_mixed(one, level)[0] % np.uint64(size)), _BLOCK_BITS)
+        raw = data.read_at(_BLOCK, start + block * _BLOCK)
+        bits = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8))
+        if bits[bit]:
+            rank = int(np.frombuffer(raw, "<i8", 1)[0]) + int(bits[:bit].sum())
+            slot = np.frombuffer(data.read_at(_SLOT.itemsize, slots_at + rank * _SLOT.itemsize), _SLOT)[0]
+            return slot if slot["fingerprint"] == mark else None
+        start += blocks[level] * _BLOCK
+    return None
+
+
 def _names(frame: pd.DataFrame) -> list[str]:
     """The text that stands for a key: its id (nothing for null) and its copy."""
     ids = ["" if pd.isna(value) else str(int(value)) for value in frame["doc_id"]]
@@ -233,12 +272,18 @@ def look_up(keys: DataFrame, index: DataFrame) -> DataFrame:
     def find(frame: pd.DataFrame) -> pd.DataFrame:
         hashes, marks = key_hashes(_names(frame))
         with open_random(frame["index_file"].iloc[0]) as data:
-            table = PerfectHash.read(data)
-            slots = np.frombuffer(data.read(table.size * _SLOT.itemsize), _SLOT)
-        at = table.slots(hashes)
-        known = at >= 0
-        known[known] = slots["fingerprint"][at[known]] == marks[known]
-        hit = slots[at[known]]
+            keys_there = (data.size() - _HEADER) // _SLOT.itemsize
+            if len(frame) * SINGLE_SHARE <= keys_there:
+                slots = [read_slot(data, h, m) for h, m in zip(hashes.tolist(), marks.tolist(), strict=True)]
+                known = np.array([slot is not None for slot in slots], bool)
+                hit = np.array([slot for slot in slots if slot is not None], _SLOT)
+            else:
+                table = PerfectHash.read(data)
+                slots = np.frombuffer(data.read(table.size * _SLOT.itemsize), _SLOT)
+                at = table.slots(hashes)
+                known = at >= 0
+                known[known] = slots["fingerprint"][at[known]] == marks[known]
+                hit = slots[at[known]]
         out = frame.loc[known, ["doc_id", "copy"]].copy()
         for name in ("shard", "offset", "n_tokens"):
             out[name] = hit[name].astype("int64")
