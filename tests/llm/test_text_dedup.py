@@ -13,7 +13,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
 
 
-def expected_components(rows):
+def expected_components(rows, percent=85):
     sets = [(r[0], shingles(r[1])) for r in rows if r[0] is not None]
     parent = {i: i for i, _ in sets}
 
@@ -24,7 +24,7 @@ def expected_components(rows):
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 low, high = sorted((root(i), root(j)))
                 parent[high] = low
     return sorted((i, len(s), root(i), root(i) == i) for i, s in sets)
@@ -53,14 +53,20 @@ def near_rows():
     return [(i * 3 + 20, t, "en", "a", 1) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("block", [256, 4])
-def test_components_against_brute_force(shared, monkeypatch, block):
+def test_trees_follow_the_limit():
+    assert [text_dedup.trees(p) for p in (100, 99, 85, 80)] == [3, 4, 16, 22]
+    for percent in (50, 70, 80, 85, 95):
+        assert (1 - (percent / 100) ** 4) ** text_dedup.trees(percent) <= 1e-5
+
+
+@pytest.mark.parametrize(("block", "percent"), [(256, 85), (4, 85), (256, 80), (256, 60)])
+def test_components_against_brute_force(shared, monkeypatch, block, percent):
     monkeypatch.setattr(text_dedup, "BLOCK_ROWS", block)
     rows = near_rows() + document_rows()
-    found = text_dedup.near_duplicates(shared.createDataFrame(rows, DOCUMENTS).withColumnRenamed("lang", "node")).collect()
+    found = text_dedup.near_duplicates(shared.createDataFrame(rows, DOCUMENTS).withColumnRenamed("lang", "node"), percent=percent).collect()
     assert len(found) == len(rows)
     mine = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found if r["doc_id"] is not None)
-    assert mine == expected_components(rows)
+    assert mine == expected_components(rows, percent)
     assert all(r["kept"] and r["component_id"] is None for r in found if r["doc_id"] is None)
 
 

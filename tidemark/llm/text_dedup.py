@@ -3,11 +3,11 @@
 A document is the set of its distinct shingles of five words. Two documents are linked where the Jaccard similarity of their
 sets is at least ``percent`` of a hundred; components of links are the groups of near-duplicates.
 
-1. Every document gets a MinHash signature of ``TREES * DEPTH`` values. Documents with equal sets are one class; only one
+1. Every document gets a MinHash signature of ``DEPTH`` values for each tree. Documents with equal sets are one class; only one
    per class goes on, however many copies there are.
 2. A tree of the forest is an order of the signature: its values from another start. Classes that agree in the first
-   ``DEPTH`` values of a tree share a region there; two sets of similarity s meet in some tree with probability
-   1 - (1 - s^4)^16, which is 0.99999 at 0.85.
+   ``DEPTH`` values of a tree share a region there; two sets of similarity s meet in none of n trees with probability
+   (1 - s^4)^n. There are as many trees as bring that to ``MISS`` at the limit: 16 at 0.85, 22 at 0.80.
 3. In the sorted order of each tree a class has its neighbours with the longest common prefix next to it. Over all trees
    it keeps the one with the longest, so the depth at which it looks follows the density of its region. It is compared
    with that neighbour and with the first document of each of its regions.
@@ -26,7 +26,9 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -38,16 +40,28 @@ from tidemark.llm.components import components, joined
 from tidemark.llm.storage import saved, text_column
 
 WORDS = 5
-TREES = 16
 DEPTH = 4
+#: Probability that two sets at the limit share no region, at most.
+MISS = 1e-5
 #: Values of a tree's order by which neighbours are sorted.
 SORTED = 12
 BLOCK_ROWS = 256
 _FIXED = np.random.default_rng(17)
 _OF_PLACE = _FIXED.integers(1 << 62, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OF_COUNT = _FIXED.integers(1 << 63, size=WORDS, dtype=np.uint64)
-_FACTORS = _FIXED.integers(1 << 62, size=TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TERMS = _FIXED.integers(1 << 63, size=TREES * DEPTH, dtype=np.uint64)
+
+
+def trees(percent: int) -> int:
+    """Trees of the forest for a limit; three at least, so that the values of an order are different ones."""
+    met = (percent / 100) ** DEPTH
+    return 3 if met >= 1 else max(3, math.ceil(math.log(MISS) / math.log1p(-met)))
+
+
+@lru_cache
+def _functions(values: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and terms of the hash functions, one for each value of a signature."""
+    fixed = np.random.default_rng(18).integers(1 << 63, size=(values, 2), dtype=np.uint64)
+    return fixed[:, 0] | np.uint64(1), fixed[:, 1]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -86,16 +100,17 @@ def shingle_set(text: str) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, values: int) -> np.ndarray:
     """The smallest of each of the hash functions over the set."""
-    low = np.full(len(_FACTORS), 0xFFFFFFFF, np.uint32)
+    factors, terms = _functions(values)
+    low = np.full(values, 0xFFFFFFFF, np.uint32)
     for start in range(0, len(shingles), 2048):
-        part = shingles[start : start + 2048, None] * _FACTORS + _TERMS
+        part = shingles[start : start + 2048, None] * factors + terms
         np.minimum(low, (part >> np.uint64(32)).astype(np.uint32).min(0), out=low)
     return low
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], values: int) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
@@ -104,7 +119,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = shingle_set(text.as_py())
             sizes.append(len(found))
             nodes.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-            signatures.append(signature(found).tobytes() if len(found) else None)
+            signatures.append(signature(found, values).tobytes() if len(found) else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())],
             names=["doc_id", "text_key", "n_shingles", "node", "signature"],
@@ -113,7 +128,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _orders(signatures: np.ndarray) -> np.ndarray:
     """(row, tree, SORTED) values: the signature from another start in each tree."""
-    places = (np.arange(TREES)[:, None] * DEPTH + np.arange(SORTED)) % signatures.shape[1]
+    values = signatures.shape[1]
+    places = (np.arange(values // DEPTH)[:, None] * DEPTH + np.arange(SORTED)) % values
     return signatures[:, places]
 
 
@@ -121,15 +137,18 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per class and tree."""
     with np.errstate(over="ignore"):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             raw = b"".join(batch.column(2).to_pylist())
-            orders = _orders(np.frombuffer(raw, np.uint32).reshape(batch.num_rows, TREES * DEPTH))
+            orders = _orders(np.frombuffer(raw, np.uint32).reshape(batch.num_rows, -1))
+            count = orders.shape[1]
             region = np.zeros(orders.shape[:2], np.uint64)
             for depth in range(DEPTH):
                 region = mixed(region * np.uint64(0x9E3779B97F4A7C15) + orders[:, :, depth].astype(np.uint64))
-            at = np.repeat(np.arange(batch.num_rows), TREES)
+            at = np.repeat(np.arange(batch.num_rows), count)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.tile(np.arange(TREES, dtype=np.int32), batch.num_rows)),
+                    pa.array(np.tile(np.arange(count, dtype=np.int32), batch.num_rows)),
                     pa.array(region.ravel().astype(np.int64)),
                     batch.column(0).take(pa.array(at)),
                     batch.column(1).take(pa.array(at)),
@@ -160,7 +179,7 @@ def _sorted_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Add the order bytes of the row's tree."""
     for batch in batches:
         orders = [
-            _orders(np.frombuffer(s, np.uint32)[None])[0, tree].astype(">u4").tobytes()
+            np.take(np.frombuffer(s, np.uint32), tree * DEPTH + np.arange(SORTED), mode="wrap").astype(">u4").tobytes()
             for tree, s in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)
         ]
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(orders, pa.binary())], names=["tree", "region", "node", "order"])
@@ -203,8 +222,13 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str =
     """
     rows = documents.select(documents[id_column].cast("long").alias("doc_id"), text_column(documents, text).alias("text"))
     keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    values = trees(percent) * DEPTH
+
+    def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _features(batches, values)
+
     features = saved(
-        keyed.mapInArrow(_features, "doc_id long, text_key long, n_shingles long, node binary, signature binary"), "minhash"
+        keyed.mapInArrow(features_of, "doc_id long, text_key long, n_shingles long, node binary, signature binary"), "minhash"
     )
     usable = features.filter("node is not null and doc_id is not null")
     classes = saved(
