@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF
 from tests.llm.conftest import words
 
-from tidemark.llm import catalog, quality, toxicity
+from tidemark.llm import catalog, labelled, quality, toxicity
 
 
 
@@ -65,6 +65,34 @@ def test_labels_outside_the_condition_are_not_learned(shared):
     assert np.allclose(one, other)
 
 
+def test_an_id_with_many_texts_is_one_row_of_the_sample(shared):
+    docs = shared.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = shared.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    rows, counts = labelled.sample(docs, labels, "quality", every_row(), 10)
+    assert sorted(r["doc_id"] for r in rows.collect()) == [1, 2] and counts == {0: 1, 1: 1}
+
+
+def test_network_against_loops():
+    rng = np.random.default_rng(1)
+    model = toxicity.ToxicityModel(places=np.arange(9))
+    model.embeddings = rng.normal(size=(10, toxicity.DIM)).astype(np.float32)
+    model.embeddings[0] = 0
+    model.filters = [rng.normal(size=f.shape).astype(np.float32) for f in model.filters]
+    model.bias = [rng.normal(size=b.shape).astype(np.float32) for b in model.bias]
+    model.out = rng.normal(size=model.out.shape).astype(np.float32)
+    texts = [rng.integers(0, 10, n) for n in (7, 0, 1, 2, 40)]
+    for text, z in zip(texts, model.logits(texts), strict=True):
+        padded, answers = [*text.tolist(), *[0] * 4], []
+        for filters, bias in zip(model.filters, model.bias, strict=True):
+            for f in range(toxicity.FILTERS):
+                seen = [
+                    sum(float(model.embeddings[padded[at + k]] @ filters[k][:, f]) for k in range(len(filters))) + bias[f]
+                    for at in range(max(1, len(text)))
+                ]
+                answers.append(max(0.0, *seen))
+        assert abs(float(np.dot(answers, model.out)) + model.shift - z) < 1e-3
+
+
 def test_network_gradient():
     """One step lowers the loss of its own batch."""
     rng = np.random.default_rng(0)

@@ -17,6 +17,7 @@ def sample(
     documents: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int
 ) -> tuple[DataFrame, dict[int, int]]:
     """At most ``per_class`` labelled rows of each class, by hash of the id, with their whole texts, and all rows by class.
+    Of rows that repeat an id the text with the smallest hash stands for all.
 
     ``learn`` is a condition on ``doc_id``. The table is (doc_id, label, fold, text); fold is 0 to 3 by hash. Only ids are
     ordered and broadcast (at most twice ``per_class``), so the texts never meet outside the sample.
@@ -33,4 +34,5 @@ def sample(
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_column(documents, "text").alias("text"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).cast("int").alias("fold")
     found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", fold, "text")
-    return saved(found, "labelled-sample"), counts
+    one = found.groupBy("doc_id", "label", "fold").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return saved(one, "labelled-sample"), counts
