@@ -20,6 +20,8 @@ from tidemark.llm.labelled import remainder
 from tidemark.llm.storage import saved, text_column
 
 LEAST_QUALITY = 0.3
+#: Similarity, in percent, from which documents are near-duplicates here.
+NEAR_PERCENT = 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    found = text_dedup.near_duplicates(docs)
+    found = text_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
     alone = found.filter("node is null or doc_id is null").select("doc_id", "text_key", F.lit(False).alias("several")).distinct()
     stay = (
         found.filter("node is not null and doc_id is not null and kept")
