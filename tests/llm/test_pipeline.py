@@ -43,12 +43,16 @@ def test_quality_stage(shared, folder):
 
 def test_near_duplicate_stage(shared, folder):
     rows = near_rows() + document_rows() + [(13, words(77, 40), "en", "b", 1)]
+    # One word of sixty changed: 51 of 61 shingles are shared, 0.836.
+    close = words(78, 60).split()
+    rows += [(2000, " ".join(close), "en", "b", 1), (2001, " ".join([*close[:30], "changed", *close[31:]]), "en", "b", 1)]
     docs = shared.createDataFrame(rows, DOCUMENTS)
     out = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(shared, docs, folder).collect()]
     assert not Counter(out) - Counter(rows)
     without_words = [r for r in rows if r[0] is None or not (r[1] or "").split()]
     assert Counter(r for r in out if r in without_words) == Counter(without_words)
-    groups = {m[2] for m in expected_components([r for r in rows if (r[1] or "").split() and r[0] is not None])}
+    groups = {m[2] for m in expected_components([r for r in rows if (r[1] or "").split() and r[0] is not None], 80)}
+    assert 2000 in groups and 2001 not in groups
     left = [r for r in out if r not in without_words]
     assert {r[0] for r in left} == groups
     # Two rows of id 13 are equal, the third has another text and is a group of its own.
