@@ -123,6 +123,37 @@ def test_one_id_with_different_vectors(shared, window):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
 
 
+def test_sorted_windows_and_open_regions(shared, monkeypatch):
+    """Windows alone settle a table with no region longer than one; a dense group is finished by its region; no pair counts twice."""
+    monkeypatch.setattr(vector_dedup, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(11)
+    spread = rng.normal(size=(300, 24))
+    twins = spread + 0.02 * rng.normal(size=(300, 24))
+    dense = rng.normal(size=24) + 0.05 * rng.normal(size=(150, 24))
+
+    def steps(x):
+        rows = [(i, 1, v.tolist()) for i, v in enumerate(x)]
+        classes = shared.createDataFrame(rows, "rep long, copies long, v array<double>")
+        found = vector_dedup.links_found(classes, window=32).groupBy("step").sum("links").collect()
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        return dict(map(tuple, found)), int((unit @ unit.T >= 0.95).sum()) - len(x)
+
+    found, want = steps(np.concatenate([spread, twins]))
+    assert sum(found.values()) == want and found["window"] > 0.9 * want
+    found, want = steps(np.concatenate([spread, dense]))
+    assert sum(found.values()) == want and found["window"] > 0 and found["region"] > 0
+
+
+def test_places_follow_the_codes(shared):
+    rows = [(i, [(i * 7919) % 1009 << 40, (i * 31) % 50 << 50]) for i in range(500)]
+    coded = shared.createDataFrame(rows, "rep long, codes array<long>")
+    at = vector_dedup._places(coded, 500, 10).collect()
+    for p in (0, 1):
+        order = sorted((c[p], i) for i, c in rows)
+        assert sorted((r["place"], r["rep"]) for r in at if r["pass"] == p) == [(n, i) for n, (_, i) in enumerate(order)]
+        assert all(r["region"] == rows[r["rep"]][1][p] >> 52 for r in at if r["pass"] == p)
+
+
 def test_passes_keep_the_miss_bound():
     for classes in (10**3, 10**5, 10**7, 10**9):
         bits, passes = vector_dedup.plan(classes, 0.95)

@@ -1,16 +1,20 @@
 """Near-duplicate vectors by sorted projection passes.
 
-Equal vectors are one class from the start. In each pass a class has a code of the signs of random projections, other ones
-in every pass, and the classes of one code are a region. Every two classes of a region are compared by exact cosine in
-double precision. A pair that several passes bring together counts in the first of them only, which the codes that
-every class carries tell, so links are counted without listing pairs. Links of a task leave it as one edge per class;
-components join them across tasks and passes.
-
-Codes have as many signs as bring a region to about ``window`` classes if they were spread evenly, and passes grow with the
-signs: two vectors at the limit share no region of any pass with probability ``MISS`` at most, less above the limit,
-however many rows there are and however dense they lie. A region of more than ``BLOCK_ROWS`` classes is cut into blocks
-that all meet each other, one task for two blocks, so a dense group is compared whole and spread over tasks. Work is
-passes * rows * window, and for regions above that the square of their size.
+Equal vectors are one class from the start. In each pass a class has a code of ``SIGNS`` signs of random projections, other
+ones in every pass. The classes are ordered by their codes, and each is compared with the ``window`` classes that follow it
+in that order by exact cosine in double precision; rows next to a block's border are lent to the block before. Components
+join the verified pairs of all passes.
+
+Then the regions are finished that windows leave open. A region are the classes whose codes share their first signs, as
+many of them as bring a region to half a window if codes were spread evenly; in the order a region is a run. Where a region
+is longer than a window, its pairs further apart are compared too, in blocks of ``BLOCK_ROWS`` places that all meet each
+other, one task for two blocks, so a dense group is compared whole and spread over tasks. Passes grow with the signs of a
+region: two vectors at the limit share no region of any pass with probability ``MISS`` at most, less above the limit,
+however many rows there are and however dense they lie; windows that reach over the borders of regions find more.
+
+A pair that several passes bring together counts in the first of them only, which the codes and places that every class
+carries tell, so links are counted without listing pairs. Links of a task leave it as one edge per class. Work is
+passes * rows * window, and for open regions the square of their size.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component link with nothing, nor do rows
 without an id; a shorter vector counts as filled up with zeros; each row is a vector of its own, so rows that repeat an
@@ -25,19 +29,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components, joined
 from tidemark.llm.storage import saved
 
 #: Fewest passes where there is more than one region.
 PASSES = 8
-#: Classes of a region, if codes were spread evenly.
+#: Signs of a code; the order of a pass is that of its codes.
+SIGNS = 62
+#: Following classes of the order that a class is compared with; twice a region's classes, if codes were spread evenly.
 WINDOW = 1024
 #: Probability that a pair at the limit meets in no pass, at most.
 MISS = 1e-6
-#: Classes of a block; a task compares two blocks.
+#: Places of a block; a task compares a block with itself and the window behind it, or two blocks of a region.
 BLOCK_ROWS = 4096
 
 
@@ -51,19 +58,20 @@ def unit_rows(vectors: list, width: int) -> np.ndarray:
 
 
 def plan(classes: int, cosine: float, passes: int = PASSES, window: int = WINDOW) -> tuple[int, int]:
-    """(signs of a code, passes)."""
-    bits = min(31, max(0, math.ceil(math.log2(max(1, classes) / window))))
-    if not bits:
+    """(signs that the codes of a region share, passes)."""
+    bits = min(SIGNS, max(0, math.ceil(math.log2(max(1, 2 * classes) / window))))
+    if classes <= window + 1 or not bits:
         return 0, 1
     met = (1 - math.acos(min(1.0, max(-1.0, cosine))) / math.pi) ** bits
     return bits, max(passes, math.ceil(math.log(MISS) / math.log1p(-met))) if met < 1 else passes
 
 
-def sign_codes(x: np.ndarray, passes: int, bits: int, seed: int) -> np.ndarray:
-    """One code of ``bits`` signs per row and pass. The projections of a component do not depend on the width."""
-    planes = np.random.default_rng(seed).normal(size=(x.shape[1], passes * bits))
-    signs = (x @ planes > 0).reshape(len(x), passes, bits)
-    return (signs * (np.int64(1) << np.arange(bits, dtype=np.int64))).sum(2)
+def sign_codes(x: np.ndarray, passes: int, seed: int) -> np.ndarray:
+    """One code of ``SIGNS`` signs per row and pass, the first sign highest. The projections of a component do not
+    depend on the width."""
+    planes = np.random.default_rng(seed).normal(size=(x.shape[1], passes * SIGNS))
+    signs = (x @ planes > 0).reshape(len(x), passes, SIGNS)
+    return (signs * (np.int64(1) << np.arange(SIGNS - 1, -1, -1, dtype=np.int64))).sum(2)
 
 
 def _classes(vectors: DataFrame, id_column: str, vector: str) -> tuple[DataFrame, DataFrame]:
@@ -71,46 +79,79 @@ def _classes(vectors: DataFrame, id_column: str, vector: str) -> tuple[DataFrame
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists(vector, lambda x: x != 0)
     fits = F.col(id_column).isNotNull() & F.col(vector).isNotNull() & ~F.coalesce(odd | zero, F.lit(True))
-    v = F.transform(vector, lambda x: x.cast("double"))
+    # Floats stay floats until they are compared: half the bytes, the same numbers.
+    single = vectors.schema[vector].dataType.elementType == T.FloatType()
+    v = F.col(vector) if single else F.transform(vector, lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.when(fits, v).alias("v"))
     classes = rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     return rows, classes
 
 
-def _tasks(coded: DataFrame) -> DataFrame:
-    """(rep, copies, v, codes) -> one row per class and comparison it takes part in: also pass, code, own block, i, k."""
+def _places(coded: DataFrame, classes: int, bits: int) -> DataFrame:
+    """(rep, codes) -> (rep, pass, place, region): the place of a class in the order of each pass, from 0."""
     long = coded.select("rep", F.posexplode("codes").alias("pass", "code"))
-    sizes = long.groupBy("pass", "code").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = sizes.select("pass", "code", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    places = long.join(sizes, ["pass", "code"]).groupBy("rep").agg(F.collect_list(F.struct("pass", "code", "blocks")).alias("places"))
-    rows = coded.join(places, "rep").select("rep", "copies", "v", "codes", F.explode("places").alias("at"))
-    rows = rows.select("rep", "copies", "v", "codes", "at.*").withColumn(
-        "own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    ordered = long.repartitionByRange("pass", "code", "rep").sortWithinPartitions("pass", "code", "rep")
+    # The number of a row is its partition and its place there; both follow the order, and are fixed by being saved.
+    ordered = ordered.select("rep", "pass", F.shiftright("code", SIGNS - bits).alias("region"), F.monotonically_increasing_id().alias("at"))
+    ordered = saved(ordered, "vector-order").withColumn("part", F.shiftright("at", 33))
+    parts = ordered.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # a row per partition
+    place = F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1) - F.col("pass").cast("long") * classes
+    return ordered.join(F.broadcast(starts), "part").select("rep", "pass", place.alias("place"), "region")
+
+
+CLASS = ["rep", "copies", "v", "regions", "places"]
+
+
+def _windows(placed: DataFrame, block: int, reach: int) -> DataFrame:
+    """One row per class, pass and block that it lies in or is lent to: also pass, block."""
+    rows = placed.select(*CLASS, F.posexplode("places").alias("pass", "_at"))
+    own = F.floor(F.col("_at") / block)
+    lent = (F.col("_at") % block < reach) & (own > 0)
+    return rows.select(*CLASS, "pass", F.explode(F.when(lent, F.array(own, own - 1)).otherwise(F.array(own))).alias("block"))
+
+
+def _open_regions(placed: DataFrame, at: DataFrame, reach: int) -> DataFrame:
+    """One row per class and comparison of two blocks in a region longer than a window: also pass, region, own, i, k."""
+    runs = at.groupBy("pass", "region").agg(F.count("*").alias("n"), F.min("place").alias("start")).filter(F.col("n") > reach + 1)
+    runs = runs.select("pass", "region", "start", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    own = F.floor((F.col("place") - F.col("start")) / BLOCK_ROWS).cast("int").alias("own")
+    inside = at.join(runs, ["pass", "region"]).select("rep", F.struct("pass", "region", "blocks", own).alias("in"))
+    inside = inside.groupBy("rep").agg(F.collect_list("in").alias("in"))  # a pass at most once
+    rows = placed.join(inside, "rep").select(*CLASS, F.explode("in").alias("in")).select(*CLASS, "in.*")
+    with_others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("k"))
+    )
+    return rows.select(*CLASS, "pass", "region", "own", F.explode(with_others).alias("two")).select(
+        *CLASS, "pass", "region", "own", "two.i", "two.k"
     )
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    with_others = F.transform(others, lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("k")))
-    rows = rows.select("rep", "copies", "v", "codes", "pass", "code", "own", F.explode(with_others).alias("two"))
-    return rows.select("rep", "copies", "v", "codes", "pass", "code", "own", "two.i", "two.k")
 
 
 def new_links(
-    x: np.ndarray, copies: np.ndarray, codes: np.ndarray, of_pass: int, here: np.ndarray, there: np.ndarray | None, cosine: float
-) -> tuple[np.ndarray, np.ndarray]:
+    x: np.ndarray, copies: np.ndarray, regions: np.ndarray, places: np.ndarray, of_pass: int, reach: int, cosine: float,
+    here: np.ndarray, there: np.ndarray, nearest: int, farthest: float,
+) -> tuple[np.ndarray, np.ndarray]:
     """Links per row that no earlier pass has counted, and the smallest row each is joined with.
 
-    The rows of ``here`` meet those of ``there``, or each other if that is None.
+    A row of ``here`` meets the rows of ``there`` that follow it by ``nearest`` to ``farthest`` places. Both are in the
+    order of the pass.
     """
     links, label = np.zeros(len(x)), np.arange(len(x))
-    weight = copies.astype(float)
+    weight, place = copies.astype(float), places[:, of_pass]
     for low in range(0, len(here), 256):
         part = here[low : low + 256]
-        others = here[low:] if there is None else there
+        start = np.searchsorted(place[there], place[part[0]] + nearest)
+        others = there[start : np.searchsorted(place[there], place[part[-1]] + farthest, "right")]
+        if not len(others):
+            continue
         near = x[part] @ x[others].T >= cosine
-        if there is None:
-            near &= np.arange(len(part))[:, None] < np.arange(len(others))[None]
+        apart = place[others][None] - place[part][:, None]
+        near &= (apart >= nearest) & (apart <= farthest)
         if np.count_nonzero(near) > near.size // 16:
-            for before in range(of_pass):
-                near &= codes[part, before][:, None] != codes[others, before][None]
+            for p in range(of_pass):
+                near &= regions[part, p][:, None] != regions[others, p][None]
+                near &= np.abs(places[part, p][:, None] - places[others, p][None]) > reach
             new = near.astype(float)
             links[part] += new @ weight[others]
             links[others] += weight[part] @ new
@@ -119,8 +160,8 @@ def new_links(
         else:
             i, j = np.nonzero(near)
             i, j = part[i], others[j]
-            new = (codes[i, :of_pass] != codes[j, :of_pass]).all(1)
-            i, j = i[new], j[new]
+            met = (regions[i, :of_pass] == regions[j, :of_pass]) | (np.abs(places[i, :of_pass] - places[j, :of_pass]) <= reach)
+            i, j = i[~met.any(1)], j[~met.any(1)]
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
         if len(i):
@@ -128,6 +169,60 @@ def new_links(
     return links.astype(np.int64), label
 
 
+def links_found(
+    classes: DataFrame, cosine: float = 0.95, passes: int = PASSES, window: int = WINDOW, seed: int = 3
+) -> DataFrame:
+    """Links between the classes (rep, copies, v): step (window or region), rep, root, links.
+
+    ``links`` counts the vectors that the class is linked with by one task, ``root`` is a class of the same component.
+    """
+    width, count = classes.agg(F.max(F.size("v")), F.count("*")).head()
+    width, (bits, passes) = width or 0, plan(count, cosine, passes, window)
+    block = max(BLOCK_ROWS, window)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = sign_codes(unit_rows([v.as_py() for v in batch.column(1)], width), passes, seed)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes.tolist(), pa.list_(pa.int64()))], names=["rep", "codes"])
+
+    at = saved(_places(classes.select("rep", "v").mapInArrow(code, "rep long, codes array<long>"), count, bits), "vector-places")
+    by_pass = F.sort_array(F.collect_list(F.struct("pass", "place", "region")))
+    all_at = at.groupBy("rep").agg(by_pass.alias("_p")).select("rep", F.col("_p.region").alias("regions"), F.col("_p.place").alias("places"))
+    placed = saved(classes.select("rep", "copies", "v").join(all_at, "rep").select(*CLASS), "vector-codes")
+
+    def compare(frame: pd.DataFrame, of_pass: int, here, there, nearest: int, farthest: float, step: str) -> pd.DataFrame:
+        regions, places = np.stack(list(frame["regions"])), np.stack(list(frame["places"]))
+        met_before = (regions[:, :of_pass] == regions[0, :of_pass]).all(0).any()
+        if met_before or not len(here) or not len(there):
+            return pd.DataFrame({"step": pd.Series([], dtype="str"), **{n: pd.Series([], dtype="int64") for n in ("rep", "root", "links")}})
+        x, ids, copies = unit_rows(list(frame["v"]), width), frame["rep"].to_numpy(), frame["copies"].to_numpy()
+        links, label = new_links(x, copies, regions, places, of_pass, window, cosine, here, there, nearest, farthest)
+        hit = np.flatnonzero(links)
+        return pd.DataFrame({"step": step, "rep": ids[hit], "root": ids[label[hit]], "links": links[hit]})
+
+    def in_order(frame: pd.DataFrame) -> tuple[pd.DataFrame, int, np.ndarray]:
+        of_pass = int(frame["pass"].iloc[0])
+        place = np.array([p[of_pass] for p in frame["places"]])
+        order = np.argsort(place)
+        return frame.iloc[order], of_pass, place[order]
+
+    def in_windows(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, of_pass, place = in_order(frame)
+        own = np.flatnonzero(place // block == frame["block"].iloc[0])
+        return compare(frame, of_pass, own, np.arange(len(frame)), 1, window, "window")
+
+    def in_region(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, of_pass, _ = in_order(frame)
+        own = frame["own"].to_numpy()
+        here, there = np.flatnonzero(own == frame["i"].iloc[0]), np.flatnonzero(own == frame["k"].iloc[0])
+        return compare(frame, of_pass, here, there, window + 1, math.inf, "region")
+
+    result = "step string, rep long, root long, links long"
+    windows = _windows(placed, block, window).groupBy("pass", "block").applyInPandas(in_windows, result)
+    rest = _open_regions(placed, at, window).groupBy("pass", "region", "i", "k").applyInPandas(in_region, result)
+    return saved(windows.unionByName(rest), "vector-links")
+
+
 def near_duplicates(
     vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", cosine: float = 0.95,
     passes: int = PASSES, window: int = WINDOW, seed: int = 3,
@@ -136,33 +231,7 @@ def near_duplicates(
     rows, classes = _classes(vectors, id_column, vector)
     # A number of its own names a class, as ids can repeat with different vectors; it is fixed by being saved.
     classes = saved(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
-    width = classes.agg(F.max(F.size("v"))).head()[0] or 0
-
-    bits, passes = plan(classes.count(), cosine, passes, window)
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes = sign_codes(unit_rows([v.as_py() for v in batch.column(2)], width), passes, bits, seed)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(codes.tolist(), pa.list_(pa.int32()))], names=["rep", "copies", "v", "codes"]
-            )
-
-    coded = classes.select("rep", "copies", "v").mapInArrow(code, "rep long, copies long, v array<double>, codes array<int>")
-    dealt = _tasks(saved(coded, "vector-codes"))
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        first, second, own = frame["i"].iloc[0], frame["k"].iloc[0], frame["own"].to_numpy()
-        here, there = np.flatnonzero(own == first), np.flatnonzero(own == second) if first < second else None
-        codes, of_pass = np.stack(list(frame["codes"])), int(frame["pass"].iloc[0])
-        met_before = (codes[:, :of_pass] == codes[0, :of_pass]).all(0).any()
-        if met_before or not len(here) or (there is not None and not len(there)):
-            return pd.DataFrame({name: pd.Series([], dtype="int64") for name in ("rep", "root", "links")})
-        x, ids, copies = unit_rows(list(frame["v"]), width), frame["rep"].to_numpy(), frame["copies"].to_numpy()
-        links, label = new_links(x, copies, codes, of_pass, here, there, cosine)
-        hit = np.flatnonzero(links)
-        return pd.DataFrame({"rep": ids[hit], "root": ids[label[hit]], "links": links[hit]})
-
-    found = saved(dealt.groupBy("pass", "code", "i", "k").applyInPandas(compare, "rep long, root long, links long"), "vector-links")
+    found = links_found(classes, cosine, passes, window, seed)
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("links").alias("others"))
     # A component is named by its smallest id.
