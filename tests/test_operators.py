@@ -485,3 +485,30 @@ def test_message_keys(spark):
     assert [tuple(r) for r in plain] == [("all", "1", '{"id":1,"name":"a"}'), ("all", "2", '{"id":2}')]
     routed = messages.to_messages(rows, route="topic", key="name").collect()
     assert [tuple(r) for r in routed] == [("t1", "a", '{"id":1,"name":"a"}')]
+
+
+def test_flow_slices_against_a_loop(spark):
+    """Whole parts of every minute, the rest in the last slice; flows of one second, of no time and without a start."""
+    rng, now = random.Random(4), 1_700_000_000
+    data = [(i, now - rng.randrange(40, 900), rng.randrange(0, 700), rng.randrange(5000), rng.randrange(9)) for i in range(150)]
+    flows = [(i, s, s + d if i % 10 else s, b, p) for i, s, d, b, p in data]
+    flows += [(900, None, now, 7, None), (901, now - 50, now - 20, None, 3), (902, now - 100, now - 160, 50, 5)]
+    df = spark.createDataFrame(flows, "id long, first_switched long, timestamp long, bytes long, pkts long")
+    limit = now - now // 60 % 60 * 60 - (3600 if now // 60 % 60 < R.LATE_MINUTES else 0)
+    want = []
+    for i, start, end, *counters in flows:
+        if start is None:
+            want.append((i, end, *counters))
+            continue
+        start, counters = max(start, limit), [c or 0 for c in counters]
+        if end > now and (end // 3600 % 24 != start // 3600 % 24 or end - now > 3600):
+            start, end = min(start, now), now
+        total, base = end - start, start // 60 * 60
+        cuts = [start, *range(base + 60, end, 60), end]
+        parts = [[c if not total else int(c * (b - a) / total) for a, b in zip(cuts, cuts[1:])] for c in counters]
+        for got, c in zip(parts, counters):
+            full = c - sum(got[:-1])
+            got[-1] = full if full > 0 else got[-1]
+        want += [(i, stop, *both) for stop, *both in zip(cuts[1:], *parts)]
+    got = [tuple(r) for r in R.split_flow(df, F.lit(now).cast("bigint")).select("id", "timestamp", "bytes", "pkts").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -423,41 +423,34 @@ def split_flow(df: DataFrame, now: Column) -> DataFrame:
     )
     base = F.floor(F.col("_from") / 60) * 60
     count = F.coalesce(F.greatest(F.ceil((F.col("_to") - base) / 60), F.lit(1)), F.lit(1))
-    ends = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), count.cast("bigint")), lambda k: F.least(base + k * 60, F.col("_to"))
-    )
     total = F.coalesce(F.col("_to") - F.col("_from"), F.lit(0))
+    cut = timed.withColumns({"_base": base, "_total": total, "_count": count.cast("bigint")})
+    slices = cut.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_count"))))
+    stop = F.least(F.col("_base") + F.col("_k") * 60, F.col("_to"))
+    begin = F.when(F.col("_k") == 1, F.col("_from")).otherwise(F.col("_base") + (F.col("_k") - 1) * 60)
+    is_last = F.col("_k") == F.col("_count")
 
     def amount(counter: str) -> Column:
         return F.coalesce(F.col(counter).cast("bigint"), F.when(both, F.lit(0)))
 
-    def shares(counter: str) -> Column:
-        def share(stop: Column, i: Column) -> Column:
-            begin = F.when(i == 0, F.col("_from")).otherwise(F.col("_base") + i * 60)
-            part = F.call_function("div", amount(counter) * (stop - begin), F.when(total == 0, 1).otherwise(total))
-            return F.when(total == 0, amount(counter)).otherwise(part)
-
-        return F.transform(F.col("_ends"), share)
-
-    def rest(counter: str) -> Column:
-        given = F.aggregate(F.col(f"_{counter}"), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-        return F.when(both, amount(counter) - given).otherwise(0)
-
-    arrays = (
-        timed.withColumns({"_ends": ends, "_base": base})
-        .withColumns({"_bytes": shares("bytes"), "_pkts": shares("pkts")})
-        .withColumns({"_rest_bytes": rest("bytes"), "_rest_pkts": rest("pkts")})
-    )
-    slices = arrays.select("*", F.posexplode(F.arrays_zip("_ends", "_bytes", "_pkts")).alias("_i", "_slice"))
-    last = F.col("_i") == F.size("_ends") - 1
+    def share(counter: str, seconds: Column) -> Column:
+        part = F.call_function("div", amount(counter) * seconds, F.when(F.col("_total") == 0, 1).otherwise(F.col("_total")))
+        return F.when(F.col("_total") == 0, amount(counter)).otherwise(part)
 
     def value(counter: str) -> Column:
-        own = F.col(f"_slice._{counter}")
-        full = own + F.col(f"_rest_{counter}")
-        return F.when(last & (full > 0), full).otherwise(own)
-
-    done = slices.withColumns({"timestamp": F.col("_slice._ends"), "bytes": value("bytes"), "pkts": value("pkts")})
-    return done.select(*cols)
+        own = share(counter, stop - begin)
+        # All slices between the first and the last are whole minutes, so what the others got has a closed form.
+        others = share(counter, F.col("_base") + 60 - F.col("_from")) + (F.col("_count") - 2) * share(counter, F.lit(60))
+        full = amount(counter) - F.when(F.col("_count") > 1, others).otherwise(0)
+        return F.when(is_last & both & (full > 0), full).otherwise(own)
+
+    done = slices.select(
+        *[
+            value(c).alias(c) if c in ("bytes", "pkts") else stop.alias(c) if c == "timestamp" else F.col(c)
+            for c in cols
+        ]
+    )
+    return done
 
 
 def state_upsert(df: DataFrame, key: str, fields: Sequence[str], *, ts="ts", seq="seq") -> DataFrame:
