@@ -97,6 +97,32 @@ def test_sort_window_with_hot_keys(events, base, keys):
     assert rows(got, "event_id", "_kind", "_at") == rows(want, "event_id", "_kind", "_at")
 
 
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_sort_window_over_blocks_of_ranges(events, base, keys, monkeypatch):
+    """More blocks of ranges than one: content comes from the ranges of the block and from the blocks before it."""
+    monkeypatch.setattr(W, "SEED_BLOCK", 3)
+    split = plan_split(base, keys, ORDER, rows_per_range=40)
+    assert split.widest >= 10
+    by = [("value", False)]
+    got = W.sort_window(events, 5, by, keys=keys, split=split)
+    want = W.sort_window(events, 5, by, keys=keys, split=Split(tuple(keys), ORDER))
+    assert rows(got, "event_id", "_kind", "_at") == rows(want, "event_id", "_kind", "_at")
+
+
+@pytest.mark.parametrize("block", [3, 128])
+def test_ranges_start_from_the_smallest_rows_before(spark, block, monkeypatch):
+    """Every range gets the n smallest rows of all ranges before it, however many of those are empty."""
+    monkeypatch.setattr(W, "SEED_BLOCK", block)
+    n, ranges, values = 3, 20, {}
+    data = [(r, (r * 37 + i * 11) % 101, i) for r in range(ranges) if r % 7 != 4 for i in range(r % 5 + 1)]
+    frame = spark.createDataFrame(data, "_range int, v long, _s long").withColumn("_t", F.lit(0).cast("bigint"))
+    split = Split((), ORDER, cuts=tuple((i, 0) for i in range(1, ranges)))
+    for r in W._before_ranges(frame, n, [F.col("v"), "_t", "_s"], split, []).collect():
+        values.setdefault(r["_range"], []).append((r["v"], r["_s"]))
+    want = {r: sorted((v, i) for q, v, i in data if q < r)[:n] for r in range(1, ranges)}
+    assert {r: sorted(v) for r, v in values.items()} == want
+
+
 def test_sliding_extreme_counts_only_earlier_rows_of_one_time(events):
     rowset = W.arrivals(events)
     got = A.sliding_extreme(rowset, "max", "cents", "m", axis="_t", span=W.DAY * 1000, tie="_s", keys=["k"])

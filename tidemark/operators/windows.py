@@ -251,24 +251,41 @@ def _place(value, rising: bool) -> tuple:
     return (0, value if rising else _Falling(value))
 
 
-def _compared(by: Sequence[tuple[str, bool]]):
-    """The same order for entries inside Spark: -1, 0 or 1."""
-
-    def compare(a: Column, b: Column) -> Column:
-        out = F.lit(0)
-        for name, rising in reversed([*by, ("_t", True), ("_s", True)]):
-            x, y, one = a[name], b[name], 1 if rising else -1
-            out = (
-                F.when(x.isNull() & y.isNull(), out)
-                .when(x.isNull(), 1)
-                .when(y.isNull(), -1)
-                .when(x < y, -one)
-                .when(x > y, one)
-                .otherwise(out)
-            )
-        return out
-
-    return compare
+#: Ranges of a block, about the root of the most ranges there are.
+SEED_BLOCK = 128
+
+
+def _before_ranges(rows: DataFrame, n: int, order: Sequence, split, keys: Sequence[str]) -> DataFrame:
+    """For every range of a hot group, the first ``n`` rows of all ranges before it.
+
+    Each range keeps its first ``n`` and hands them to the later ranges of its block; each block keeps its first ``n`` and
+    hands them to the later blocks, whose ranges take them over. No group ranks more than ``n`` rows of every range of
+    a block and of every block before.
+    """
+
+    def first(df: DataFrame, at: str) -> DataFrame:
+        place = Window.partitionBy(*keys, at).orderBy(*order)
+        return df.withColumn("_p", F.row_number().over(place)).filter(F.col("_p") <= n).drop("_p")
+
+    if split.cuts is not None:
+        hot = rows.withColumn("_last", F.lit(len(split.cuts)))
+    else:
+        named = [f"_hk{i}" for i in range(len(keys))]
+        lasts = F.broadcast(split.hot.select(*named, F.size("_cuts").alias("_last")))
+        hot = rows.join(lasts, [rows[k].eqNullSafe(lasts[h]) for k, h in zip(keys, named)]).drop(*named)
+    best = first(hot, RANGE).withColumn("_block", F.floor(F.col(RANGE) / SEED_BLOCK).cast("int"))
+
+    def later(at: str, end) -> Column:
+        return F.explode(F.when(F.col(at) < end, F.sequence(F.col(at) + 1, end))).alias("_to")
+
+    block_end = F.least((F.col("_block") + 1) * SEED_BLOCK - 1, F.col("_last"))
+    inside = best.select("*", later(RANGE, block_end)).drop("_block")
+    last_block = F.floor(F.col("_last") / SEED_BLOCK).cast("int")
+    over = first(best, "_block").select("*", later("_block", last_block))
+    over = first(over, "_to").withColumn("_block", F.col("_to")).drop("_to")
+    start = F.col("_block") * SEED_BLOCK
+    over = over.select("*", F.explode(F.sequence(start, block_end)).alias("_to")).drop("_block")
+    return first(inside.unionByName(over), "_to").withColumn(RANGE, F.col("_to")).drop("_to", "_last")
 
 
 def sort_window(
@@ -278,30 +295,21 @@ def sort_window(
 
     ``by`` lists (column, ascending) of any types that have an order; nulls come last.
     The content before any range is the ``n`` smallest rows of the earlier ranges, so a
-    range starts from that bounded state and hot groups are scanned range by range in
-    parallel. Rows pass through Arrow with their own types.
+    range starts from that bounded state, ranked over blocks of ranges, and hot groups are
+    scanned range by range in parallel. Rows pass through Arrow with their own types.
     """
     a = arrivals(df, ts, seq)
     split = split or plan_split(a, keys, ARRIVAL_ORDER)
     by, cols = [tuple(x) for x in by], df.columns
     rows = split.assign(a).withColumn("_seed", F.lit(False)).withColumns({"_at_t": F.col("_t"), "_at_s": F.col("_s")})
     parts = [F.col(k) for k in keys]
-    carried = [*cols, "_t", "_s"]
     rows = rows.select(*cols, *[p.alias(f"_k{i}") for i, p in enumerate(parts)], RANGE, "_seed", "_at_t", "_at_s", "_t", "_s")
     group = [*[f"_k{i}" for i in range(len(keys))], RANGE]
     if split.active:
         order = [F.col(c).asc_nulls_last() if rising else F.col(c).desc_nulls_last() for c, rising in by]
-        place = Window.partitionBy(*group).orderBy(*order, "_t", "_s")
-        best = rows.withColumn("_p", F.row_number().over(place)).filter(F.col("_p") <= n)
-        per_range = best.groupBy(*group).agg(F.collect_list(F.struct(*carried)).alias("_l"))
-        prior = Window.partitionBy(*(group[:-1] or (F.lit(0),))).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-        before = F.array_sort(F.flatten(F.collect_list("_l").over(prior)), _compared(by))
-        seeds = per_range.select(*group, F.slice(before, 1, n).alias("_before")).select(*group, F.explode("_before").alias("_e"))
         zero = F.lit(0).cast("bigint")
-        seeds = seeds.select(
-            *[F.col("_e")[c].alias(c) for c in cols], *group, F.lit(True).alias("_seed"), zero.alias("_at_t"), zero.alias("_at_s"),
-            F.col("_e._t").alias("_t"), F.col("_e._s").alias("_s"),
-        )
+        seeds = _before_ranges(rows.drop("_seed", "_at_t", "_at_s"), n, [*order, "_t", "_s"], split, group[:-1])
+        seeds = seeds.withColumns({"_seed": F.lit(True), "_at_t": zero, "_at_s": zero})
         rows = rows.unionByName(seeds)
     fields = [df.schema[c] for c in cols]
     schema = T.StructType(
