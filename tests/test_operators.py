@@ -380,6 +380,25 @@ def test_length_join_against_a_plain_loop(spark, side):
     assert sorted(map(tuple, out.select("l_seq", "r_seq", "_trigger").collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_unidirectional_outer_joins_at_equal_times(spark, side, how):
+    """Three rows share every time, so the sequence number decides which of two is the trigger."""
+    rng = random.Random(12)
+    rows = [(i, rng.choice("lr"), rng.choice("ab")) for i in range(90)]
+    df = spark.createDataFrame(rows, "seq bigint, s string, k string").withColumn("ts", F.timestamp_seconds(F.floor(F.col("seq") / 3)))
+    out = J.time_join(df.filter("s = 'l'"), df.filter("s = 'r'"), 3000, 5000, equal=[("k", "k")], unidirectional=side, how=how)
+    lefts, rights = [r for r in rows if r[1] == "l"], [r for r in rows if r[1] == "r"]
+    apart = lambda a, b: b[0] // 3 - a[0] // 3
+    near = [(a[0], b[0]) for a in lefts for b in rights if a[2] == b[2] and -5 < apart(a, b) < 3]
+    want = [(a, b) for a, b in near if (a > b) == (side == "left")]
+    if how in ("left", "full"):
+        want += [(a[0], None) for a in lefts if a[0] not in {p for p, _ in want}]
+    if how in ("right", "full"):
+        want += [(None, b[0]) for b in rights if b[0] not in {q for p, q in want if p is not None}]
+    assert sorted(map(tuple, out.select("l_seq", "r_seq").collect()), key=str) == sorted(want, key=str)
+
+
 def test_shared_lookups_equal_single_ones(spark):
     df = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("seq", F.col("event_id"))
     pick = lambda kind, out: df.filter(F.col("event_type") == kind).select("ts", "seq", "user_id", F.col("event_id").alias(out))

@@ -101,8 +101,8 @@ def time_join(
 
     A left row is found by right rows arriving less than ``left_ms`` later, and
     the other way round. ``within`` bounds the time difference further;
-    ``unidirectional`` keeps the pairs triggered by one side. ``how`` may be an
-    outer join over the same pairs.
+    ``unidirectional`` keeps the pairs triggered by one side: the later in time, and
+    at equal times by sequence number. ``how`` may be an outer join over the same pairs.
     """
     high, low = left_ms * 1000 - 1, -(right_ms * 1000 - 1)
     if within_ms is not None:
@@ -111,9 +111,16 @@ def time_join(
         high = min(high, 0)
     elif unidirectional == "right":
         low = max(low, 0)
+
+    def holds(lc, rc) -> Column:
+        """The trigger rule belongs to the condition, or an outer join would see pairs that it drops."""
+        later_left = F.struct(lc("_t"), lc("_s")) > F.struct(rc("_t"), rc("_s"))
+        kept = {None: F.lit(True), "left": later_left, "right": ~later_left}[unidirectional]
+        return kept if on is None else kept & F.coalesce(on(lc, rc), F.lit(False))
+
     pairs = range_join(
         arrivals(left, ts, seq), arrivals(right, ts, seq), low, high,
-        axes=("_t", "_t"), equal=equal, on=on, how=how,
+        axes=("_t", "_t"), equal=equal, on=on if unidirectional is None else holds, how=how,
     )
     if how != "inner":
         return pairs.drop("l__t", "l__s", "r__t", "r__s")

@@ -125,6 +125,12 @@ def jn_outer(t):
     return _ids(J.time_join(typed(t, "view"), typed(t, "purchase"), 2 * W.HOUR, 6 * W.HOUR, equal=USER, how="full"))
 
 
+@query("jn_outer_unidirectional", _pairs_sql(f"{WINDOWED} AND (b.us > a.us OR (b.us = a.us AND b.event_id > a.event_id))", join="LEFT JOIN"))
+def jn_outer_unidirectional(t):
+    args = {"equal": USER, "how": "left", "unidirectional": "right"}
+    return _ids(J.time_join(typed(t, "view"), typed(t, "purchase"), 2 * W.HOUR, 6 * W.HOUR, **args))
+
+
 @query(
     "jn_table",
     """SELECT event_id AS l_event_id, c_name AS r_c_name FROM events JOIN customer ON user_id = c_custkey
