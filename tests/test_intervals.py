@@ -110,6 +110,20 @@ def test_user_aggregate_over_changes(spark):
         assert r["x"] is None if x is None else r["x"] == pytest.approx(x, abs=1e-9)
 
 
+@pytest.mark.parametrize("group", [[], ["k"]])
+def test_pieces_are_never_broadcast(spark, tmp_path, group):
+    """Their size is guessed from a small file; as broadcasts they would all meet in the driver."""
+    made = spark.createDataFrame([(i, i + 1, "a", 1, 1) for i in range(9)], "_seq long, _pos long, k string, _sign int, v int")
+    made.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    out = I.extremes(rows, group, lows={"low": "v"})
+    own = I.combined(I._lifted(rows, [*group, "_pos"], "v", Spread()), [*group, "_pos"], Spread())
+    for df in (out, I._back(rows, own, group, ["_state"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [r["low"] for r in out.collect()] == [1] * 9
+
+
 def test_merge_segments():
     states = np.arange(10.0)[:, None]
     first = np.array([1, 0, 0, 1, 1, 0, 0, 0, 0, 1], bool)

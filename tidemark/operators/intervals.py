@@ -101,14 +101,18 @@ def pieces(rows: DataFrame, group: Sequence[str], values: dict[str, Column]) ->
     return held, probes
 
 
+# Pieces and probes are many more than the rows of the file from which Spark guesses their size, so the joins below are never
+# left to become broadcasts through the driver.
+
+
 def _met(probes: DataFrame, nodes: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
-    right = nodes.select(*_renamed(group), F.col("_l").alias("__l"), F.col("_i").alias("__i"), *values)
+    right = nodes.select(*_renamed(group), F.col("_l").alias("__l"), F.col("_i").alias("__i"), *values).hint("merge")
     same = _same(group) & (F.col("_l") == F.col("__l")) & (F.col("_i") == F.col("__i"))
     return probes.join(right, same).select(*group, "_pos", *values)
 
 
 def _back(rows: DataFrame, found: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
-    right = found.select(*_renamed(group), F.col("_pos").alias("__pos"), *values)
+    right = found.select(*_renamed(group), F.col("_pos").alias("__pos"), *values).hint("merge")
     return rows.join(right, _same(group) & (F.col("_pos") == F.col("__pos")), "left").select(*rows.columns, *values)
 
 
