@@ -2,7 +2,7 @@
 
 import pytest
 
-from tidemark.sources import jdbc
+from tidemark.sources import jdbc, messages
 
 
 def test_reader_options():
@@ -48,3 +48,27 @@ def test_first_failed_load_is_an_error():
 
     with pytest.raises(OSError):
         jdbc.Reloading(load).get()
+
+
+def test_mobile_documents_are_read_once(spark):
+    texts = [
+        "<feed path='/a' type='add'><segment><imsi>91</imsi><apn> w &amp; x </apn><ipAddress>10.0.0.1</ipAddress><rat/></segment></feed>",
+        "<feed path='/b' type='add'><hnb><hnbid>c1</hnbid><location>room <b>1</b></location><location>2</location></hnb></feed>",
+        "<notify path='/c' type='add'><imsi>92</imsi></notify>",
+        "<feed path='/d' type='add'><segment><ipAddress></ipAddress><msisdn>5</msisdn></segment></feed>",
+        "<feed path='/e' type='add'><segment><imsi>93</imsi></segment></feed>",
+        "<feed path='/f' type='remove'><segment><ipAddress>10.0.0.1</ipAddress></segment></feed>",
+        "<feed path='x' type='add'><segment>",
+        "",
+        None,
+    ]
+    out = messages.parse_mobile(spark.createDataFrame(list(enumerate(texts)), "id int, value string"))
+    got = {r["id"]: tuple(r)[1:] for r in out.collect()}
+    assert got == {
+        0: ("10.0.0.1", "91", " w & x ", "", None, None, None, None, None),
+        1: ("/b", None, None, None, None, "c1", "room 1", None, None),
+        2: ("92", None, None, None, None, None, None, None, "/c"),
+        3: ("", None, None, None, "5", None, None, None, None),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("XPath") == 1 and plan.count("from_xml") <= 1

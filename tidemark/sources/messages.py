@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CORRUPT = "_corrupt_record"
+MOBILE_TAGS = ("hnbid", "ipAddress", "imsi", "apn", "rat", "msisdn", "location", "hnbGeoLocation")
+#: Not a character of any XML text, so it parts the texts of tags without doubt.
+_APART = "\uffff"
+
+
+def _once(df: DataFrame, name: str, value) -> DataFrame:
+    """``withColumn`` for costly values: Spark evaluates them once a row, not again in every filter and column that uses them."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def parse_json(df: DataFrame, column: str, schema: T.DataType | str, out: str = "record") -> tuple[DataFrame, DataFrame]:
@@ -28,7 +36,7 @@ def parse_mobile(df: DataFrame, column: str = "value") -> DataFrame:
     """Mobile-session XML to ``key`` plus record fields; texts without a key are dropped.
 
     ``feed``/``add`` with a cell id is keyed by path, any other ``feed``/``add`` by
-    address, and ``notify``/``add`` by subscriber.
+    address, and ``notify``/``add`` by subscriber. The texts of all tags come from one reading of the document.
     """
     probe = F.from_xml(
         F.col(column),
@@ -36,14 +44,16 @@ def parse_mobile(df: DataFrame, column: str = "value") -> DataFrame:
                       T.StructField(_CORRUPT, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    good = df.withColumn("_p", probe).filter(
+    good = _once(df, "_p", probe).filter(
         F.col("_p").isNotNull() & F.col(f"_p.{_CORRUPT}").isNull() & (F.col("_p._type") == "add")
     )
     xml = F.col(column)
+    parts = f", '{_APART}', ".join(f"boolean(//{tag}), '{_APART}', //{tag}" for tag in MOBILE_TAGS)
+    good = _once(good, "_tags", F.split(F.xpath_string(xml, F.lit(f"concat({parts})")), _APART))
 
     def text(tag: str):
-        found = F.xpath_boolean(xml, F.lit(f"boolean(//{tag})"))
-        return F.when(found, F.xpath_string(xml, F.lit(f"//{tag}")))
+        at = 2 * MOBILE_TAGS.index(tag)
+        return F.when(F.col("_tags")[at] == "true", F.col("_tags")[at + 1])
 
     root = F.regexp_extract(xml, r"^\s*(?:<\?[^>]*\?>)?\s*<([A-Za-z]+)", 1)
     cell = (root == "feed") & text("hnbid").isNotNull()
