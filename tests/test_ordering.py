@@ -172,3 +172,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(df)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_a_key_of_many_changes_is_cut(spark):
+    """Both changes of all rows of a range are sorted in one task, so memory must not follow the key."""
+    events = spark.range(300_000).select(F.col("id").alias("seq"), (F.col("id") * 1_000_000).alias("ts"), F.lit("a").alias("k"))
+    seen = []
+
+    def window(df, *, keys, ts, seq, split):
+        seen.append(split)
+        return W.external_time(df, 2_500, keys=keys, ts=ts, seq=seq, split=split)
+
+    live = A.over_window(events, window, keys=["k"], count="n").filter("_sign > 0")
+    assert seen[0].active
+    assert sorted(map(tuple, live.groupBy("n").count().collect())) == [(1, 1), (2, 1), (3, 299_998)]
+    alone = W.external_time(events, 2_500, keys=["k"])
+    assert "_cuts" in alone._jdf.queryExecution().analyzed().toString()

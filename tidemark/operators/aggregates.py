@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import intervals
-from tidemark.operators.windows import ARRIVAL_ORDER, CHANGE_ORDER, arrivals
+from tidemark.operators.windows import ARRIVAL_ORDER, CHANGE_ORDER, CHANGED_ROWS_PER_RANGE, arrivals
 from tidemark.ordering import Run, Split, plan_split, positions, running
 
 
@@ -93,11 +93,13 @@ def over_window(
     """
     group = tuple(keys if group is None else group)
     base = arrivals(df, ts, seq)
-    split = split or plan_split(base, keys, ARRIVAL_ORDER)
+    split = split or plan_split(base, keys, ARRIVAL_ORDER, rows_per_range=CHANGED_ROWS_PER_RANGE)
     if "split" in inspect.signature(window).parameters:
         options |= {"keys": keys, "split": split}
     changes = window(df, *args, ts=ts, seq=seq, **options)
-    ranges = split if group == tuple(keys) else plan_split(base, group, ARRIVAL_ORDER)
+    ranges = split
+    if group != tuple(keys):
+        ranges = plan_split(base, group, ARRIVAL_ORDER, rows_per_range=CHANGED_ROWS_PER_RANGE)
     return over_changes(
         changes, group, sums=sums, averages=averages, count=count, lows=lows, highs=highs, split=ranges.on(*CHANGE_ORDER)
     )
