@@ -1,3 +1,6 @@
+import copy
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +111,55 @@ def test_network_gradient():
     assert losses[-1] < losses[0]
     alone = np.concatenate([model.logits([t]) for t in texts])
     assert np.allclose(alone, model.logits(texts), atol=1e-4)
+
+
+def test_every_labelled_row_is_learned(shared):
+    """3 000 rows of either class, every word in two texts: all words of the training folds are known, none by a sample."""
+    rows = [(i, f"common w{i // 4} " + ("bad" if i % 2 else "good"), i % 2) for i in range(6_000)]
+    docs = shared.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    model = toxicity.train(docs, docs, every_row(), epochs=1, part_rows=1_000)
+    folds = labelled.every(docs, docs, "toxic", every_row())[0].filter("fold > 0").collect()
+    uses = Counter(place for row in folds for place in {toxicity.bucket(w) for w in row["text"].split()})
+    assert set(model.places.tolist()) == {place for place, n in uses.items() if n >= 2} and len(model.places) > 1_200
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert all((scored[i] >= toxicity.DECISION) == bool(label) for i, _, label in rows)
+
+
+def test_a_round_averages_its_parts(shared):
+    rng, model = np.random.default_rng(3), toxicity.ToxicityModel(places=np.arange(0, 60, 2))
+    model.embeddings = rng.normal(size=(31, toxicity.DIM)).astype(np.float32)
+    model.embeddings[0] = 0
+    model.filters = [rng.normal(size=f.shape).astype(np.float32) for f in model.filters]
+    model.out = rng.normal(size=model.out.shape).astype(np.float32)
+    rows = [(part, int(rng.integers(2)), rng.integers(20 * part, 20 * part + 30, n)) for part in range(2) for n in (5, 1, 0, 9, 30)]
+    before = model.embeddings.copy()
+    sums, layers = {}, 0
+    for part in range(2):
+        own = copy.deepcopy(model)
+        labels = np.array([label for p, label, _ in rows if p == part], np.float32)
+        texts = [np.array([p // 2 + 1 if p % 2 == 0 else 0 for p in words.tolist()], int) for p, _, words in rows if p == part]
+        own.fit(texts, labels, np.where(labels == 1, 2.0, 0.5).astype(np.float32), 3, 7 + part)
+        layers = layers + toxicity._layers(own) / 2
+        for row in {row for text in texts for row in text.tolist()} - {0}:
+            n = sum(row in text for text in texts)
+            total, value = sums.get(row, (0, 0.0))
+            sums[row] = total + n, value + n * own.embeddings[row].astype(float)
+    parts = shared.createDataFrame(
+        [(p, label, words.astype("<u4").tobytes()) for p, label, words in rows], "part int, label int, words binary"
+    ).repartition(2, "part")
+    toxicity._round(model, parts, (0.5, 2.0), 3, 7)
+    assert np.allclose(toxicity._layers(model), layers, atol=1e-5)
+    for row in range(31):
+        n, value = sums.get(row, (1, before[row]))
+        assert np.allclose(model.embeddings[row], value / n, atol=1e-5)
+
+
+def test_threshold_has_the_best_f1():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 30, 400):
+        z = np.unique(rng.normal(size=size).round(2))
+        hit, clean = rng.integers(0, 3, len(z)), rng.integers(0, 3, len(z))
+        hit[-1] += 1
+        limit = toxicity.threshold(z, z, hit, hit + clean)
+        f1 = [2 * hit[z >= cut].sum() / ((hit + clean)[z >= cut].sum() + hit.sum()) for cut in (*z, limit)]
+        assert f1[-1] == max(f1) and limit not in z
