@@ -147,7 +147,7 @@ def test_a_round_averages_its_parts(shared):
     parts = shared.createDataFrame(
         [(p, label, words.astype("<u4").tobytes()) for p, label, words in rows], "part int, label int, words binary"
     ).repartition(2, "part")
-    toxicity._round(model, parts, (0.5, 2.0), 3, 7)
+    toxicity._round(model, parts, len(rows), (0.5, 2.0), 3, 7)
     assert np.allclose(toxicity._layers(model), layers, atol=1e-5)
     for row in range(31):
         n, value = sums.get(row, (1, before[row]))

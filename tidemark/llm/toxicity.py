@@ -40,8 +40,8 @@ STEPS = 1024
 LIMIT = 64
 #: Words multiplied at once: small enough for the cache, and for a product that starts no threads.
 BLOCK = 2_048
-#: Weights are averaged as whole numbers of 1 / UNIT, so that the order of the parts changes nothing.
-UNIT = 1 << 32
+#: No weight is larger.
+LARGEST = 1024
 WIDTHS = (1, 2, 3)
 FILTERS = 12
 DIM = 8
@@ -291,14 +291,15 @@ def _start(learned: DataFrame, n0: int, n1: int) -> ToxicityModel:
 
 def _layers(model: ToxicityModel) -> np.ndarray:
     """All weights but the embeddings, in rows as wide as theirs."""
-    flat = np.concatenate([model.out, [model.shift], *(f.ravel() for f in model.filters), *model.bias])
+    shift = float(np.float32(model.shift)), model.shift - float(np.float32(model.shift))  # a double in two floats
+    flat = np.concatenate([model.out, shift, *(f.ravel() for f in model.filters), *model.bias])
     return np.append(flat, np.zeros(-len(flat) % DIM)).reshape(-1, DIM)
 
 
 def _set_layers(model: ToxicityModel, rows: np.ndarray) -> None:
-    flat, sizes = rows.ravel(), [len(model.out), 1, *(f.size for f in model.filters), *map(len, model.bias)]
+    flat, sizes = rows.ravel(), [len(model.out), 2, *(f.size for f in model.filters), *map(len, model.bias)]
     out, shift, *rest = np.split(flat[: sum(sizes)].astype(np.float32), np.cumsum(sizes)[:-1])
-    model.out, model.shift = out, float(shift[0])
+    model.out, model.shift = out, float(shift[0]) + float(shift[1])
     model.filters = [part.reshape(f.shape) for part, f in zip(rest, model.filters, strict=False)]
     model.bias = rest[len(model.filters) :]
 
@@ -318,8 +319,8 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray,
         yield part, np.array(labels, np.float32), texts
 
 
-def _trained(shared, even: tuple[float, float], passes: int, seed: int):
-    """Trains each part from the shared model. Gives its weights, times its texts: rows below 0 are the layers."""
+def _trained(shared, even: tuple[float, float], passes: int, seed: int, unit: int):
+    """Trains each part from the shared model. Gives its weights in units, times its texts: rows below 0 are the layers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start: ToxicityModel = shared.value
@@ -334,11 +335,13 @@ def _trained(shared, even: tuple[float, float], passes: int, seed: int):
             model = ToxicityModel(embeddings=start.embeddings[own])
             _set_layers(model, _layers(start))
             model.fit(texts, labels, np.where(labels == 1, even[1], even[0]).astype(np.float32), passes, seed + part)
-            uses = np.bincount(np.concatenate([np.unique(text) for text in texts]), minlength=len(own))
+            uses = np.zeros(len(own), np.int64)
+            for text in texts:
+                uses[text] += 1  # once, however often the text has the place
             layers = _layers(model)
             n = np.concatenate([np.full(len(layers), len(texts)), uses[1:]])
             values = np.concatenate([layers, model.embeddings[1:].astype(float)])
-            sums = np.rint(values * UNIT).astype(np.int64) * n[:, None]
+            sums = np.rint(np.clip(values, -LARGEST, LARGEST) * unit).astype(np.int64) * n[:, None]
             keys = np.concatenate([-1 - np.arange(len(layers)), own[1:]])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int32()), pa.array(n, pa.int64()), *(pa.array(c, pa.int64()) for c in sums.T.copy())],
@@ -351,19 +354,23 @@ def _trained(shared, even: tuple[float, float], passes: int, seed: int):
 _VALUES = [f"v{i}" for i in range(DIM)]
 
 
-def _round(model: ToxicityModel, parts: DataFrame, even: tuple[float, float], passes: int, seed: int) -> None:
-    """Every part trained from ``model``; each weight becomes its mean over the texts of the parts that use it."""
+def _round(
+    model: ToxicityModel, parts: DataFrame, rows: int, even: tuple[float, float], passes: int, seed: int
+) -> None:
+    """Every part trained from ``model``; each weight becomes its mean over the texts of the parts that use it. Whole numbers
+    are added, so that the order of the parts changes nothing, as fine as sums over ``rows`` texts allow."""
+    unit = 1 << max(0, 63 - LARGEST.bit_length() - rows.bit_length())
     shared = parts.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(["row int, n long", *(f"{name} long" for name in _VALUES)])
-    weights = parts.select("part", "label", "words").mapInArrow(_trained(shared, even, passes, seed), schema)
-    mean = [(F.sum(name) / F.sum("n") / F.lit(float(UNIT))).cast("float").alias(name) for name in _VALUES]
+    weights = parts.select("part", "label", "words").mapInArrow(_trained(shared, even, passes, seed, unit), schema)
+    mean = [(F.sum(name) / F.sum("n") / F.lit(float(unit))).cast("float").alias(name) for name in _VALUES]
     found = weights.groupBy("row").agg(*mean).toArrow()
     shared.destroy()
-    rows = found["row"].to_numpy()
+    keys = found["row"].to_numpy()
     values = np.stack([found[name].to_numpy() for name in _VALUES], axis=1)
-    layer = np.flatnonzero(rows < 0)
-    _set_layers(model, values[layer[np.argsort(-rows[layer])]])
-    model.embeddings[rows[rows > 0]] = values[rows > 0]
+    layer = np.flatnonzero(keys < 0)
+    _set_layers(model, values[layer[np.argsort(-keys[layer])]])
+    model.embeddings[keys[keys > 0]] = values[keys > 0]
 
 
 def _answers(shared):
@@ -375,10 +382,10 @@ def _answers(shared):
             for i, text in enumerate(texts, 1):
                 size += len(text)
                 if size > 200_000 or i - low == 64 or i == len(texts):
-                    found.append(model.logits(texts[low:i]).astype(float))
+                    found.append(model.logits(texts[low:i]))
                     low, size = i, 0
             z = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(z, pa.float64())], names=["language", "label", "z"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(z, pa.float32())], names=["language", "label", "z"])
 
     return run
 
@@ -386,7 +393,7 @@ def _answers(shared):
 def _calibrate(model: ToxicityModel, apart: DataFrame) -> None:
     """Thresholds of all rows and of each language that has enough of both classes."""
     shared = apart.sparkSession.sparkContext.broadcast(model)
-    z = apart.select("language", "label", "words").mapInArrow(_answers(shared), "language string, label int, z double")
+    z = apart.select("language", "label", "words").mapInArrow(_answers(shared), "language string, label int, z float")
     step = F.floor(F.greatest(F.least(F.col("z"), F.lit(float(LIMIT))), F.lit(-float(LIMIT))) * STEPS).alias("step")
     z = z.select(F.explode(F.array("language", F.lit(""))).alias("name"), step, "label", "z").groupBy("name", "step")
     steps = z.agg(F.min("z").alias("low"), F.max("z").alias("top"), F.sum("label").alias("hit"), F.count("*").alias("rows"))
@@ -429,7 +436,7 @@ def train(
     passes = max(epochs, min(60, epochs * 2000 // (n0 + n1)))
     rounds = 1 if parts == 1 else epochs
     for number in range(rounds):
-        _round(model, dealt, even, -(-passes // rounds), 11 + 1_000_003 * number)
+        _round(model, dealt, n0 + n1, even, -(-passes // rounds), 11 + 1_000_003 * number)
     _calibrate(model, apart)
     return model
 
